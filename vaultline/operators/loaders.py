@@ -10,9 +10,9 @@ do not vanish: they go to a quarantine frame with a reason.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vaultline.functions.keys import hash_key
@@ -60,9 +60,15 @@ class LinkSpec:
 
 @dataclass
 class LoadResult:
+    """New rows of one table; ``quarantine`` rows it could not place.
+
+    ``quarantined`` is filled in while ``rows`` is written (an observation on
+    the same pass), so a writer can skip a second pass when it is zero.
+    """
+
     rows: DataFrame
     quarantine: DataFrame | None = None
-    extras: dict[str, DataFrame] = field(default_factory=dict)
+    quarantined: Observation | None = None
 
 
 def quarantine_rows(df: DataFrame, table: str, reason: Column, columns: list[str]) -> DataFrame:
@@ -73,11 +79,19 @@ def quarantine_rows(df: DataFrame, table: str, reason: Column, columns: list[str
     )
 
 
+def _observed(df: DataFrame, bad: Column, track: bool) -> tuple[DataFrame, Observation | None]:
+    if not track:
+        return df, None
+    obs = Observation()
+    return df.observe(obs, F.count_if(bad).alias("n")), obs
+
+
 def load_hub(spec: HubSpec, source: DataFrame, existing: DataFrame, batch: Batch,
-             candidate_rows: int | None = None) -> LoadResult:
+             candidate_rows: int | None = None, track: bool = False) -> LoadResult:
     bk = F.col(spec.business_key)
+    counted, obs = _observed(source, bk.isNull(), track)
     rows = (
-        source.where(bk.isNotNull())
+        counted.where(bk.isNotNull())
         .select(
             hash_key(bk).alias(spec.key),
             bk.alias(spec.key_name),
@@ -90,7 +104,7 @@ def load_hub(spec: HubSpec, source: DataFrame, existing: DataFrame, batch: Batch
     bad = quarantine_rows(
         source.where(bk.isNull()), spec.table, F.lit(f"NULL {spec.business_key}"), source.columns
     )
-    return LoadResult(new, bad)
+    return LoadResult(new, bad, obs)
 
 
 def hub_members(hub: DataFrame, spec: HubSpec, alias: str) -> DataFrame:
@@ -130,7 +144,8 @@ def resolve(df: DataFrame, lookups: tuple[Lookup, ...], hubs: dict[str, HubSpec]
 
 
 def load_link(spec: LinkSpec, source: DataFrame, existing: DataFrame, batch: Batch,
-              hubs: dict[str, HubSpec], hub_tables, candidate_rows: int | None = None) -> LoadResult:
+              hubs: dict[str, HubSpec], hub_tables, candidate_rows: int | None = None,
+              track: bool = False) -> LoadResult:
     cols = [lk.column for lk in spec.lookups]
     # One row per combination of referenced members before any join: the
     # map-side partial aggregate collapses repeats (a hot group's many events)
@@ -141,14 +156,15 @@ def load_link(spec: LinkSpec, source: DataFrame, existing: DataFrame, batch: Bat
             pairs = pairs.where(F.col(lk.column).isNotNull())
     resolved, ok, reason = resolve(pairs, spec.lookups, hubs, hub_tables)
     key_cols = [hubs[lk.hub].key for lk in spec.lookups]
+    counted, obs = _observed(resolved, ~ok, track)
     # Distinct member values map to distinct member keys, so these rows are
     # already distinct over every output column: no second aggregate needed.
-    rows = resolved.where(ok).select(
+    rows = counted.where(ok).select(
         hash_key(*spec.hash_order).alias(spec.key), *key_cols, *batch.load_columns()
     )
     new = keep_new(rows, existing, [spec.key], candidate_rows=candidate_rows)
     bad = quarantine_rows(resolved.where(~ok), spec.table, reason, cols)
-    return LoadResult(new, bad, {"unresolved": resolved.where(~ok).select(*cols)})
+    return LoadResult(new, bad, obs)
 
 
 def load_satellite(rows: DataFrame, existing: DataFrame, keys: list[str] | None,

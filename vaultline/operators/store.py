@@ -8,6 +8,7 @@ back from storage, which also cuts the lineage between load steps.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -55,7 +56,18 @@ def schema_of(name: str) -> StructType:
 
 
 def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """An empty table the optimizer knows is empty (joins against it fold away)."""
+    cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*cols).where(F.lit(False))
+
+
+def _may_exist(path: str) -> bool:
+    """False only for a local path that is certainly absent (remote paths are tried)."""
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+    if "://" in path:
+        return True
+    return os.path.exists(path)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -68,6 +80,7 @@ class MemoryVault:
 
     spark: SparkSession
     parts: dict[str, list[tuple[int, DataFrame]]] = field(default_factory=dict)
+    materialized = False  # appends only record plans
 
     def _select(self, name: str, keep) -> DataFrame:
         frames = [df for b, df in self.parts.get(name, []) if keep(b)]
@@ -82,6 +95,9 @@ class MemoryVault:
     def batch_rows(self, name: str, batch: Batch) -> DataFrame:
         return self._select(name, lambda b: b == batch.batch_id)
 
+    def empty(self, name: str) -> DataFrame:
+        return _empty(self.spark, schema_of(name))
+
     def append(self, name: str, rows: DataFrame, batch: Batch) -> int | None:
         kept = [(b, df) for b, df in self.parts.get(name, []) if b != batch.batch_id]
         self.parts[name] = kept + [(batch.batch_id, rows.select(*schema_of(name).fieldNames()))]
@@ -102,12 +118,18 @@ class ParquetVault:
     spark: SparkSession
     root: str
     files_per_batch: int | None = None
+    materialized = True  # every append is a write job
+
+    def empty(self, name: str) -> DataFrame:
+        return _empty(self.spark, schema_of(name))
 
     def _path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
     def _all(self, name: str) -> DataFrame:
         schema = StructType(list(schema_of(name).fields) + [StructField(BATCH_ID, LongType(), True)])
+        if not _may_exist(self._path(name)):
+            return _empty(self.spark, schema)
         try:
             return self.spark.read.schema(schema).parquet(self._path(name))
         except AnalysisException:
@@ -126,7 +148,7 @@ class ParquetVault:
 
     def append(self, name: str, rows: DataFrame, batch: Batch) -> int:
         """Write the batch's rows (replacing a previous attempt) and return their count."""
-        obs = Observation(f"append_{name}_{batch.batch_id}")
+        obs = Observation()
         out = rows.select(*schema_of(name).fieldNames()).observe(obs, F.count(F.lit(1)).alias("rows"))
         segment = VAULT_SEGMENT.get(name)
         if self.files_per_batch:

@@ -83,6 +83,29 @@ AUTH_EVENTS = ("add", "leave")
 
 RERUN_MODES = ("idempotent", "reference")
 
+# Tables each load reads besides staging (hubs it looks up, links it hangs off).
+DEPENDS: dict[str, tuple[str, ...]] = {
+    "l_admins": ("h_users",),
+    "l_user_message": ("h_users",),
+    "l_groups_dialogs": ("h_groups",),
+    "l_user_group_activity": ("h_users", "h_groups"),
+    "s_admins": ("l_admins", "h_groups"),
+    "s_dialog_info": ("h_dialogs",),
+    "s_auth_history": ("l_user_group_activity",),
+}
+
+
+def load_closure(targets) -> tuple[str, ...]:
+    """``targets`` and everything they read, in load order."""
+    needed: set[str] = set()
+    stack = list(targets)
+    while stack:
+        name = stack.pop()
+        if name not in needed:
+            needed.add(name)
+            stack.extend(DEPENDS.get(name, ()))
+    return tuple(t for t in LOAD_ORDER if t in needed)
+
 
 def hub_satellite_rows(spec: HubSatelliteSpec, staging: DataFrame, load_columns) -> DataFrame:
     """Hub key (the hash of the staged business key: the hub was just loaded
@@ -140,3 +163,12 @@ def auth_rows(group_log: DataFrame, unresolved: DataFrame, load_columns) -> tupl
         "user_id_from", "event", F.col("event_datetime").alias("event_dt"), *load_columns,
     )
     return rows, orphans
+
+
+def load_levels(tables) -> list[list[str]]:
+    """``tables`` grouped so that every table comes after everything it reads."""
+    level: dict[str, int] = {}
+    for name in LOAD_ORDER:
+        if name in tables:
+            level[name] = 1 + max((level[d] for d in DEPENDS.get(name, ()) if d in level), default=-1)
+    return [[t for t in level if level[t] == n] for n in range(max(level.values(), default=-1) + 1)]

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DateType, StringType, StructField, StructType
 
 from vaultline.functions.calendar import calendar_bucket
 from vaultline.functions.text import truncate_utf8_bytes
@@ -128,7 +128,7 @@ def refresh_staging(parsed: DataFrame, table: str, staging_root: str, as_of: str
     if date_col:
         out = out.withColumn(DATE_BUCKET, calendar_bucket(date_col, as_of))
         partitions.append(DATE_BUCKET)
-    obs = Observation(f"staging_{table}")
+    obs = Observation()
     out = out.observe(
         obs,
         F.count(F.when(~F.col(IS_REJECTED), 1)).alias("loaded"),
@@ -152,8 +152,6 @@ def _staged_schema(table: str) -> StructType:
         StructField(IS_REJECTED, BooleanType(), True),
     ]
     if STAGING_DATE_COLUMN[table]:
-        from pyspark.sql.types import DateType
-
         extra.append(StructField(DATE_BUCKET, DateType(), True))
     return StructType(list(STAGING[table].fields) + extra)
 
