@@ -33,11 +33,14 @@ def keep_new(
     null_safe: bool = False,
     candidate_rows: int | None = None,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of ``candidates`` whose ``keys`` do not occur in ``existing``.
 
     ``null_safe`` compares with ``<=>`` (NULL equals NULL), for satellites that
-    are insert-once on the whole row rather than on the key.
+    are insert-once on the whole row rather than on the key.  ``probe`` is a
+    cheap superset of the candidate keys (hashed straight from staging, no
+    lookups) used for the broadcast; without it the candidates are projected.
     """
     known = existing.select(*keys)
     if not null_safe:
@@ -48,7 +51,7 @@ def keep_new(
         return reduce(lambda a, b: a & b, pairs)
 
     if candidate_rows is not None and candidate_rows <= broadcast_rows:
-        probe = F.broadcast(candidates.select(*keys).distinct())
+        probe = F.broadcast((probe if probe is not None else candidates).select(*keys).distinct())
         hits = known.join(probe, cond(known, probe), "left_semi")
         # hits is a subset of the candidate keys, so the same bound holds for it
         hits = F.broadcast(hits)

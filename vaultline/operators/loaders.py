@@ -100,7 +100,8 @@ def load_hub(spec: HubSpec, source: DataFrame, existing: DataFrame, batch: Batch
         )
         .distinct()
     )
-    new = keep_new(rows, existing, [spec.key], candidate_rows=candidate_rows)
+    probe = source.select(hash_key(bk).alias(spec.key))
+    new = keep_new(rows, existing, [spec.key], candidate_rows=candidate_rows, probe=probe)
     bad = quarantine_rows(
         source.where(bk.isNull()), spec.table, F.lit(f"NULL {spec.business_key}"), source.columns
     )
@@ -162,7 +163,11 @@ def load_link(spec: LinkSpec, source: DataFrame, existing: DataFrame, batch: Bat
     rows = counted.where(ok).select(
         hash_key(*spec.hash_order).alias(spec.key), *key_cols, *batch.load_columns()
     )
-    new = keep_new(rows, existing, [spec.key], candidate_rows=candidate_rows)
+    # every resolved member key is the hash of its business key, so the link
+    # keys of this batch can be hashed from staging without any lookup
+    member_key = {hubs[lk.hub].key: hash_key(lk.column) for lk in spec.lookups}
+    probe = source.select(hash_key(*[member_key[k] for k in spec.hash_order]).alias(spec.key))
+    new = keep_new(rows, existing, [spec.key], candidate_rows=candidate_rows, probe=probe)
     bad = quarantine_rows(resolved.where(~ok), spec.table, reason, cols)
     return LoadResult(new, bad, obs)
 

@@ -46,6 +46,21 @@ class Batch:
         ]
 
 
+def observed(obs: Observation | None, name: str) -> int | None:
+    """An observed count, or None when the metrics never arrived.
+
+    Adaptive execution may replace a subtree it finds empty at runtime, and
+    the observation inside it then reports nothing; callers fall back to
+    counting (or to the slower path) in that case.
+    """
+    if obs is None:
+        return None
+    try:
+        return int(obs.get[name])
+    except Exception:  # noqa: BLE001 - the metrics row is missing or malformed
+        return None
+
+
 def schema_of(name: str) -> StructType:
     """Schema of a vault table, or of a quarantine table ``q_<table>``."""
     if name in VAULT:
@@ -159,5 +174,9 @@ class ParquetVault:
             out = out.hint("rebalance", segment) if segment else out.hint("rebalance")
         if segment:
             out = out.sortWithinPartitions(segment)
-        out.write.mode("overwrite").parquet(f"{self._path(name)}/{BATCH_ID}={batch.batch_id}")
-        return int(obs.get["rows"])
+        target = f"{self._path(name)}/{BATCH_ID}={batch.batch_id}"
+        out.write.mode("overwrite").parquet(target)
+        n = observed(obs, "rows")
+        if n is None:  # the written files' row counts live in their footers
+            n = self.spark.read.schema(schema_of(name)).parquet(target).count()
+        return n

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.operators.loaders import load_hub, load_link, load_satellite, quarantine_rows
-from vaultline.operators.store import Batch
+from vaultline.operators.store import Batch, observed
 from vaultline.plans import model
 from vaultline.schemas import STAGING
 
@@ -72,7 +72,7 @@ def load_vault(
         report.rows[name] = store.append(name, rows, batch)
         if quarantine is None:
             return
-        if track and quarantined is not None and int(quarantined.get["n"]) == 0:
+        if track and observed(quarantined, "n") == 0:
             # counted while the rows were written: clear the batch's quarantine
             # without a second pass over the source
             report.quarantined[name] = store.append(f"q_{name}", store.empty(f"q_{name}"), batch)
