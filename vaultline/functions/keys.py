@@ -11,8 +11,6 @@ arguments, so a failed lookup can never masquerade as a valid key.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,14 +24,21 @@ def _as_column(c: str | Column) -> Column:
 
 
 def hash_key(*cols: str | Column) -> Column:
-    """Deterministic 60-bit ``bigint`` key of one or more columns."""
+    """Deterministic 60-bit ``bigint`` key of one or more columns.
+
+    ``concat`` (unlike ``concat_ws``) is NULL as soon as one part is NULL, and
+    md5/conv/cast pass the NULL through: no conditional is needed, so nested
+    keys evaluate each inner key once.
+    """
     if not cols:
         raise ValueError("hash_key needs at least one column")
-    parts = [_as_column(c).cast("string") for c in cols]
-    digest = F.md5(F.concat_ws(KEY_SEPARATOR, *parts))
-    key = F.conv(F.substring(digest, 1, KEY_HEX_DIGITS), 16, 10).cast("long")
-    all_present = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
-    return F.when(all_present, key)
+    parts: list[Column] = []
+    for c in cols:
+        if parts:
+            parts.append(F.lit(KEY_SEPARATOR))
+        parts.append(_as_column(c).cast("string"))
+    digest = F.md5(F.concat(*parts))
+    return F.conv(F.substring(digest, 1, KEY_HEX_DIGITS), 16, 10).cast("long")
 
 
 def hash_key_sql(*exprs: str) -> str:

@@ -90,15 +90,18 @@ def load_hub(spec: HubSpec, source: DataFrame, existing: DataFrame, batch: Batch
              candidate_rows: int | None = None, track: bool = False) -> LoadResult:
     bk = F.col(spec.business_key)
     counted, obs = _observed(source, bk.isNull(), track)
+    # dedupe first, hash after: fewer rows to hash, and the hashing runs after
+    # the shuffle (the key is a function of the business key, so it is equal)
     rows = (
         counted.where(bk.isNotNull())
+        .select(bk.alias(spec.key_name), *[F.col(a) for a in spec.attributes])
+        .distinct()
         .select(
-            hash_key(bk).alias(spec.key),
-            bk.alias(spec.key_name),
-            *[F.col(a) for a in spec.attributes],
+            hash_key(spec.key_name).alias(spec.key),
+            spec.key_name,
+            *spec.attributes,
             *batch.load_columns(),
         )
-        .distinct()
     )
     probe = source.select(hash_key(bk).alias(spec.key))
     new = keep_new(rows, existing, [spec.key], candidate_rows=candidate_rows, probe=probe)

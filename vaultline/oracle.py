@@ -306,6 +306,7 @@ def oracle_sql() -> dict[str, str]:
     q["senders_per_group"] = first + SENDERS_SQL
     q["users_added_per_group"] = marts + ADDED_SQL
     q["group_conversion"] = marts.rstrip("\n") + ",\n" + CONVERSION_SQL
+    q["group_conversion_single_plan"] = q["group_conversion"]
     q["audit_duplicate_keys"] = first + _audit_duplicates()
     q["audit_orphans"] = first + _audit_orphans()
     q["audit_check_age"] = first + _audit_age()

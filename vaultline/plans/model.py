@@ -112,8 +112,11 @@ def hub_satellite_rows(spec: HubSatelliteSpec, staging: DataFrame, load_columns)
     from this table) with the attributes."""
     hub = HUBS[spec.hub]
     bk = F.col(hub.business_key)
-    return staging.where(bk.isNotNull()).select(
-        hash_key(bk).alias(hub.key), *[F.col(a) for a in spec.attributes], *load_columns
+    return (
+        staging.where(bk.isNotNull())
+        .select(bk.alias("__bk"), *spec.attributes)
+        .distinct()
+        .select(hash_key("__bk").alias(hub.key), *spec.attributes, *load_columns)
     )
 
 
@@ -129,9 +132,12 @@ def admin_rows(l_admins: DataFrame, h_groups: DataFrame, load_columns) -> DataFr
 
 
 def dialog_rows_from_staging(dialogs: DataFrame, load_columns) -> DataFrame:
-    return dialogs.where(F.col("message_id").isNotNull()).select(
-        hash_key("message_id").alias("hk_message_id"),
-        "message_from", "message_to", "message", *load_columns,
+    return (
+        dialogs.where(F.col("message_id").isNotNull())
+        .select("message_id", "message_from", "message_to", "message")
+        .distinct()
+        .select(hash_key("message_id").alias("hk_message_id"),
+                "message_from", "message_to", "message", *load_columns)
     )
 
 
@@ -158,9 +164,13 @@ def auth_rows(group_log: DataFrame, unresolved: DataFrame, load_columns) -> tupl
     on = events.user_id.eqNullSafe(bad.user_id) & events.group_id.eqNullSafe(bad.group_id)
     placed = events.join(bad, on, "left_anti")
     orphans = events.join(bad, on, "left_semi")
-    rows = placed.select(
-        hash_key(hash_key("user_id"), hash_key("group_id")).alias("hk_l_user_group_activity"),
-        "user_id_from", "event", F.col("event_datetime").alias("event_dt"), *load_columns,
+    rows = (
+        placed.select("user_id", "group_id", "user_id_from", "event", "event_datetime")
+        .distinct()
+        .select(
+            hash_key(hash_key("user_id"), hash_key("group_id")).alias("hk_l_user_group_activity"),
+            "user_id_from", "event", F.col("event_datetime").alias("event_dt"), *load_columns,
+        )
     )
     return rows, orphans
 

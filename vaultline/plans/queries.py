@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from vaultline.functions.calendar import calendar_bucket
 from vaultline.functions.text import truncate_utf8_bytes
 from vaultline.operators import audits
-from vaultline.operators.store import Batch, ParquetVault
+from vaultline.operators.store import Batch, MemoryVault, ParquetVault
 from vaultline.plans import marts, model
+from vaultline.plans.batch import load_vault
 from vaultline.plans.pipeline import run_batch
 from vaultline.schemas import STAGING, STAGING_DATE_COLUMN
 from vaultline.session import checkpoint_dir
@@ -156,6 +157,23 @@ def calendar_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Tables the conversion report reads.
+CONVERSION_TABLES = ("h_groups", "l_user_group_activity", "s_auth_history",
+                     "l_groups_dialogs", "l_user_message")
+
+
+def group_conversion_single_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversion report as one lazy plan straight from the driver tables.
+
+    Nothing is stored: the adapter, the loads of only the tables the report
+    reads (and what they depend on) and the report compose into one plan.
+    """
+    store = MemoryVault(spark)
+    load_vault(staging_from_driver_tables(spark, sf_dir), store, BATCH_1,
+               tables=model.load_closure(CONVERSION_TABLES))
+    return marts.group_conversion(store.table)
+
+
 def _mart(fn) -> Query:
     return lambda spark, sf_dir: fn(loaded(spark, sf_dir).vault.table)
 
@@ -214,6 +232,7 @@ def all_queries() -> dict[str, Query]:
         )
     )
     q["group_conversion"] = _mart(marts.group_conversion)
+    q["group_conversion_single_plan"] = group_conversion_single_plan
     q["audit_duplicate_keys"] = _audit(audits.duplicate_keys)
     q["audit_orphans"] = _audit(audits.orphans)
     q["audit_check_age"] = _audit(audits.check_age)
