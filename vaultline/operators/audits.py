@@ -4,7 +4,10 @@ Primary and foreign keys are informational in the source warehouse, so
 duplicates and orphans can land; these jobs find them.  Every audit returns
 one row per checked constraint:
 ``(table_name, constraint_name, column_name, n_checked, n_violations)``.
-Each table is scanned once per audit (counts are conditional aggregates).
+
+Checks are batched: all primary keys go through one tagged aggregation, all
+references to one parent table through one join, and all NOT NULL columns of
+a table through one scan, instead of one job per constraint.
 """
 
 from __future__ import annotations
@@ -17,21 +20,6 @@ from pyspark.sql import functions as F
 from vaultline.plans.model import HUBS
 from vaultline.schemas import STAGING_KEYS, VAULT_NOT_NULL
 
-
-def _row(df: DataFrame, table: str, constraint: str, column: str) -> DataFrame:
-    return df.select(
-        F.lit(table).alias("table_name"),
-        F.lit(constraint).alias("constraint_name"),
-        F.lit(column).alias("column_name"),
-        F.col("n_checked").cast("long").alias("n_checked"),
-        F.col("n_violations").cast("long").alias("n_violations"),
-    )
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
-
-
 # Declared primary keys of the vault hubs and links.
 VAULT_KEYS = {
     "h_users": "hk_user_id",
@@ -43,45 +31,6 @@ VAULT_KEYS = {
     "l_user_group_activity": "hk_l_user_group_activity",
 }
 
-
-def _duplicates(df: DataFrame, key: str) -> DataFrame:
-    per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_checked"),
-        F.count_if(F.col("n") > 1).alias("n_violations"),
-    )
-
-
-def duplicate_keys(staging: dict[str, DataFrame], tables) -> DataFrame:
-    """Primary keys appearing more than once, and hash keys shared by two business keys."""
-    out = []
-    for name, key in STAGING_KEYS.items():
-        if key:
-            out.append(_row(_duplicates(staging[name], key), f"stg_{name}", "primary_key", key))
-    for name, key in VAULT_KEYS.items():
-        out.append(_row(_duplicates(tables(name), key), name, "primary_key", key))
-    for name, spec in HUBS.items():
-        per_key = (
-            tables(name).groupBy(spec.key).agg(F.countDistinct(spec.key_name).alias("n_business_keys"))
-        )
-        collisions = per_key.agg(
-            F.count(F.lit(1)).alias("n_checked"),
-            F.count_if(F.col("n_business_keys") > 1).alias("n_violations"),
-        )
-        out.append(_row(collisions, name, "hash_collision", spec.key))
-    return _union(out)
-
-
-def _orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    keys = parent.select(F.col(pk).alias("__pk")).where(F.col("__pk").isNotNull()).distinct()
-    keys = keys.withColumn("__found", F.lit(True))
-    refs = child.select(F.col(fk).alias("__fk")).where(F.col("__fk").isNotNull())
-    return refs.join(keys, refs.__fk == keys.__pk, "left").agg(
-        F.count(F.lit(1)).alias("n_checked"),
-        F.count_if(F.col("__found").isNull()).alias("n_violations"),
-    )
-
-
 # Declared foreign keys (child table, column, parent table, column).
 STAGING_FOREIGN_KEYS = (
     ("groups", "admin_id", "users", "id"),
@@ -109,29 +58,93 @@ VAULT_FOREIGN_KEYS = (
 )
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def _tagged(df: DataFrame, tag: str, *cols: str) -> DataFrame:
+    return df.select(F.lit(tag).alias("tag"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
+
+
+def _report(counts: DataFrame, checks: list[tuple[str, str, str]], spark) -> DataFrame:
+    """One row per (table, constraint, column) check; checks with no rows report zeros."""
+    wanted = spark.createDataFrame(
+        [(f"{t}|{c}|{col}", t, c, col) for t, c, col in checks],
+        "tag string, table_name string, constraint_name string, column_name string",
+    )
+    return wanted.join(counts, "tag", "left").select(
+        "table_name", "constraint_name", "column_name",
+        F.coalesce("n_checked", F.lit(0)).cast("long").alias("n_checked"),
+        F.coalesce("n_violations", F.lit(0)).cast("long").alias("n_violations"),
+    )
+
+
+def _frame(staging: dict[str, DataFrame], tables, name: str) -> DataFrame:
+    return staging[name[4:]] if name.startswith("stg_") else tables(name)
+
+
+def duplicate_keys(staging: dict[str, DataFrame], tables) -> DataFrame:
+    """Primary keys appearing more than once, and hash keys shared by two business keys."""
+    pk_checks = [(f"stg_{n}", "primary_key", k) for n, k in STAGING_KEYS.items() if k]
+    pk_checks += [(n, "primary_key", k) for n, k in VAULT_KEYS.items()]
+    keys = _union([
+        _tagged(_frame(staging, tables, t), f"{t}|{c}|{k}", k) for t, c, k in pk_checks
+    ]).where(F.col("v0").isNotNull())
+    per_key = keys.groupBy("tag", "v0").agg(F.count(F.lit(1)).alias("n"))
+    pk = per_key.groupBy("tag").agg(
+        F.sum("n").alias("n_checked"), F.count_if(F.col("n") > 1).alias("n_violations")
+    )
+    hk_checks = [(n, "hash_collision", s.key) for n, s in HUBS.items()]
+    members = _union([
+        _tagged(tables(n), f"{n}|{c}|{k}", k, HUBS[n].key_name) for n, c, k in hk_checks
+    ])
+    per_hk = members.groupBy("tag", "v0").agg(F.countDistinct("v1").alias("n"))
+    collisions = per_hk.groupBy("tag").agg(
+        F.count(F.lit(1)).alias("n_checked"), F.count_if(F.col("n") > 1).alias("n_violations")
+    )
+    spark = keys.sparkSession
+    return _report(pk.unionByName(collisions), pk_checks + hk_checks, spark)
+
+
 def orphans(staging: dict[str, DataFrame], tables) -> DataFrame:
-    """References (non-NULL) to a parent row that does not exist."""
-    out = [
-        _row(_orphans(staging[c], fk, staging[p], pk), f"stg_{c}", f"foreign_key:stg_{p}", fk)
-        for c, fk, p, pk in STAGING_FOREIGN_KEYS
-    ] + [
-        _row(_orphans(tables(c), fk, tables(p), pk), c, f"foreign_key:{p}", fk)
-        for c, fk, p, pk in VAULT_FOREIGN_KEYS
-    ]
-    return _union(out)
+    """References (non-NULL) to a parent row that does not exist.
+
+    References to the same parent are tagged and checked together: one join
+    (one shuffle of the parent's keys) per parent table, not per reference.
+    """
+    fks = [(f"stg_{c}", fk, f"stg_{p}", pk) for c, fk, p, pk in STAGING_FOREIGN_KEYS]
+    fks += list(VAULT_FOREIGN_KEYS)
+    counts = []
+    for parent in dict.fromkeys(p for _, _, p, _ in fks):
+        group = [(c, fk, pk) for c, fk, p, pk in fks if p == parent]
+        pk = group[0][2]
+        refs = _union([
+            _tagged(_frame(staging, tables, c), f"{c}|foreign_key:{parent}|{fk}", fk)
+            for c, fk, _ in group
+        ]).where(F.col("v0").isNotNull())
+        keys = (_frame(staging, tables, parent).select(F.col(pk).alias("k"))
+                .where(F.col("k").isNotNull()).distinct().withColumn("found", F.lit(True)))
+        counts.append(
+            refs.join(keys, refs.v0 == keys.k, "left").groupBy("tag").agg(
+                F.count(F.lit(1)).alias("n_checked"),
+                F.count_if(F.col("found").isNull()).alias("n_violations"),
+            )
+        )
+    checks = [(c, f"foreign_key:{p}", fk) for c, fk, p, _ in fks]
+    return _report(_union(counts), checks, counts[0].sparkSession)
 
 
 def check_age(staging: dict[str, DataFrame], tables) -> DataFrame:
     """``age >= 0`` (a NULL age passes, as a SQL CHECK does)."""
-    def audit(df: DataFrame) -> DataFrame:
+    def audit(df: DataFrame, table: str) -> DataFrame:
         return df.agg(
             F.count("age").alias("n_checked"), F.count_if(F.col("age") < 0).alias("n_violations")
-        )
+        ).select(F.lit(f"{table}|check:age>=0|age").alias("tag"), "n_checked", "n_violations")
 
-    return _union([
-        _row(audit(staging["users"]), "stg_users", "check:age>=0", "age"),
-        _row(audit(tables("s_user_socdem")), "s_user_socdem", "check:age>=0", "age"),
-    ])
+    counts = audit(staging["users"], "stg_users").unionByName(
+        audit(tables("s_user_socdem"), "s_user_socdem"))
+    checks = [("stg_users", "check:age>=0", "age"), ("s_user_socdem", "check:age>=0", "age")]
+    return _report(counts, checks, counts.sparkSession)
 
 
 def not_null(staging: dict[str, DataFrame], tables) -> DataFrame:
@@ -148,12 +161,11 @@ def not_null(staging: dict[str, DataFrame], tables) -> DataFrame:
                 for c in cols
             ])
         )
-        rows = counts.select("n_checked", per_col.alias("v")).select(
+        out.append(counts.select("n_checked", per_col.alias("v")).select(
             F.lit(name).alias("table_name"),
             F.lit("not_null").alias("constraint_name"),
             F.col("v.column_name").alias("column_name"),
             F.col("n_checked").cast("long").alias("n_checked"),
             F.col("v.n_violations").cast("long").alias("n_violations"),
-        )
-        out.append(rows)
+        ))
     return _union(out)

@@ -134,6 +134,7 @@ class ParquetVault:
     root: str
     files_per_batch: int | None = None
     materialized = True  # every append is a write job
+    _frames: dict = field(default_factory=dict, repr=False)
 
     def empty(self, name: str) -> DataFrame:
         return _empty(self.spark, schema_of(name))
@@ -142,13 +143,19 @@ class ParquetVault:
         return f"{self.root.rstrip('/')}/{name}"
 
     def _all(self, name: str) -> DataFrame:
+        """The stored table with its batch column (file listing cached until an append)."""
+        cached = self._frames.get(name)
+        if cached is not None:
+            return cached
         schema = StructType(list(schema_of(name).fields) + [StructField(BATCH_ID, LongType(), True)])
         if not _may_exist(self._path(name)):
             return _empty(self.spark, schema)
         try:
-            return self.spark.read.schema(schema).parquet(self._path(name))
+            df = self.spark.read.schema(schema).parquet(self._path(name))
         except AnalysisException:
             return _empty(self.spark, schema)
+        self._frames[name] = df
+        return df
 
     def table(self, name: str) -> DataFrame:
         return self._all(name).select(*schema_of(name).fieldNames())
@@ -175,7 +182,9 @@ class ParquetVault:
         if segment:
             out = out.sortWithinPartitions(segment)
         target = f"{self._path(name)}/{BATCH_ID}={batch.batch_id}"
+        self._frames.pop(name, None)
         out.write.mode("overwrite").parquet(target)
+        self._frames.pop(name, None)
         n = observed(obs, "rows")
         if n is None:  # the written files' row counts live in their footers
             n = self.spark.read.schema(schema_of(name)).parquet(target).count()
