@@ -65,7 +65,7 @@ def main() -> None:
         spark, B2, staging_root=staging_root, vault_root=vault_root, frames=source))
     assert all(n == 0 for n in nxt.vault.rows.values()), nxt.vault.rows
 
-    vault = ParquetVault(spark, vault_root)
+    vault = ParquetVault(spark, vault_root, cache_reads=True)
     rows = timed("group_conversion", lambda: marts.group_conversion(vault.table).collect())
     single = timed("group_conversion_single_plan",
                    lambda: group_conversion_single_plan(spark, SF_DIR).collect())

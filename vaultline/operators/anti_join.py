@@ -20,9 +20,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound under which the candidate keys of one batch are broadcast
-# (8-byte keys: 20M keys stay well under the default 8 GiB broadcast ceiling).
-DEFAULT_BROADCAST_ROWS = 20_000_000
+# Default bound under which the candidate keys of one batch are broadcast:
+# 4M 8-byte keys hash to roughly 100 MB per executor.
+DEFAULT_BROADCAST_ROWS = 4_000_000
 
 
 def keep_new(

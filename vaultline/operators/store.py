@@ -133,6 +133,9 @@ class ParquetVault:
     spark: SparkSession
     root: str
     files_per_batch: int | None = None
+    # Keep each table's file listing until this instance appends to it.  Only
+    # safe while no other writer touches the vault (one run, a finished vault).
+    cache_reads: bool = False
     materialized = True  # every append is a write job
     _frames: dict = field(default_factory=dict, repr=False)
 
@@ -154,7 +157,8 @@ class ParquetVault:
             df = self.spark.read.schema(schema).parquet(self._path(name))
         except AnalysisException:
             return _empty(self.spark, schema)
-        self._frames[name] = df
+        if self.cache_reads:
+            self._frames[name] = df
         return df
 
     def table(self, name: str) -> DataFrame:

@@ -89,7 +89,7 @@ def run_batch(
     staging = {name: read_staging(spark, staging_root, name) for name in STAGING}
     staged_rows = {name: r.rows_loaded for name, r in report.staging.items()}
     report.vault = load_vault(
-        staging, ParquetVault(spark, vault_root), batch,
+        staging, ParquetVault(spark, vault_root, cache_reads=True), batch,
         mode=mode, strict=strict, staged_rows=staged_rows, tables=tables,
     )
     return report

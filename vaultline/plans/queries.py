@@ -56,7 +56,7 @@ class Loaded:
 
     @property
     def vault(self) -> ParquetVault:
-        return ParquetVault(self.spark, self.vault_root)
+        return ParquetVault(self.spark, self.vault_root, cache_reads=True)
 
     def staging(self) -> dict[str, DataFrame]:
         return {name: read_staging(self.spark, self.staging_root, name) for name in STAGING}
