@@ -96,10 +96,11 @@ class MemoryVault:
     spark: SparkSession
     parts: dict[str, list[tuple[int, DataFrame]]] = field(default_factory=dict)
     materialized = False  # appends only record plans
+    _empties: dict = field(default_factory=dict, repr=False)
 
     def _select(self, name: str, keep) -> DataFrame:
         frames = [df for b, df in self.parts.get(name, []) if keep(b)]
-        return _union(frames) if frames else _empty(self.spark, schema_of(name))
+        return _union(frames) if frames else self.empty(name)
 
     def table(self, name: str) -> DataFrame:
         return self._select(name, lambda b: True)
@@ -111,7 +112,10 @@ class MemoryVault:
         return self._select(name, lambda b: b == batch.batch_id)
 
     def empty(self, name: str) -> DataFrame:
-        return _empty(self.spark, schema_of(name))
+        key = f"empty:{name}"
+        if key not in self._empties:
+            self._empties[key] = _empty(self.spark, schema_of(name))
+        return self._empties[key]
 
     def append(self, name: str, rows: DataFrame, batch: Batch) -> int | None:
         kept = [(b, df) for b, df in self.parts.get(name, []) if b != batch.batch_id]

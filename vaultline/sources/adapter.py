@@ -16,15 +16,20 @@ from pyspark.sql import functions as F
 from vaultline.sources.staging import conform
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def staging_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = _read(spark, sf_dir, "customer")
-    nation = _read(spark, sf_dir, "nation")
+def _read(spark: SparkSession, sf_dir: str, name: str, _reads: dict | None = None) -> DataFrame:
+    if _reads is not None and name in _reads:
+        return _reads[name]
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if _reads is not None:
+        _reads[name] = df
+    return df
+
+
+def staging_users(spark: SparkSession, sf_dir: str, _reads: dict | None = None) -> DataFrame:
+    customer = _read(spark, sf_dir, "customer", _reads)
+    nation = _read(spark, sf_dir, "nation", _reads)
     first_order = (
-        _read(spark, sf_dir, "orders")
+        _read(spark, sf_dir, "orders", _reads)
         .groupBy("o_custkey")
         .agg(F.min("o_orderdate").alias("first_order_dt"))
     )
@@ -42,10 +47,10 @@ def staging_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(df, "users")
 
 
-def staging_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = _read(spark, sf_dir, "supplier")
+def staging_groups(spark: SparkSession, sf_dir: str, _reads: dict | None = None) -> DataFrame:
+    supplier = _read(spark, sf_dir, "supplier", _reads)
     first_ship = (
-        _read(spark, sf_dir, "lineitem")
+        _read(spark, sf_dir, "lineitem", _reads)
         .groupBy("l_suppkey")
         .agg(F.min("l_shipdate").alias("first_ship_dt"))
     )
@@ -59,10 +64,10 @@ def staging_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(df, "groups")
 
 
-def staging_dialogs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _read(spark, sf_dir, "orders")
+def staging_dialogs(spark: SparkSession, sf_dir: str, _reads: dict | None = None) -> DataFrame:
+    orders = _read(spark, sf_dir, "orders", _reads)
     order_group = (
-        _read(spark, sf_dir, "lineitem")
+        _read(spark, sf_dir, "lineitem", _reads)
         .groupBy("l_orderkey")
         .agg(F.min("l_suppkey").alias("first_suppkey"))
     )
@@ -77,9 +82,9 @@ def staging_dialogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(df, "dialogs")
 
 
-def staging_group_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = _read(spark, sf_dir, "lineitem")
-    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+def staging_group_log(spark: SparkSession, sf_dir: str, _reads: dict | None = None) -> DataFrame:
+    lineitem = _read(spark, sf_dir, "lineitem", _reads)
+    orders = _read(spark, sf_dir, "orders", _reads).select("o_orderkey", "o_custkey")
     df = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey, "inner").select(
         F.col("l_suppkey").alias("group_id"),
         F.col("o_custkey").alias("user_id"),
@@ -104,5 +109,6 @@ STAGING_BUILDERS = {
 
 
 def staging_from_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All four staging frames (lazy)."""
-    return {name: build(spark, sf_dir) for name, build in STAGING_BUILDERS.items()}
+    """All four staging frames (lazy); each driver table is read once and shared."""
+    reads: dict = {}
+    return {name: build(spark, sf_dir, reads) for name, build in STAGING_BUILDERS.items()}
