@@ -42,7 +42,10 @@ def senders_per_group(l_groups_dialogs: DataFrame, l_user_message: DataFrame,
 
 def users_added_per_group(l_user_group_activity: DataFrame, s_auth_history: DataFrame,
                           first_groups: DataFrame) -> DataFrame:
-    added = s_auth_history.where(F.col("event") == "add").select("hk_l_user_group_activity")
+    # one row per link with an add (a link with many adds collapses map-side,
+    # so it cannot pile up on one side of the semi-join)
+    added = (s_auth_history.where(F.col("event") == "add")
+             .select("hk_l_user_group_activity").distinct())
     return (
         l_user_group_activity.select("hk_l_user_group_activity", "hk_group_id", "hk_user_id")
         # the first groups are at most FIRST_GROUPS rows: a proven broadcast bound

@@ -19,6 +19,8 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import threading
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -63,13 +65,39 @@ class Loaded:
 
 
 _LOADED: dict[tuple[str, str, str], Loaded] = {}
+_LOCK = threading.Lock()
+_DONE = "_VAULTLINE_COMPLETE"
+
+
+def _fingerprint(sf_dir: str, scenario: str) -> str:
+    """Identity of a stored scenario: the code that builds it and the input files."""
+    h = hashlib.sha1(f"{sf_dir}|{scenario}".encode())
+    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for folder, _, files in sorted(os.walk(pkg)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(folder, f), "rb") as fh:
+                    h.update(fh.read())
+    for name in ("customer", "nation", "supplier", "orders", "lineitem"):
+        st = os.stat(f"{sf_dir}/{name}.parquet")
+        h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
+    return h.hexdigest()[:16]
 
 
 def _work_root(spark: SparkSession) -> str:
-    base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="vaultline-checkpoint-"))
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:  # only where the session names no shared folder (local runs)
+        base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="vaultline-checkpoint-"))
     return f"{base.rstrip('/')}/vaultline"
 
 
+def _local(path: str) -> str | None:
+    """The local file system path of ``path``, or None for a remote one."""
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    return None if "://" in path else path
+
+
 def staging_before(staging: dict[str, DataFrame], cutoff: str) -> dict[str, DataFrame]:
     """The source as it stood at ``cutoff``: rows dated before it (undated rows not yet)."""
     out = {}
@@ -80,14 +108,41 @@ def staging_before(staging: dict[str, DataFrame], cutoff: str) -> dict[str, Data
 
 
 def loaded(spark: SparkSession, sf_dir: str, scenario: str = "first") -> Loaded:
+    """The stored scenario for ``sf_dir``; built on first use (one builder at a time).
+
+    A scenario finished earlier (same code, same input files) under the same
+    local checkpoint folder is reused; one that did not finish is never reused
+    (every build writes a fresh folder and names it in a pointer at the end).
+    """
     sf_dir = os.path.abspath(sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir, scenario)
-    hit = _LOADED.get(key)
-    if hit is not None and (not hit.vault_root.startswith("/") or os.path.isdir(hit.vault_root)):
-        return hit
-    tag = hashlib.sha1(f"{key}".encode()).hexdigest()[:12]
-    root = f"{_work_root(spark)}/{scenario}-{tag}"
-    out = Loaded(spark, f"{root}/staging", f"{root}/vault")
+    with _LOCK:
+        hit = _LOADED.get(key)
+        if hit is not None:
+            return hit
+        work = _work_root(spark)
+        tag = f"{scenario}-{_fingerprint(sf_dir, scenario)}"
+        local = _local(work)
+        pointer = os.path.join(local, f"{tag}{_DONE}") if local else None
+        root = None
+        if pointer and os.path.exists(pointer):
+            with open(pointer) as fh:
+                root = fh.read().strip()
+            if not os.path.isdir(_local(root) or ""):
+                root = None  # the stored folder is gone: build again
+        if root is None:
+            # a fresh folder per build: a build that died half way is never reused
+            root = f"{work}/{tag}-{uuid.uuid4().hex[:8]}"
+            _build(spark, sf_dir, scenario, Loaded(spark, f"{root}/staging", f"{root}/vault"))
+            if pointer:
+                with open(pointer, "w") as fh:
+                    fh.write(root)
+        out = Loaded(spark, f"{root}/staging", f"{root}/vault")
+        _LOADED[key] = out
+        return out
+
+
+def _build(spark: SparkSession, sf_dir: str, scenario: str, out: Loaded) -> None:
     source = staging_from_driver_tables(spark, sf_dir)
     mode = "reference" if scenario == "second_reference" else "idempotent"
     if scenario == "first":
@@ -100,8 +155,6 @@ def loaded(spark: SparkSession, sf_dir: str, scenario: str = "first") -> Loaded:
                   frames=source, mode=mode)
     else:
         raise ValueError(scenario)
-    _LOADED[key] = out
-    return out
 
 
 def _vault_query(table: str) -> Query:
