@@ -103,7 +103,9 @@ def load_hub(spec: HubSpec, source: DataFrame, existing: DataFrame, batch: Batch
             *batch.load_columns(),
         )
     )
-    probe = source.select(hash_key(bk).alias(spec.key))
+    # keys of this batch for the broadcast probe: distinct business keys, hashed
+    probe = source.where(bk.isNotNull()).select(bk.alias("__bk")).distinct().select(
+        hash_key("__bk").alias(spec.key))
     new = keep_new(rows, existing, [spec.key], candidate_rows=candidate_rows, probe=probe)
     bad = quarantine_rows(
         source.where(bk.isNull()), spec.table, F.lit(f"NULL {spec.business_key}"), source.columns
@@ -167,9 +169,9 @@ def load_link(spec: LinkSpec, source: DataFrame, existing: DataFrame, batch: Bat
         hash_key(*spec.hash_order).alias(spec.key), *key_cols, *batch.load_columns()
     )
     # every resolved member key is the hash of its business key, so the link
-    # keys of this batch can be hashed from staging without any lookup
+    # keys of this batch are hashed from the distinct pairs, without lookups
     member_key = {hubs[lk.hub].key: hash_key(lk.column) for lk in spec.lookups}
-    probe = source.select(hash_key(*[member_key[k] for k in spec.hash_order]).alias(spec.key))
+    probe = pairs.select(hash_key(*[member_key[k] for k in spec.hash_order]).alias(spec.key))
     new = keep_new(rows, existing, [spec.key], candidate_rows=candidate_rows, probe=probe)
     bad = quarantine_rows(resolved.where(~ok), spec.table, reason, cols)
     return LoadResult(new, bad, obs)
