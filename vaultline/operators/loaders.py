@@ -19,9 +19,6 @@ from vaultline.functions.keys import hash_key
 from vaultline.operators.anti_join import keep_new
 from vaultline.operators.store import Batch
 
-LOAD_COLUMNS = ("load_dt", "load_src")
-
-
 @dataclass(frozen=True)
 class HubSpec:
     table: str
@@ -104,9 +101,13 @@ def load_hub(spec: HubSpec, source: DataFrame, existing: DataFrame, batch: Batch
         )
     )
     # keys of this batch for the broadcast probe: distinct business keys, hashed
-    probe = source.where(bk.isNotNull()).select(bk.alias("__bk")).distinct().select(
-        hash_key("__bk").alias(spec.key))
-    new = keep_new(rows, existing, [spec.key], candidate_rows=candidate_rows, probe=probe)
+    probe = source.where(bk.isNotNull()).select(bk.alias(spec.key_name)).distinct().select(
+        hash_key(spec.key_name).alias(spec.key), spec.key_name)
+    # "already loaded" compares the business key too: a new member whose hash
+    # collides with an old one is loaded (and reported by the collision audit)
+    # instead of being silently taken for the old one
+    new = keep_new(rows, existing, [spec.key, spec.key_name], candidate_rows=candidate_rows,
+                   probe=probe)
     bad = quarantine_rows(
         source.where(bk.isNull()), spec.table, F.lit(f"NULL {spec.business_key}"), source.columns
     )
@@ -171,8 +172,13 @@ def load_link(spec: LinkSpec, source: DataFrame, existing: DataFrame, batch: Bat
     # every resolved member key is the hash of its business key, so the link
     # keys of this batch are hashed from the distinct pairs, without lookups
     member_key = {hubs[lk.hub].key: hash_key(lk.column) for lk in spec.lookups}
-    probe = pairs.select(hash_key(*[member_key[k] for k in spec.hash_order]).alias(spec.key))
-    new = keep_new(rows, existing, [spec.key], candidate_rows=candidate_rows, probe=probe)
+    probe = pairs.select(
+        hash_key(*[member_key[k] for k in spec.hash_order]).alias(spec.key),
+        *[member_key[k].alias(k) for k in key_cols],
+    )
+    # compared with the member keys too, so a colliding link key is not lost
+    new = keep_new(rows, existing, [spec.key, *key_cols], candidate_rows=candidate_rows,
+                   probe=probe)
     bad = quarantine_rows(resolved.where(~ok), spec.table, reason, cols)
     return LoadResult(new, bad, obs)
 
