@@ -76,6 +76,13 @@ def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.range(1).select(*cols).where(F.lit(False))
 
 
+def _local(path: str) -> str | None:
+    """The local file system path of ``path``, or None for a remote one."""
+    if path.startswith("file:"):
+        path = "/" + path[len("file:"):].lstrip("/")
+    return None if "://" in path else path
+
+
 def _may_exist(path: str) -> bool:
     """False only for a local path that is certainly absent (remote paths are tried)."""
     if path.startswith("file:"):
@@ -111,6 +118,10 @@ class MemoryVault:
     def batch_rows(self, name: str, batch: Batch) -> DataFrame:
         return self._select(name, lambda b: b == batch.batch_id)
 
+    def clear(self, name: str, batch: Batch) -> None:
+        self.append(name, self.empty(name), batch)
+        return None
+
     def empty(self, name: str) -> DataFrame:
         key = f"empty:{name}"
         if key not in self._empties:
@@ -176,6 +187,13 @@ class ParquetVault:
         df = self._all(name).where(F.col(BATCH_ID) == F.lit(batch.batch_id))
         return df.select(*schema_of(name).fieldNames())
 
+    def clear(self, name: str, batch: Batch) -> int:
+        """Make the batch's part of ``name`` empty (a previous attempt may have written it)."""
+        target = _local(f"{self._path(name)}/{BATCH_ID}={batch.batch_id}")
+        if target is not None and not os.path.exists(target):
+            return 0  # nothing was ever written for this batch: nothing to clear
+        return self.append(name, self.empty(name), batch)
+
     def append(self, name: str, rows: DataFrame, batch: Batch) -> int:
         """Write the batch's rows (replacing a previous attempt) and return their count."""
         obs = Observation()

@@ -75,7 +75,7 @@ def load_vault(
         if track and observed(quarantined, "n") == 0:
             # counted while the rows were written: clear the batch's quarantine
             # without a second pass over the source
-            report.quarantined[name] = store.append(f"q_{name}", store.empty(f"q_{name}"), batch)
+            report.quarantined[name] = store.clear(f"q_{name}", batch)
         else:
             report.quarantined[name] = store.append(f"q_{name}", quarantine, batch)
         if strict:

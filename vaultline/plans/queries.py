@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from vaultline.functions.calendar import calendar_bucket
 from vaultline.functions.text import truncate_utf8_bytes
 from vaultline.operators import audits
-from vaultline.operators.store import Batch, MemoryVault, ParquetVault
+from vaultline.operators.store import Batch, MemoryVault, ParquetVault, _local
 from vaultline.plans import marts, model
 from vaultline.plans.batch import load_vault
 from vaultline.plans.pipeline import run_batch
@@ -91,13 +91,6 @@ def _work_root(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/vaultline"
 
 
-def _local(path: str) -> str | None:
-    """The local file system path of ``path``, or None for a remote one."""
-    if path.startswith("file:"):
-        path = "/" + path[len("file:"):].lstrip("/")
-    return None if "://" in path else path
-
-
 def staging_before(staging: dict[str, DataFrame], cutoff: str) -> dict[str, DataFrame]:
     """The source as it stood at ``cutoff``: rows dated before it (undated rows not yet)."""
     out = {}
