@@ -19,8 +19,12 @@ KEY_SEPARATOR = "|"
 KEY_HEX_DIGITS = 15
 
 
-def _as_column(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def hash_key_expr(*exprs: str) -> str:
+    """Spark SQL text of the key of SQL expressions ``exprs`` (column names or nested keys)."""
+    if not exprs:
+        raise ValueError("hash_key needs at least one column")
+    parts = f", '{KEY_SEPARATOR}', ".join(f"CAST({e} AS STRING)" for e in exprs)
+    return f"CAST(conv(substring(md5(concat({parts})), 1, {KEY_HEX_DIGITS}), 16, 10) AS BIGINT)"
 
 
 def hash_key(*cols: str | Column) -> Column:
@@ -28,15 +32,17 @@ def hash_key(*cols: str | Column) -> Column:
 
     ``concat`` (unlike ``concat_ws``) is NULL as soon as one part is NULL, and
     md5/conv/cast pass the NULL through: no conditional is needed, so nested
-    keys evaluate each inner key once.
+    keys evaluate each inner key once.  Column names build one SQL expression.
     """
     if not cols:
         raise ValueError("hash_key needs at least one column")
+    if all(isinstance(c, str) for c in cols):
+        return F.expr(hash_key_expr(*[f"`{c}`" for c in cols]))
     parts: list[Column] = []
     for c in cols:
         if parts:
             parts.append(F.lit(KEY_SEPARATOR))
-        parts.append(_as_column(c).cast("string"))
+        parts.append((F.col(c) if isinstance(c, str) else c).cast("string"))
     digest = F.md5(F.concat(*parts))
     return F.conv(F.substring(digest, 1, KEY_HEX_DIGITS), 16, 10).cast("long")
 

@@ -34,9 +34,10 @@ def conformed_columns(table: str) -> list[Column]:
     limits = BYTE_LIMITS.get(table, {})
     cols: list[Column] = []
     for field in STAGING[table].fields:
-        c = F.col(field.name).cast(field.dataType)
-        if field.name in limits:
-            c = truncate_utf8_bytes(c, limits[field.name])
+        if field.name in limits:  # declared text: already a string on every path
+            c = truncate_utf8_bytes(field.name, limits[field.name])
+        else:
+            c = F.col(field.name).cast(field.dataType)
         cols.append(c.alias(field.name))
     return cols
 
