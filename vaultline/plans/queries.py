@@ -84,8 +84,20 @@ def _fingerprint(sf_dir: str, scenario: str) -> str:
     return h.hexdigest()[:16]
 
 
+def _app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        return spark.conf.get("spark.app.id", "session")
+
+
 def _work_root(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+            base = None
     if not base:  # only where the session names no shared folder (local runs)
         base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="vaultline-checkpoint-"))
     return f"{base.rstrip('/')}/vaultline"
@@ -108,7 +120,7 @@ def loaded(spark: SparkSession, sf_dir: str, scenario: str = "first") -> Loaded:
     (every build writes a fresh folder and names it in a pointer at the end).
     """
     sf_dir = os.path.abspath(sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir, scenario)
+    key = (_app_id(spark), sf_dir, scenario)
     with _LOCK:
         hit = _LOADED.get(key)
         if hit is not None:
