@@ -72,10 +72,7 @@ def main() -> None:
     assert sorted(map(tuple, rows)) == sorted(map(tuple, single))
 
     staged = {n: read_staging(spark, staging_root, n) for n in source}
-    timed("audits", lambda: [
-        fn(staged, vault.table).collect()
-        for fn in (audits.duplicate_keys, audits.orphans, audits.check_age, audits.not_null)
-    ])
+    timed("audits", lambda: audits.all_audits(staged, vault.table).collect())
 
     m = re.search(r"sf([0-9.]+)", SF_DIR)
     # Headline: the flagship rebuilt from the driver tables as one plan, the

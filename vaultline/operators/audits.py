@@ -171,3 +171,8 @@ def not_null(staging: dict[str, DataFrame], tables) -> DataFrame:
             F.col("v.n_violations").cast("long").alias("n_violations"),
         ))
     return _union(out)
+
+
+def all_audits(staging: dict[str, DataFrame], tables) -> DataFrame:
+    """Every audit in one result (one query: independent scans run side by side)."""
+    return _union([fn(staging, tables) for fn in (duplicate_keys, orphans, check_age, not_null)])
