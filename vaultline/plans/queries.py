@@ -180,9 +180,9 @@ def varchar_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = truncate_utf8_bytes("text", TRUNCATE_BYTES)
     return docs.select(
         "doc_id",
-        F.octet_length("text").alias("bytes_in"),
+        F.octet_length("text").cast("long").alias("bytes_in"),
         cut.alias("message"),
-        F.octet_length(cut).alias("bytes_out"),
+        F.octet_length(cut).cast("long").alias("bytes_out"),
     )
 
 
