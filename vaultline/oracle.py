@@ -307,6 +307,9 @@ def oracle_sql() -> dict[str, str]:
     q["users_added_per_group"] = marts + ADDED_SQL
     q["group_conversion"] = marts.rstrip("\n") + ",\n" + CONVERSION_SQL
     q["group_conversion_single_plan"] = q["group_conversion"]
+    q["group_conversion_from_csv"] = q["group_conversion"]
+    for t in ("users", "groups", "dialogs", "group_log"):
+        q[f"stg_{t}_from_csv"] = q[f"stg_{t}"]
     q["audit_duplicate_keys"] = first + _audit_duplicates()
     q["audit_orphans"] = first + _audit_orphans()
     q["audit_check_age"] = first + _audit_age()

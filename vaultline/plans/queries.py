@@ -8,6 +8,8 @@ folder (``spark.checkpoint.dir``; a local fallback only where it is unset)
 and is built once per session and data folder, then shared by the queries.
 
 Scenarios: ``first`` loads the whole source as batch 1 into an empty vault;
+``csv`` does the same after writing the source out as landed CSV files, so
+the CSV scan and reject split are on the path;
 ``second`` loads the source as it stood before ``SECOND_LOAD_CUTOFF`` (every
 staged row dated earlier) as batch 1 and then the whole source as batch 2,
 and ``*_second_load`` queries return what batch 2 appends (``reference``
@@ -147,10 +149,25 @@ def loaded(spark: SparkSession, sf_dir: str, scenario: str = "first") -> Loaded:
         return out
 
 
+def land_csv(source: dict[str, DataFrame], folder: str) -> dict[str, str]:
+    """Write staging inputs as landed CSV files (header line, positional columns)."""
+    paths = {}
+    for name, df in source.items():
+        paths[name] = f"{folder}/{name}"
+        (df.write.mode("overwrite").option("header", True)
+         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(paths[name]))
+    return paths
+
+
 def _build(spark: SparkSession, sf_dir: str, scenario: str, out: Loaded) -> None:
     source = staging_from_driver_tables(spark, sf_dir)
     mode = "reference" if scenario == "second_reference" else "idempotent"
-    if scenario == "first":
+    if scenario == "csv":
+        # the source goes through files: CSV scan, reject split, typed refresh
+        landing = out.staging_root.rsplit("/", 1)[0] + "/landing"
+        run_batch(spark, BATCH_1, staging_root=out.staging_root, vault_root=out.vault_root,
+                  csv_paths=land_csv(source, landing), mode=mode)
+    elif scenario == "first":
         run_batch(spark, BATCH_1, staging_root=out.staging_root, vault_root=out.vault_root,
                   frames=source, mode=mode)
     elif scenario in ("second", "second_reference"):
@@ -170,6 +187,10 @@ def _second_load_query(table: str, scenario: str = "second") -> Query:
     return lambda spark, sf_dir: loaded(spark, sf_dir, scenario).vault.batch_rows(table, BATCH_2)
 
 
+def _csv_staging_query(name: str) -> Query:
+    return lambda spark, sf_dir: loaded(spark, sf_dir, "csv").staging()[name]
+
+
 def _staging_query(name: str) -> Query:
     return lambda spark, sf_dir: loaded(spark, sf_dir).staging()[name]
 
@@ -291,6 +312,10 @@ def all_queries() -> dict[str, Query]:
     )
     q["group_conversion"] = _mart(marts.group_conversion)
     q["group_conversion_single_plan"] = group_conversion_single_plan
+    for name in ("users", "groups", "dialogs", "group_log"):
+        q[f"stg_{name}_from_csv"] = _csv_staging_query(name)
+    q["group_conversion_from_csv"] = lambda spark, sf_dir: marts.group_conversion(
+        loaded(spark, sf_dir, "csv").vault.table)
     q["audit_duplicate_keys"] = _audit(audits.duplicate_keys)
     q["audit_orphans"] = _audit(audits.orphans)
     q["audit_check_age"] = _audit(audits.check_age)
