@@ -28,10 +28,13 @@ def first_groups_by_registration(h_groups: DataFrame, n: int = FIRST_GROUPS) ->
 
 def senders_per_group(l_groups_dialogs: DataFrame, l_user_message: DataFrame,
                       groups: DataFrame | None = None) -> DataFrame:
-    """Distinct senders per group; ``groups`` (bounded) restricts the groups first."""
+    """Distinct senders per group; ``groups`` restricts the groups first.
+
+    Whether ``groups`` is broadcast is the caller's call (it knows the bound).
+    """
     gd = l_groups_dialogs.select("hk_group_id", "hk_message_id")
     if groups is not None:
-        gd = gd.join(F.broadcast(groups.select("hk_group_id")), "hk_group_id", "left_semi")
+        gd = gd.join(groups.select("hk_group_id"), "hk_group_id", "left_semi")
     um = l_user_message.select("hk_message_id", "hk_user_id")
     return (
         gd.join(um, "hk_message_id", "left")
@@ -48,8 +51,7 @@ def users_added_per_group(l_user_group_activity: DataFrame, s_auth_history: Data
              .select("hk_l_user_group_activity").distinct())
     return (
         l_user_group_activity.select("hk_l_user_group_activity", "hk_group_id", "hk_user_id")
-        # the first groups are at most FIRST_GROUPS rows: a proven broadcast bound
-        .join(F.broadcast(first_groups.select("hk_group_id")), "hk_group_id", "left_semi")
+        .join(first_groups.select("hk_group_id"), "hk_group_id", "left_semi")
         .join(added, "hk_l_user_group_activity", "left_semi")
         .groupBy("hk_group_id")
         .agg(F.countDistinct("hk_user_id").alias("cnt_added_users"))
@@ -58,7 +60,8 @@ def users_added_per_group(l_user_group_activity: DataFrame, s_auth_history: Data
 
 def group_conversion(tables, n: int = FIRST_GROUPS) -> DataFrame:
     """The conversion report from vault tables (``tables(name) -> DataFrame``)."""
-    first = first_groups_by_registration(tables("h_groups"), n)
+    # at most n rows (a top-n): a proven bound, so it is broadcast
+    first = F.broadcast(first_groups_by_registration(tables("h_groups"), n))
     added = users_added_per_group(tables("l_user_group_activity"), tables("s_auth_history"), first)
     # Only the first groups are reported, so only their messages are joined.
     senders = senders_per_group(tables("l_groups_dialogs"), tables("l_user_message"), first)

@@ -307,7 +307,7 @@ def all_queries() -> dict[str, Query]:
     q["users_added_per_group"] = _mart(
         lambda t: marts.users_added_per_group(
             t("l_user_group_activity"), t("s_auth_history"),
-            marts.first_groups_by_registration(t("h_groups")),
+            F.broadcast(marts.first_groups_by_registration(t("h_groups"))),  # top-10 bound
         )
     )
     q["group_conversion"] = _mart(marts.group_conversion)
