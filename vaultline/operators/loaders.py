@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vaultline.functions.keys import hash_key
-from vaultline.operators.anti_join import keep_new
+from vaultline.operators.anti_join import DEFAULT_BROADCAST_ROWS, keep_new
 from vaultline.operators.store import Batch
 
 @dataclass(frozen=True)
@@ -122,24 +122,37 @@ def hub_members(hub: DataFrame, spec: HubSpec, alias: str) -> DataFrame:
 
 
 def resolve(df: DataFrame, lookups: tuple[Lookup, ...], hubs: dict[str, HubSpec],
-            hub_tables) -> tuple[DataFrame, Column, Column]:
+            hub_tables, candidate_rows: int | None = None) -> tuple[DataFrame, Column, Column]:
     """Add the hub key of every lookup; return (frame, all-resolved flag, reason).
 
     A derived lookup hashes the value; any other lookup is a left join with the
     hub's members on the business key (NULL key when the member is missing).
+    When ``candidate_rows`` bounds the frame under the broadcast limit, the
+    frame's distinct values are broadcast to pick the few members it needs from
+    a scan of the hub, so the (large) hub is never shuffled for a lookup.
     """
     ok = F.lit(True)
     reasons: list[Column] = []
+    bounded = candidate_rows is not None and candidate_rows <= DEFAULT_BROADCAST_ROWS
+    source = df
     for lk in lookups:
         spec = hubs[lk.hub]
         value = F.col(lk.column)
         if lk.derived:
             df = df.withColumn(spec.key, hash_key(value))
+            reasons.append(F.when(value.isNull(), F.lit(f"NULL {lk.column}")))
+            ok = ok & F.col(spec.key).isNotNull()
+            continue
+        bk = f"__bk_{spec.key}"
+        if bounded:
+            wanted = F.broadcast(
+                source.select(value.alias(bk)).where(F.col(bk).isNotNull()).distinct())
+            hub = hub_tables(lk.hub).select(F.col(spec.key_name).alias(bk), F.col(spec.key))
+            # at most one row per wanted value: bounded like the frame itself
+            members = F.broadcast(hub.join(wanted, bk, "left_semi").dropDuplicates([bk]))
         else:
             members = hub_members(hub_tables(lk.hub), spec, spec.key)
-            df = df.join(members, value == members[f"__bk_{spec.key}"], "left").drop(
-                f"__bk_{spec.key}"
-            )
+        df = df.join(members, value == members[bk], "left").drop(bk)
         resolved = F.col(spec.key).isNotNull()
         ok = ok & resolved
         reasons.append(
@@ -161,7 +174,7 @@ def load_link(spec: LinkSpec, source: DataFrame, existing: DataFrame, batch: Bat
     for lk in spec.lookups:
         if lk.optional:
             pairs = pairs.where(F.col(lk.column).isNotNull())
-    resolved, ok, reason = resolve(pairs, spec.lookups, hubs, hub_tables)
+    resolved, ok, reason = resolve(pairs, spec.lookups, hubs, hub_tables, candidate_rows)
     key_cols = [hubs[lk.hub].key for lk in spec.lookups]
     counted, obs = _observed(resolved, ~ok, track)
     # Distinct member values map to distinct member keys, so these rows are
