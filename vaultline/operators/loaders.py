@@ -89,25 +89,23 @@ def load_hub(spec: HubSpec, source: DataFrame, existing: DataFrame, batch: Batch
     counted, obs = _observed(source, bk.isNull(), track)
     # dedupe first, hash after: fewer rows to hash, and the hashing runs after
     # the shuffle (the key is a function of the business key, so it is equal)
-    rows = (
+    deduped = (
         counted.where(bk.isNotNull())
         .select(bk.alias(spec.key_name), *[F.col(a) for a in spec.attributes])
         .distinct()
-        .select(
-            hash_key(spec.key_name).alias(spec.key),
-            spec.key_name,
-            *spec.attributes,
-            *batch.load_columns(),
-        )
     )
-    # keys of this batch for the broadcast probe: distinct business keys, hashed
-    probe = source.where(bk.isNotNull()).select(bk.alias(spec.key_name)).distinct().select(
-        hash_key(spec.key_name).alias(spec.key), spec.key_name)
-    # "already loaded" compares the business key too: a new member whose hash
-    # collides with an old one is loaded (and reported by the collision audit)
-    # instead of being silently taken for the old one
-    new = keep_new(rows, existing, [spec.key, spec.key_name], candidate_rows=candidate_rows,
-                   probe=probe)
+    # "Already loaded" is decided on the business key: the surrogate key is a
+    # function of it, so this is the same set as comparing keys, it cannot take
+    # a new member whose hash collides for an old one, and no hash is computed
+    # on either side of the check (the history is only scanned for its ids).
+    probe = source.where(bk.isNotNull()).select(bk.alias(spec.key_name))
+    kept = keep_new(deduped, existing, [spec.key_name], candidate_rows=candidate_rows, probe=probe)
+    new = kept.select(
+        hash_key(spec.key_name).alias(spec.key),
+        spec.key_name,
+        *spec.attributes,
+        *batch.load_columns(),
+    )
     bad = quarantine_rows(
         source.where(bk.isNull()), spec.table, F.lit(f"NULL {spec.business_key}"), source.columns
     )
@@ -179,19 +177,17 @@ def load_link(spec: LinkSpec, source: DataFrame, existing: DataFrame, batch: Bat
     counted, obs = _observed(resolved, ~ok, track)
     # Distinct member values map to distinct member keys, so these rows are
     # already distinct over every output column: no second aggregate needed.
-    rows = counted.where(ok).select(
-        hash_key(*spec.hash_order).alias(spec.key), *key_cols, *batch.load_columns()
-    )
-    # every resolved member key is the hash of its business key, so the link
-    # keys of this batch are hashed from the distinct pairs, without lookups
+    # "Already loaded" is decided on the member keys (the link key is their
+    # hash), which is collision-safe and keeps hashing out of the check.
+    members = counted.where(ok).select(*key_cols)
+    # every resolved member key is the hash of its business key, so this
+    # batch's member keys come from the distinct pairs, without lookups
     member_key = {hubs[lk.hub].key: hash_key(lk.column) for lk in spec.lookups}
-    probe = pairs.select(
-        hash_key(*[member_key[k] for k in spec.hash_order]).alias(spec.key),
-        *[member_key[k].alias(k) for k in key_cols],
+    probe = pairs.select(*[member_key[k].alias(k) for k in key_cols])
+    kept = keep_new(members, existing, key_cols, candidate_rows=candidate_rows, probe=probe)
+    new = kept.select(
+        hash_key(*spec.hash_order).alias(spec.key), *key_cols, *batch.load_columns()
     )
-    # compared with the member keys too, so a colliding link key is not lost
-    new = keep_new(rows, existing, [spec.key, *key_cols], candidate_rows=candidate_rows,
-                   probe=probe)
     bad = quarantine_rows(resolved.where(~ok), spec.table, reason, cols)
     return LoadResult(new, bad, obs)
 
