@@ -92,4 +92,20 @@ def run_batch(
         staging, ParquetVault(spark, vault_root, cache_reads=True), batch,
         mode=mode, strict=strict, staged_rows=staged_rows, tables=tables,
     )
+    write_report(spark, report, vault_root)
     return report
+
+
+REPORT_SCHEMA = "table_name STRING, metric STRING, n_rows BIGINT, load_dt STRING"
+
+
+def write_report(spark: SparkSession, report: RunReport, vault_root: str) -> None:
+    """Keep the run's counts next to the vault (one small directory per batch)."""
+    rows = [(t, m, n, report.batch.load_dt) for t, m, n in report.as_rows()]
+    (spark.createDataFrame(rows, REPORT_SCHEMA).coalesce(1).write.mode("overwrite")
+     .parquet(f"{vault_root.rstrip('/')}/load_report/batch_id={report.batch.batch_id}"))
+
+
+def read_reports(spark: SparkSession, vault_root: str) -> DataFrame:
+    """Every stored run report (``batch_id`` from the directory)."""
+    return spark.read.parquet(f"{vault_root.rstrip('/')}/load_report")
