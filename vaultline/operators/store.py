@@ -76,7 +76,7 @@ def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.range(1).select(*cols).where(F.lit(False))
 
 
-def _local(path: str) -> str | None:
+def local_path(path: str) -> str | None:
     """The local file system path of ``path``, or None for a remote one."""
     if path.startswith("file:"):
         path = "/" + path[len("file:"):].lstrip("/")
@@ -189,7 +189,7 @@ class ParquetVault:
 
     def clear(self, name: str, batch: Batch) -> int:
         """Make the batch's part of ``name`` empty (a previous attempt may have written it)."""
-        target = _local(f"{self._path(name)}/{BATCH_ID}={batch.batch_id}")
+        target = local_path(f"{self._path(name)}/{BATCH_ID}={batch.batch_id}")
         if target is not None and not os.path.exists(target):
             return 0  # nothing was ever written for this batch: nothing to clear
         return self.append(name, self.empty(name), batch)

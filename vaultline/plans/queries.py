@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from vaultline.functions.calendar import calendar_bucket
 from vaultline.functions.text import truncate_utf8_bytes
 from vaultline.operators import audits
-from vaultline.operators.store import Batch, MemoryVault, ParquetVault, _local
+from vaultline.operators.store import Batch, MemoryVault, ParquetVault, local_path
 from vaultline.plans import marts, model
 from vaultline.plans.batch import load_vault
 from vaultline.plans.pipeline import run_batch
@@ -129,13 +129,13 @@ def loaded(spark: SparkSession, sf_dir: str, scenario: str = "first") -> Loaded:
             return hit
         work = _work_root(spark)
         tag = f"{scenario}-{_fingerprint(sf_dir, scenario)}"
-        local = _local(work)
+        local = local_path(work)
         pointer = os.path.join(local, f"{tag}{_DONE}") if local else None
         root = None
         if pointer and os.path.exists(pointer):
             with open(pointer) as fh:
                 root = fh.read().strip()
-            if not os.path.isdir(_local(root) or ""):
+            if not os.path.isdir(local_path(root) or ""):
                 root = None  # the stored folder is gone: build again
         if root is None:
             # a fresh folder per build: a build that died half way is never reused
