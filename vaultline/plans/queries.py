@@ -93,7 +93,18 @@ def _app_id(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", "session")
 
 
+_WORK_ROOTS: dict[str, str] = {}
+
+
 def _work_root(spark: SparkSession) -> str:
+    """``<checkpoint folder>/vaultline``, fixed for the life of the application."""
+    app = _app_id(spark)
+    if app not in _WORK_ROOTS:
+        _WORK_ROOTS[app] = _find_work_root(spark)
+    return _WORK_ROOTS[app]
+
+
+def _find_work_root(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         try:
