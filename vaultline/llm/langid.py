@@ -22,7 +22,9 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,32 +91,42 @@ def learn_profiles(train: DataFrame, max_n: int = 3, profile_size: int = 300,
     return dict(sorted(out.items()))
 
 
-def classify(text: str | None, profiles: Profiles, max_n: int, profile_size: int,
-             cache: dict[str, list[str]]) -> tuple[str, float]:
-    """Nearest language of one text and 1 - distance / largest possible distance."""
-    found = _LETTERS.findall(text.lower()) if text else []
-    if not found or not profiles:
-        return UNKNOWN, 0.0
-    counts: Counter = Counter()
-    for word in found:
-        grams = cache.get(word)
+class Judge:
+    """Profiles as one matrix of ranks (n-gram by language), and the n-grams of recent words."""
+
+    def __init__(self, profiles: Profiles, max_n: int, profile_size: int):
+        self.max_n, self.size, self.langs = max_n, profile_size, list(profiles)
+        grams = {g for p in profiles.values() for g in p}
+        self.row = {g: i for i, g in enumerate(sorted(grams))}
+        self.ranks = np.full((len(self.row) + 1, len(self.langs)), -1, dtype=np.int64)
+        for j, lang in enumerate(self.langs):
+            for g, rank in profiles[lang].items():
+                self.ranks[self.row[g], j] = rank
+        self.cache: dict[str, list[str]] = {}
+
+    def _grams(self, word: str) -> list[str]:
+        grams = self.cache.get(word)
         if grams is None:
-            if len(cache) >= _CACHE:
-                cache.clear()
-            grams = word_ngrams(word, max_n)
+            grams = word_ngrams(word, self.max_n)
             if len(word) < 64:
-                cache[word] = grams
-        counts.update(grams)
-    ranked = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:profile_size]
-    best, best_distance = UNKNOWN, None
-    for lang, profile in profiles.items():
-        distance = 0
-        for rank, (gram, _) in enumerate(ranked):
-            other = profile.get(gram)
-            distance += profile_size if other is None else abs(other - rank)
-        if best_distance is None or distance < best_distance:
-            best, best_distance = lang, distance
-    return best, max(0.0, 1.0 - best_distance / (profile_size * len(ranked)))
+                if len(self.cache) >= _CACHE:
+                    self.cache.clear()
+                self.cache[word] = grams
+        return grams
+
+    def classify(self, text: str | None) -> tuple[str, float]:
+        """Nearest language of one text and 1 - distance / largest possible distance."""
+        found = _LETTERS.findall(text.lower()) if text else []
+        if not found or not self.langs:
+            return UNKNOWN, 0.0
+        counts = Counter(chain.from_iterable(map(self._grams, found)))
+        common = sorted(counts.values(), reverse=True)[:self.size][-1]
+        ranked = sorted([(-n, g) for g, n in counts.items() if n >= common])[:self.size]
+        ranks = self.ranks[[self.row.get(g, -1) for _, g in ranked]]
+        apart = np.abs(ranks - np.arange(len(ranked))[:, None])
+        distance = np.where(ranks < 0, self.size, apart).sum(axis=0)
+        best = int(distance.argmin())
+        return self.langs[best], max(0.0, 1.0 - int(distance[best]) / (self.size * len(ranked)))
 
 
 def identify(docs: DataFrame, profiles: Profiles, columns: list[str], max_n: int = 3,
@@ -124,9 +136,9 @@ def identify(docs: DataFrame, profiles: Profiles, columns: list[str], max_n: int
     extra = [] if "text" in columns else [F.col("text")]
 
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[str, list[str]] = {}
+        judge = Judge(profiles, max_n, profile_size)
         for batch in batches:
-            judged = [classify(t, profiles, max_n, profile_size, cache) for t in batch["text"]]
+            judged = [judge.classify(t) for t in batch["text"]]
             out = batch[columns].copy()
             out["lang_pred"] = [j[0] for j in judged]
             out["score"] = [j[1] for j in judged]

@@ -42,19 +42,19 @@ s AS (
          CASE (row_number() OVER (ORDER BY source COLLATE "binary" NULLS LAST) - 1) % 3
               WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w
   FROM d GROUP BY source),
--- every possible level: the level is right if it hands out exactly the wanted words
+-- every possible level: a level is right if it hands out exactly the wanted words
 l AS (
-  SELECT s.*, 2.0::DOUBLE * source_size AS cap, 2.0::DOUBLE * source_size / w AS at FROM s),
+  SELECT s.*, 2.0::DOUBLE * source_size AS cap, 2.0::DOUBLE * source_size / w AS lvl FROM s),
 g AS (
-  SELECT a.at,
+  SELECT a.lvl,
          1.5::DOUBLE * (SELECT sum(source_size) FROM s)
-           - coalesce(sum(b.cap) FILTER (b.at <= a.at), 0) AS words_left,
-         coalesce(sum(b.w) FILTER (b.at > a.at), 0) AS weight_left,
-         min(b.at) FILTER (b.at > a.at) AS next_at
-  FROM (SELECT DISTINCT at FROM l UNION SELECT -1.0) a CROSS JOIN l b GROUP BY a.at),
+           - coalesce(sum(b.cap) FILTER (b.lvl <= a.lvl), 0) AS words_left,
+         coalesce(sum(b.w) FILTER (b.lvl > a.lvl), 0) AS weight_left,
+         min(b.lvl) FILTER (b.lvl > a.lvl) AS next_at
+  FROM (SELECT DISTINCT lvl FROM l UNION SELECT -1.0) a CROSS JOIN l b GROUP BY a.lvl),
 r AS (
   SELECT min(words_left / weight_left) AS rate FROM g
-  WHERE weight_left > 0 AND words_left / weight_left >= at AND words_left / weight_left < next_at),
+  WHERE weight_left > 0 AND words_left / weight_left >= lvl AND words_left / weight_left < next_at),
 t AS (
   SELECT source, source_size, least(cap, coalesce(rate * w, cap)) AS target FROM l, r),
 q AS (
