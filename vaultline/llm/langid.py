@@ -22,7 +22,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _FLUSH = 100_000  # distinct words or n-grams held by a task before it emits them
-_CACHE = 100_000  # words whose n-grams a task keeps
+_WORDS = 20_000  # words counted together
 
 Profiles = dict[str, dict[str, int]]
 
@@ -45,6 +45,21 @@ def word_ngrams(word: str, max_n: int) -> list[str]:
     return out
 
 
+def ngram_counts(words: list[str], max_n: int) -> Counter:
+    """The n-grams of ``words`` as ``word_ngrams`` makes them, counted; neighbours share a ``_``."""
+    total: Counter = Counter()
+    for lo in range(0, len(words), _WORDS):
+        joined = f"_{'_'.join(words[lo:lo + _WORDS])}_"
+        total.update(joined)
+        grams = joined
+        for n in range(2, max_n + 1):
+            grams = list(map(add, grams, joined[n - 1:]))
+            # a gram with an inner "_" lies across two words
+            total.update({g: c for g, c in Counter(grams).items() if "_" not in g[1:-1]})
+    del total["_"]
+    return total
+
+
 def _counter(max_n: int):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words: dict[str, Counter] = {}
@@ -92,7 +107,7 @@ def learn_profiles(train: DataFrame, max_n: int = 3, profile_size: int = 300,
 
 
 class Judge:
-    """Profiles as one matrix of ranks (n-gram by language), and the n-grams of recent words."""
+    """Profiles as one matrix of ranks, n-gram by language."""
 
     def __init__(self, profiles: Profiles, max_n: int, profile_size: int):
         self.max_n, self.size, self.langs = max_n, profile_size, list(profiles)
@@ -102,24 +117,13 @@ class Judge:
         for j, lang in enumerate(self.langs):
             for g, rank in profiles[lang].items():
                 self.ranks[self.row[g], j] = rank
-        self.cache: dict[str, list[str]] = {}
-
-    def _grams(self, word: str) -> list[str]:
-        grams = self.cache.get(word)
-        if grams is None:
-            grams = word_ngrams(word, self.max_n)
-            if len(word) < 64:
-                if len(self.cache) >= _CACHE:
-                    self.cache.clear()
-                self.cache[word] = grams
-        return grams
 
     def classify(self, text: str | None) -> tuple[str, float]:
         """Nearest language of one text and 1 - distance / largest possible distance."""
         found = _LETTERS.findall(text.lower()) if text else []
         if not found or not self.langs:
             return UNKNOWN, 0.0
-        counts = Counter(chain.from_iterable(map(self._grams, found)))
+        counts = ngram_counts(found, self.max_n)
         common = sorted(counts.values(), reverse=True)[:self.size][-1]
         ranked = sorted([(-n, g) for g, n in counts.items() if n >= common])[:self.size]
         ranks = self.ranks[[self.row.get(g, -1) for _, g in ranked]]
