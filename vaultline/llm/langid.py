@@ -45,18 +45,21 @@ def word_ngrams(word: str, max_n: int) -> list[str]:
     return out
 
 
-def ngram_counts(words: list[str], max_n: int) -> Counter:
+def ngram_counts(words: list[str], max_n: int) -> dict[str, int]:
     """The n-grams of ``words`` as ``word_ngrams`` makes them, counted; neighbours share a ``_``."""
-    total: Counter = Counter()
+    counts = [Counter() for _ in range(max_n)]
     for lo in range(0, len(words), _WORDS):
         joined = f"_{'_'.join(words[lo:lo + _WORDS])}_"
-        total.update(joined)
+        counts[0].update(joined)
         grams = joined
         for n in range(2, max_n + 1):
             grams = list(map(add, grams, joined[n - 1:]))
-            # a gram with an inner "_" lies across two words
-            total.update({g: c for g, c in Counter(grams).items() if "_" not in g[1:-1]})
-    del total["_"]
+            counts[n - 1].update(grams)
+    del counts[0]["_"]
+    total = dict(counts[0])
+    for longer in counts[1:]:
+        # a gram with an inner "_" lies across two words
+        total.update({g: c for g, c in longer.items() if "_" not in g[1:-1]})
     return total
 
 
