@@ -3,9 +3,11 @@
 Each tree halves a bounded sample at the median of its projection on a random
 direction, down to leaves of about ``leaf_rows`` of all rows.  Every row is
 then put in its leaf of every tree.  A query walks all trees through one
-priority queue ordered by the smallest margin on the way, until the leaves
-reached hold ``search_rows`` rows or ``search_share`` of all, whichever is
-more; all rows of those leaves are scored exactly and the best kept.
+priority queue ordered by the smallest margin on the way, until the leaves reached hold
+enough rows; all rows of those leaves are scored exactly and the best kept.
+How many are enough is measured: brute force over the sample gives the share
+that finds ``recall`` of the true neighbours (``search_rows`` at least).  Data
+with structure need a small share, random directions most of the rows.
 
 Nearness is the inner product; trees are grown on unit vectors, which for
 vectors of one length gives the same order.  A leaf with more than
@@ -98,15 +100,41 @@ def probe(trees: list[Tree], counts: dict[tuple[int, int], int], vectors: np.nda
         yield reached
 
 
+def share_needed(forest: list[Tree], vectors: np.ndarray, k: int, recall: float, asked: int, seed: int) -> float:
+    """Share of all rows (over all trees) a query must reach to find ``recall`` of its ``k`` nearest.
+
+    Measured by brute force over the sample: for each true neighbour, how many
+    rows the queue hands out before the first leaf that holds it.
+    """
+    unit = _unit(vectors)
+    leaves = [t.leaf_of(unit) for t in forest]
+    counts: dict[tuple[int, int], int] = {}
+    for n, found in enumerate(leaves):
+        for leaf, c in zip(*np.unique(found, return_counts=True)):
+            counts[(n, int(leaf))] = int(c)
+    chosen = np.random.default_rng(seed).choice(len(vectors), min(asked, len(vectors)), replace=False)
+    scores = vectors[chosen] @ vectors.T
+    scores[np.arange(len(chosen)), chosen] = -np.inf
+    nearest_rows = np.argsort(-scores, axis=1)[:, :min(k, len(vectors) - 1)]
+    before = []
+    for reached, near in zip(probe(forest, counts, unit[chosen], len(forest) * len(vectors)), nearest_rows):
+        held, at = 0, {}
+        for leaf in reached:
+            at[leaf] = held
+            held += counts[leaf]
+        before.extend(min(at[(n, int(found[j]))] for n, found in enumerate(leaves)) for j in near)
+    return (float(np.quantile(before, recall, method="higher")) + 1) / len(vectors) if before else 1.0
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     top = np.abs(vectors).max(axis=1, keepdims=True)
     scaled = vectors / top
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def nearest(rows: DataFrame, k: int = 20, modulus: int = 20, trees: int = 4, leaf_rows: int = 256,
-            search_rows: int = 6000, search_share: float = 0.0, sample_rows: int = 20_000,
-            block_rows: int = 8192, seed: int = 7) -> DataFrame:
+def nearest(rows: DataFrame, k: int = 20, modulus: int = 20, trees: int = 2, leaf_rows: int = 1024,
+            search_rows: int = 2000, recall: float = 0.95, sample_rows: int = 20_000,
+            test_queries: int = 200, block_rows: int = 8192, seed: int = 7) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest of each id divisible by ``modulus``."""
     rows = (rows.where("vec_id is not null").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
             .where(all_finite(F.col("v")) & F.exists("v", lambda x: x != 0)))
@@ -129,7 +157,8 @@ def nearest(rows: DataFrame, k: int = 20, modulus: int = 20, trees: int = 4, lea
     counted = (placed.select(F.posexplode("leaves").alias("tree", "leaf")).groupBy("tree", "leaf").count().collect())
     counts = {(r["tree"], r["leaf"]): r["count"] for r in counted}
     blocks = {key: -(-n // block_rows) for key, n in counts.items()}
-    wanted = max(search_rows, int(search_share * total))
+    share = share_needed(forest, sample, k, recall, test_queries, seed)
+    wanted = max(search_rows, int(np.ceil(share * total)))
 
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType
 
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies (white space by Unicode property).
 PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -208,7 +209,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, keep_ids: bool =
     for name, kind in (("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")):
         schema = schema.add(name, kind)
     if keep_ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = load(path)
