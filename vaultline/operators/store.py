@@ -8,11 +8,9 @@ back from storage, which also cuts the lineage between load steps.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
@@ -83,13 +81,10 @@ def local_path(path: str) -> str | None:
     return None if "://" in path else path
 
 
-def _may_exist(path: str) -> bool:
-    """False only for a local path that is certainly absent (remote paths are tried)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-    if "://" in path:
-        return True
-    return os.path.exists(path)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of its own file system (the default one where it names none)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -166,12 +161,9 @@ class ParquetVault:
         if cached is not None:
             return cached
         schema = StructType(list(schema_of(name).fields) + [StructField(BATCH_ID, LongType(), True)])
-        if not _may_exist(self._path(name)):
-            return _empty(self.spark, schema)
-        try:
-            df = self.spark.read.schema(schema).parquet(self._path(name))
-        except AnalysisException:
+        if not path_exists(self.spark, self._path(name)):
             return _empty(self.spark, schema)
+        df = self.spark.read.schema(schema).parquet(self._path(name))
         if self.cache_reads:
             self._frames[name] = df
         return df
@@ -189,8 +181,7 @@ class ParquetVault:
 
     def clear(self, name: str, batch: Batch) -> int:
         """Make the batch's part of ``name`` empty (a previous attempt may have written it)."""
-        target = local_path(f"{self._path(name)}/{BATCH_ID}={batch.batch_id}")
-        if target is not None and not os.path.exists(target):
+        if not path_exists(self.spark, f"{self._path(name)}/{BATCH_ID}={batch.batch_id}"):
             return 0  # nothing was ever written for this batch: nothing to clear
         return self.append(name, self.empty(name), batch)
 

@@ -21,6 +21,7 @@ from pyspark.sql.types import BooleanType, DateType, StringType, StructField, St
 
 from vaultline.functions.calendar import calendar_bucket
 from vaultline.functions.text import truncate_utf8_bytes
+from vaultline.operators.store import observed
 from vaultline.schemas import BYTE_LIMITS, STAGING, STAGING_DATE_COLUMN
 
 REJECTED_LINE = "_rejected_line"
@@ -141,8 +142,14 @@ def refresh_staging(parsed: DataFrame, table: str, staging_root: str, as_of: str
         .partitionBy(*partitions)
         .parquet(f"{staging_root.rstrip('/')}/{table}")
     )
-    counts = obs.get
-    return StagingReport(table, int(counts["loaded"]), int(counts["rejected"]))
+    loaded, rejected_rows = observed(obs, "loaded"), observed(obs, "rejected")
+    if loaded is None or rejected_rows is None:
+        # an input found empty at run time reports no metrics: count the written table
+        spark = parsed.sparkSession
+        written = spark.read.schema(_staged_schema(table)).parquet(f"{staging_root.rstrip('/')}/{table}")
+        loaded = written.where(~F.col(IS_REJECTED)).count()
+        rejected_rows = written.where(F.col(IS_REJECTED)).count()
+    return StagingReport(table, loaded, rejected_rows)
 
 
 def _staged_schema(table: str) -> StructType:
