@@ -6,8 +6,8 @@ frequency.  A document is given the language whose profile is nearest by
 out-of-place distance: the sum, over the document's own most frequent n-grams,
 of the difference of ranks, ``profile_size`` where the profile lacks the n-gram.
 
-Counting runs over all training rows: each task counts words, expands distinct
-words to n-grams and emits partial counts, which Spark adds up.  Only the
+Counting runs over all training rows: each task counts n-grams, packed into
+longs, a batch at a time and emits partial counts, which Spark adds up.  Only the
 profiles (languages x ``profile_size`` rows) reach the driver; more than
 ``max_languages`` distinct labels is an error, so their size is bounded.
 
@@ -20,9 +20,7 @@ gives an empty result; columns other than those named are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
-from operator import add
 
 import numpy as np
 import pandas as pd
@@ -31,62 +29,79 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
-_FLUSH = 100_000  # distinct words or n-grams held by a task before it emits them
-_WORDS = 20_000  # words counted together
+_BITS = 21  # a code point's share of an n-gram's code
+_MAX_N = 3  # characters whose code points fit a long
+_CHARS = 1_000_000  # characters of training text counted together
 
 Profiles = dict[str, dict[str, int]]
+Counts = tuple[np.ndarray, np.ndarray]  # codes in ascending order, how often each occurs
 
 
 def word_ngrams(word: str, max_n: int) -> list[str]:
+    """The n-grams of one word: what ``packed_counts`` counts, written out."""
     padded = f"_{word}_"
-    out = list(word)
-    for n in range(2, max_n + 1):
-        out.extend(padded[i:i + n] for i in range(len(padded) - n + 1))
-    return out
+    return [*word, *(padded[i:i + n] for n in range(2, max_n + 1) for i in range(len(padded) - n + 1))]
+
+
+def code_of(gram: str) -> int:
+    """The n-gram's code points side by side, the first on top: codes sort as the n-grams do."""
+    code = 0
+    for char in gram.ljust(_MAX_N, "\0"):
+        code = code << _BITS | ord(char)
+    return code
+
+
+def gram_of(code: int) -> str:
+    mask = (1 << _BITS) - 1
+    return "".join(chr(code >> _BITS * i & mask) for i in reversed(range(_MAX_N))).rstrip("\0")
+
+
+def packed_counts(words: list[str], max_n: int) -> Counts:
+    """Codes of the n-grams of 1 to ``max_n`` characters inside ``words`` padded by ``_``, counted."""
+    if not 1 <= max_n <= _MAX_N:
+        raise ValueError(f"max_n must be from 1 to {_MAX_N}")
+    # neighbours share a "_"; a gram with an inner "_" lies across two words
+    points = np.frombuffer(f"_{'_'.join(words)}_".encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    letter = points != ord("_")
+    first = points << 2 * _BITS
+    grams = [first[letter]]
+    if max_n > 1:
+        second = first[:-1] | points[1:] << _BITS
+        grams.append(second)
+    if max_n > 2:
+        grams.append((second[:-1] | points[2:])[letter[1:-1]])
+    return np.unique(np.concatenate(grams), return_counts=True)
 
 
 def ngram_counts(words: list[str], max_n: int) -> dict[str, int]:
-    """The n-grams of ``words`` as ``word_ngrams`` makes them, counted; neighbours share a ``_``."""
-    counts = [Counter() for _ in range(max_n)]
-    for lo in range(0, len(words), _WORDS):
-        joined = f"_{'_'.join(words[lo:lo + _WORDS])}_"
-        counts[0].update(joined)
-        grams = joined
-        for n in range(2, max_n + 1):
-            grams = list(map(add, grams, joined[n - 1:]))
-            counts[n - 1].update(grams)
-    del counts[0]["_"]
-    total = dict(counts[0])
-    for longer in counts[1:]:
-        # a gram with an inner "_" lies across two words
-        total.update({g: c for g, c in longer.items() if "_" not in g[1:-1]})
-    return total
+    """``packed_counts`` by n-gram."""
+    codes, counts = packed_counts(words, max_n)
+    return dict(zip(map(gram_of, codes.tolist()), counts.tolist()))
+
+
+def _merged(parts: list[Counts]) -> Counts:
+    codes, where = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    total = np.zeros(len(codes), dtype=np.int64)
+    np.add.at(total, where, np.concatenate([n for _, n in parts]))
+    return codes, total
 
 
 def _counter(max_n: int):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words: dict[str, Counter] = {}
-        held = 0
-
-        def grams() -> pd.DataFrame:
-            rows = []
-            for lang, counts in words.items():
-                total: Counter = Counter()
-                for word, n in counts.items():
-                    for g in word_ngrams(word, max_n):
-                        total[g] += n
-                rows.append(pd.DataFrame({"lang": lang, "gram": list(total), "n": list(total.values())}))
-            return pd.concat(rows) if rows else pd.DataFrame({"lang": [], "gram": [], "n": []})
-
         for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"]):
-                words.setdefault(lang, Counter()).update(_LETTERS.findall(text.lower()))
-            held = sum(map(len, words.values()))
-            if held > _FLUSH:
-                yield grams()
-                words, held = {}, 0
-        if held:
-            yield grams()
+            for lang, texts in batch.groupby("lang", sort=False)["text"]:
+                parts: list[Counts] = []
+                words: list[str] = []
+                held = 0
+                for text in texts:
+                    words += _LETTERS.findall(text.lower())
+                    held += len(text)
+                    if held > _CHARS:
+                        parts.append(packed_counts(words, max_n))
+                        words, held = [], 0
+                parts.append(packed_counts(words, max_n))
+                codes, n = _merged(parts)
+                yield pd.DataFrame({"lang": lang, "code": codes, "n": n})
 
     return count
 
@@ -95,15 +110,15 @@ def learn_profiles(train: DataFrame, max_n: int = 3, profile_size: int = 300,
                    max_languages: int = 1000) -> Profiles:
     """Profiles of every non-null ``lang`` of ``train`` (columns ``lang``, ``text``)."""
     rows = train.where("lang is not null and text is not null").select("lang", "text")
-    counts = (rows.mapInPandas(_counter(max_n), "lang string, gram string, n long")
-              .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+    counts = (rows.mapInPandas(_counter(max_n), "lang string, code long, n long")
+              .groupBy("lang", "code").agg(F.sum("n").alias("n")))
+    best = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
     top = (counts.withColumn("rank", F.row_number().over(best))
            .where(F.col("rank") <= profile_size)
            .limit(max_languages * profile_size + 1))
     out: Profiles = {}
     for r in top.collect():
-        out.setdefault(r["lang"], {})[r["gram"]] = r["rank"] - 1
+        out.setdefault(r["lang"], {})[gram_of(r["code"])] = r["rank"] - 1
     if len(out) > max_languages:
         raise ValueError(f"more than {max_languages} languages")
     return dict(sorted(out.items()))
@@ -114,26 +129,27 @@ class Judge:
 
     def __init__(self, profiles: Profiles, max_n: int, profile_size: int):
         self.max_n, self.size, self.langs = max_n, profile_size, list(profiles)
-        grams = {g for p in profiles.values() for g in p}
-        self.row = {g: i for i, g in enumerate(sorted(grams))}
-        self.ranks = np.full((len(self.row) + 1, len(self.langs)), -1, dtype=np.int64)
+        row = {g: i for i, g in enumerate(sorted({g for p in profiles.values() for g in p}))}
+        self.codes = np.array([code_of(g) for g in row], dtype=np.int64)
+        self.ranks = np.full((len(row) + 1, len(self.langs)), -1, dtype=np.int64)  # the last: in no profile
         for j, lang in enumerate(self.langs):
             for g, rank in profiles[lang].items():
-                self.ranks[self.row[g], j] = rank
+                self.ranks[row[g], j] = rank
 
     def classify(self, text: str | None) -> tuple[str, float]:
         """Nearest language of one text and 1 - distance / largest possible distance."""
         found = _LETTERS.findall(text.lower()) if text else []
-        if not found or not self.langs:
+        if not found or not len(self.codes):
             return UNKNOWN, 0.0
-        counts = ngram_counts(found, self.max_n)
-        common = sorted(counts.values(), reverse=True)[:self.size][-1]
-        ranked = sorted([(-n, g) for g, n in counts.items() if n >= common])[:self.size]
-        ranks = self.ranks[[self.row.get(g, -1) for _, g in ranked]]
-        apart = np.abs(ranks - np.arange(len(ranked))[:, None])
+        codes, counts = packed_counts(found, self.max_n)
+        own = codes[np.argsort(-counts, kind="stable")[:self.size]]  # ties in order of the n-grams
+        at = np.searchsorted(self.codes, own)
+        at[self.codes[np.minimum(at, len(self.codes) - 1)] != own] = len(self.codes)
+        ranks = self.ranks[at]
+        apart = np.abs(ranks - np.arange(len(own))[:, None])
         distance = np.where(ranks < 0, self.size, apart).sum(axis=0)
         best = int(distance.argmin())
-        return self.langs[best], max(0.0, 1.0 - int(distance[best]) / (self.size * len(ranked)))
+        return self.langs[best], max(0.0, 1.0 - int(distance[best]) / (self.size * len(own)))
 
 
 def identify(docs: DataFrame, profiles: Profiles, columns: list[str], max_n: int = 3,
