@@ -45,22 +45,18 @@ def main() -> None:
     run = loaded(spark, sf_dir, "second")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     vault, stg = run.vault, run.staging()
-    bound = 5_000_000 // 10  # an hourly batch under the broadcast bound
     steps = {}
     spec = model.HUBS["h_users"]
-    steps["hub h_users, batch under the bound (broadcast probe, history scanned once)"] = load_hub(
-        spec, stg["users"], vault.existing("h_users", BATCH_2), BATCH_2, candidate_rows=bound).rows
+    steps["hub h_users"] = load_hub(
+        spec, stg["users"], vault.existing("h_users", BATCH_2), BATCH_2).rows
     spec = model.LINKS["l_user_group_activity"]
-    steps["link l_user_group_activity, batch under the bound (bounded lookups + probe)"] = load_link(
-        spec, stg["group_log"], vault.existing(spec.table, BATCH_2), BATCH_2, model.HUBS,
-        vault.table, candidate_rows=bound).rows
-    unbounded = load_link(spec, stg["group_log"], vault.existing(spec.table, BATCH_2), BATCH_2,
-                          model.HUBS, vault.table).rows
+    link = load_link(spec, stg["group_log"], vault.existing(spec.table, BATCH_2), BATCH_2,
+                     model.HUBS, vault.table).rows
     steps["mart group_conversion over the stored vault"] = marts.group_conversion(vault.table)
     steps["audit orphans (one join per parent table)"] = audits.orphans(stg, vault.table)
     # tables larger than the automatic broadcast threshold: what 100 TB gets
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    at_scale = _plan(unbounded)
+    at_scale = _plan(link)
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     with open("PLANS.md", "w") as fh:
         fh.write("# Physical plans\n\nGenerated by `tools/dump_plans.py` on the sf0.1 tables "
@@ -68,8 +64,8 @@ def main() -> None:
                  "partitions, split skewed ones or turn a sort-merge join into a broadcast).\n")
         for title, df in steps.items():
             fh.write(f"\n## {title}\n\n```\n{_plan(df)}\n```\n")
-        fh.write("\n## link l_user_group_activity, batch over the bound, tables over the "
-                 "broadcast threshold (sort-merge lookups and anti-join)\n\n"
+        fh.write("\n## link l_user_group_activity, tables over the broadcast threshold "
+                 "(sort-merge lookups and anti-join)\n\n"
                  f"```\n{at_scale}\n```\n")
 
 

@@ -3,14 +3,8 @@
 ``NOT IN (subquery)`` plans in Spark as a null-aware anti-join that can only run
 as a broadcast of the *existing* table, which grows without bound.  Keys here
 are never NULL (NULL business keys are quarantined before hashing), so a plain
-``left_anti`` join is the same set and plans as a sort-merge anti-join.
-
-When the caller knows an upper bound on the number of candidate rows (the
-staged row count of this batch), and it is under ``broadcast_rows``, the check
-is turned around: the bounded candidate keys are broadcast and probed by a
-scan of the existing keys (``left_semi``), which finds the few keys that are
-already known without shuffling the existing table at all; those hits are
-then removed from the candidates.
+``left_anti`` join is the same set.  It carries no hint: adaptive execution
+chooses the join from the bytes it measures, the same way for every batch size.
 """
 
 from __future__ import annotations
@@ -20,40 +14,16 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound under which the candidate keys of one batch are broadcast:
-# 4M 8-byte keys hash to roughly 100 MB per executor.
-DEFAULT_BROADCAST_ROWS = 4_000_000
-
 
-def keep_new(
-    candidates: DataFrame,
-    existing: DataFrame,
-    keys: list[str],
-    *,
-    null_safe: bool = False,
-    candidate_rows: int | None = None,
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    probe: DataFrame | None = None,
-) -> DataFrame:
+def keep_new(candidates: DataFrame, existing: DataFrame, keys: list[str], *,
+             null_safe: bool = False) -> DataFrame:
     """Rows of ``candidates`` whose ``keys`` do not occur in ``existing``.
 
     ``null_safe`` compares with ``<=>`` (NULL equals NULL), for satellites that
-    are insert-once on the whole row rather than on the key.  ``probe`` is a
-    cheap superset of the candidate keys (hashed straight from staging, no
-    lookups) used for the broadcast; without it the candidates are projected.
+    are insert-once on the whole row rather than on the key.
     """
     known = existing.select(*keys)
     if not null_safe:
         known = known.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-
-    def cond(left: DataFrame, right: DataFrame):
-        pairs = [left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k] for k in keys]
-        return reduce(lambda a, b: a & b, pairs)
-
-    if candidate_rows is not None and candidate_rows <= broadcast_rows:
-        probe = F.broadcast((probe if probe is not None else candidates).select(*keys).distinct())
-        hits = known.join(probe, cond(known, probe), "left_semi")
-        # hits is a subset of the candidate keys, so the same bound holds for it
-        hits = F.broadcast(hits)
-        return candidates.join(hits, cond(candidates, hits), "left_anti")
-    return candidates.join(known, cond(candidates, known), "left_anti")
+    pairs = [candidates[k].eqNullSafe(known[k]) if null_safe else candidates[k] == known[k] for k in keys]
+    return candidates.join(known, reduce(lambda a, b: a & b, pairs), "left_anti")

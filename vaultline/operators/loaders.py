@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vaultline.functions.keys import hash_key
-from vaultline.operators.anti_join import DEFAULT_BROADCAST_ROWS, keep_new
+from vaultline.operators.anti_join import keep_new
 from vaultline.operators.store import Batch
 
 @dataclass(frozen=True)
@@ -84,7 +84,7 @@ def _observed(df: DataFrame, bad: Column, track: bool) -> tuple[DataFrame, Obser
 
 
 def load_hub(spec: HubSpec, source: DataFrame, existing: DataFrame, batch: Batch,
-             candidate_rows: int | None = None, track: bool = False) -> LoadResult:
+             track: bool = False) -> LoadResult:
     bk = F.col(spec.business_key)
     counted, obs = _observed(source, bk.isNull(), track)
     # dedupe first, hash after: fewer rows to hash, and the hashing runs after
@@ -98,8 +98,7 @@ def load_hub(spec: HubSpec, source: DataFrame, existing: DataFrame, batch: Batch
     # function of it, so this is the same set as comparing keys, it cannot take
     # a new member whose hash collides for an old one, and no hash is computed
     # on either side of the check (the history is only scanned for its ids).
-    probe = source.where(bk.isNotNull()).select(bk.alias(spec.key_name))
-    kept = keep_new(deduped, existing, [spec.key_name], candidate_rows=candidate_rows, probe=probe)
+    kept = keep_new(deduped, existing, [spec.key_name])
     new = kept.select(
         hash_key(spec.key_name).alias(spec.key),
         spec.key_name,
@@ -112,27 +111,18 @@ def load_hub(spec: HubSpec, source: DataFrame, existing: DataFrame, batch: Batch
     return LoadResult(new, bad, obs)
 
 
-def hub_members(hub: DataFrame, spec: HubSpec, alias: str) -> DataFrame:
-    """One row per business key of a hub: (business key, hash key)."""
-    return hub.select(
-        F.col(spec.key_name).alias(f"__bk_{alias}"), F.col(spec.key).alias(alias)
-    ).dropDuplicates([f"__bk_{alias}"])
-
-
 def resolve(df: DataFrame, lookups: tuple[Lookup, ...], hubs: dict[str, HubSpec],
-            hub_tables, candidate_rows: int | None = None) -> tuple[DataFrame, Column, Column]:
+            hub_tables) -> tuple[DataFrame, Column, Column]:
     """Add the hub key of every lookup; return (frame, all-resolved flag, reason).
 
     A derived lookup hashes the value; any other lookup is a left join with the
-    hub's members on the business key (NULL key when the member is missing).
-    When ``candidate_rows`` bounds the frame under the broadcast limit, the
-    frame's distinct values are broadcast to pick the few members it needs from
-    a scan of the hub, so the (large) hub is never shuffled for a lookup.
+    hub on the business key (NULL key when the member is missing).  Neither side
+    is aggregated before the join, so adaptive execution can split the partition
+    of a hot member.  A member listed twice in its hub gives equal rows: the
+    caller drops duplicates afterwards.
     """
     ok = F.lit(True)
     reasons: list[Column] = []
-    bounded = candidate_rows is not None and candidate_rows <= DEFAULT_BROADCAST_ROWS
-    source = df
     for lk in lookups:
         spec = hubs[lk.hub]
         value = F.col(lk.column)
@@ -142,14 +132,7 @@ def resolve(df: DataFrame, lookups: tuple[Lookup, ...], hubs: dict[str, HubSpec]
             ok = ok & F.col(spec.key).isNotNull()
             continue
         bk = f"__bk_{spec.key}"
-        if bounded:
-            wanted = F.broadcast(
-                source.select(value.alias(bk)).where(F.col(bk).isNotNull()).distinct())
-            hub = hub_tables(lk.hub).select(F.col(spec.key_name).alias(bk), F.col(spec.key))
-            # at most one row per wanted value: bounded like the frame itself
-            members = F.broadcast(hub.join(wanted, bk, "left_semi").dropDuplicates([bk]))
-        else:
-            members = hub_members(hub_tables(lk.hub), spec, spec.key)
+        members = hub_tables(lk.hub).select(F.col(spec.key_name).alias(bk), F.col(spec.key))
         df = df.join(members, value == members[bk], "left").drop(bk)
         resolved = F.col(spec.key).isNotNull()
         ok = ok & resolved
@@ -162,29 +145,23 @@ def resolve(df: DataFrame, lookups: tuple[Lookup, ...], hubs: dict[str, HubSpec]
 
 
 def load_link(spec: LinkSpec, source: DataFrame, existing: DataFrame, batch: Batch,
-              hubs: dict[str, HubSpec], hub_tables, candidate_rows: int | None = None,
-              track: bool = False) -> LoadResult:
+              hubs: dict[str, HubSpec], hub_tables, track: bool = False) -> LoadResult:
     cols = [lk.column for lk in spec.lookups]
-    # One row per combination of referenced members before any join: the
-    # map-side partial aggregate collapses repeats (a hot group's many events)
-    # before anything is shuffled.
-    pairs = source.select(*cols).distinct()
+    staged = source.select(*cols)
     for lk in spec.lookups:
         if lk.optional:
-            pairs = pairs.where(F.col(lk.column).isNotNull())
-    resolved, ok, reason = resolve(pairs, spec.lookups, hubs, hub_tables, candidate_rows)
+            staged = staged.where(F.col(lk.column).isNotNull())
+    looked_up, ok, reason = resolve(staged, spec.lookups, hubs, hub_tables)
+    # One row per combination of referenced members.  The shuffle is asked for
+    # by all member columns: left to itself the aggregate would keep the
+    # lookup's partitioning by one member, which no longer lets a hot one split.
+    resolved = looked_up.repartition(*cols).distinct()
     key_cols = [hubs[lk.hub].key for lk in spec.lookups]
     counted, obs = _observed(resolved, ~ok, track)
-    # Distinct member values map to distinct member keys, so these rows are
-    # already distinct over every output column: no second aggregate needed.
     # "Already loaded" is decided on the member keys (the link key is their
-    # hash), which is collision-safe and keeps hashing out of the check.
+    # hash), which keeps hashing out of the check.
     members = counted.where(ok).select(*key_cols)
-    # every resolved member key is the hash of its business key, so this
-    # batch's member keys come from the distinct pairs, without lookups
-    member_key = {hubs[lk.hub].key: hash_key(lk.column) for lk in spec.lookups}
-    probe = pairs.select(*[member_key[k].alias(k) for k in key_cols])
-    kept = keep_new(members, existing, key_cols, candidate_rows=candidate_rows, probe=probe)
+    kept = keep_new(members, existing, key_cols)
     new = kept.select(
         hash_key(*spec.hash_order).alias(spec.key), *key_cols, *batch.load_columns()
     )
@@ -193,9 +170,9 @@ def load_link(spec: LinkSpec, source: DataFrame, existing: DataFrame, batch: Bat
 
 
 def load_satellite(rows: DataFrame, existing: DataFrame, keys: list[str] | None,
-                   null_safe: bool = False, candidate_rows: int | None = None) -> DataFrame:
+                   null_safe: bool = False) -> DataFrame:
     """Distinct satellite rows not yet recorded under ``keys`` (None: no check)."""
     rows = rows.distinct()
     if keys is None:
         return rows
-    return keep_new(rows, existing, keys, null_safe=null_safe, candidate_rows=candidate_rows)
+    return keep_new(rows, existing, keys, null_safe=null_safe)

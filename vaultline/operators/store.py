@@ -74,13 +74,6 @@ def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.range(1).select(*cols).where(F.lit(False))
 
 
-def local_path(path: str) -> str | None:
-    """The local file system path of ``path``, or None for a remote one."""
-    if path.startswith("file:"):
-        path = "/" + path[len("file:"):].lstrip("/")
-    return None if "://" in path else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, asked of its own file system (the default one where it names none)."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -45,23 +45,23 @@ def load_vault(
     *,
     mode: str = "idempotent",
     strict: bool = False,
-    staged_rows: dict[str, int] | None = None,
     tables: tuple[str, ...] = model.LOAD_ORDER,
     parallel: bool = True,
 ) -> VaultLoadReport:
     """Load one batch of the four staging frames into ``store``.
 
-    ``staged_rows`` (rows per staging table, e.g. from the staging refresh)
-    bounds the candidate rows of every table loaded from staging and lets the
-    "already loaded" check broadcast this batch's keys instead of shuffling
-    the whole history.  ``strict`` raises when any row was quarantined.
+    ``tables`` must hold what its members read (``model.load_closure``).
+    ``strict`` raises when a table has rows to quarantine, before the table is
+    appended; the quarantine is kept for inspection.
     """
     if mode not in model.RERUN_MODES:
         raise ValueError(f"mode must be one of {model.RERUN_MODES}")
     missing = set(STAGING) - set(staging)
     if missing:
         raise ValueError(f"missing staging frames: {sorted(missing)}")
-    bound = (staged_rows or {}).get
+    unread = set(model.load_closure(tables)) - set(tables)
+    if unread:
+        raise ValueError(f"tables must include what they read: {sorted(unread)}")
     load_cols = batch.load_columns()
     report = VaultLoadReport(batch)
 
@@ -69,6 +69,11 @@ def load_vault(
 
     def save(name: str, rows: DataFrame, quarantine: DataFrame | None = None,
              quarantined=None) -> None:
+        if strict and quarantine is not None:
+            n = quarantine.count()
+            if n:
+                report.quarantined[name] = store.append(f"q_{name}", quarantine, batch)
+                raise QuarantineError(f"{n} rows of {name} could not be placed")
         report.rows[name] = store.append(name, rows, batch)
         if quarantine is None:
             return
@@ -78,30 +83,23 @@ def load_vault(
             report.quarantined[name] = store.clear(f"q_{name}", batch)
         else:
             report.quarantined[name] = store.append(f"q_{name}", quarantine, batch)
-        if strict:
-            n = report.quarantined[name]
-            n = n if n is not None else store.batch_rows(f"q_{name}", batch).count()
-            if n:
-                raise QuarantineError(f"{n} rows of {name} could not be placed")
 
     def step(name: str) -> None:
         if name in model.HUBS:
             spec = model.HUBS[name]
             res = load_hub(spec, staging[spec.source], store.existing(name, batch), batch,
-                           candidate_rows=bound(spec.source), track=track)
+                           track=track)
             save(name, res.rows, res.quarantine, res.quarantined)
         elif name in model.LINKS:
             spec = model.LINKS[name]
             res = load_link(spec, staging[spec.source], store.existing(name, batch), batch,
-                            model.HUBS, store.table, candidate_rows=bound(spec.source),
-                            track=track)
+                            model.HUBS, store.table, track=track)
             save(name, res.rows, res.quarantine, res.quarantined)
         elif name in model.HUB_SATELLITES:
             spec = model.HUB_SATELLITES[name]
             hub = model.HUBS[spec.hub]
             rows = model.hub_satellite_rows(spec, staging[hub.source], load_cols)
-            save(name, load_satellite(rows, store.existing(name, batch), [hub.key],
-                                      candidate_rows=bound(hub.source)))
+            save(name, load_satellite(rows, store.existing(name, batch), [hub.key]))
         elif name == "s_admins":
             rows = model.admin_rows(store.table("l_admins"), store.table("h_groups"), load_cols)
             save(name, load_satellite(rows, store.existing(name, batch), ["hk_l_admin_id"]))
@@ -111,8 +109,7 @@ def load_vault(
                 save(name, load_satellite(rows, store.existing(name, batch), None))
             else:
                 rows = model.dialog_rows_from_staging(staging["dialogs"], load_cols)
-                save(name, load_satellite(rows, store.existing(name, batch), ["hk_message_id"],
-                                          candidate_rows=bound("dialogs")))
+                save(name, load_satellite(rows, store.existing(name, batch), ["hk_message_id"]))
         elif name == "s_auth_history":
             if track and report.quarantined.get("l_user_group_activity") == 0:
                 # the link load of this run placed every pair: nothing to set apart
@@ -126,12 +123,11 @@ def load_vault(
             existing = store.existing(name, batch)
             key = "hk_l_user_group_activity"
             if mode == "reference":
-                adds = load_satellite(rows.where(F.col("event") == "add"), existing, [key],
-                                      candidate_rows=bound("group_log"))
+                adds = load_satellite(rows.where(F.col("event") == "add"), existing, [key])
                 new = adds.unionByName(rows.where(F.col("event") == "leave").distinct())
             else:
                 new = load_satellite(rows, existing, [key, "user_id_from", "event", "event_dt"],
-                                     null_safe=True, candidate_rows=bound("group_log"))
+                                     null_safe=True)
             bad = quarantine_rows(orphans, name, F.lit("user_id/group_id not in hubs"),
                                   orphans.columns)
             save(name, new, bad)

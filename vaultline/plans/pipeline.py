@@ -87,10 +87,9 @@ def run_batch(
         for future in [pool.submit(stage, name) for name in STAGING]:
             future.result()
     staging = {name: read_staging(spark, staging_root, name) for name in STAGING}
-    staged_rows = {name: r.rows_loaded for name, r in report.staging.items()}
     report.vault = load_vault(
         staging, ParquetVault(spark, vault_root, cache_reads=True), batch,
-        mode=mode, strict=strict, staged_rows=staged_rows, tables=tables,
+        mode=mode, strict=strict, tables=tables,
     )
     write_report(spark, report, vault_root)
     return report

@@ -18,8 +18,6 @@ repeats this with the reference rerun behaviour).
 
 from __future__ import annotations
 
-import hashlib
-import os
 import tempfile
 import threading
 import uuid
@@ -32,7 +30,7 @@ from pyspark.sql import functions as F
 from vaultline.functions.calendar import calendar_bucket
 from vaultline.functions.text import truncate_utf8_bytes
 from vaultline.operators import audits
-from vaultline.operators.store import Batch, MemoryVault, ParquetVault, local_path
+from vaultline.operators.store import Batch, MemoryVault, ParquetVault
 from vaultline.plans import marts, model
 from vaultline.plans.batch import load_vault
 from vaultline.plans.pipeline import run_batch
@@ -68,22 +66,6 @@ class Loaded:
 
 _LOADED: dict[tuple[str, str, str], Loaded] = {}
 _LOCK = threading.Lock()
-_DONE = "_VAULTLINE_COMPLETE"
-
-
-def _fingerprint(sf_dir: str, scenario: str) -> str:
-    """Identity of a stored scenario: the code that builds it and the input files."""
-    h = hashlib.sha1(f"{sf_dir}|{scenario}".encode())
-    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    for folder, _, files in sorted(os.walk(pkg)):
-        for f in sorted(files):
-            if f.endswith(".py"):
-                with open(os.path.join(folder, f), "rb") as fh:
-                    h.update(fh.read())
-    for name in ("customer", "nation", "supplier", "orders", "lineitem"):
-        st = os.stat(f"{sf_dir}/{name}.parquet")
-        h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
-    return h.hexdigest()[:16]
 
 
 def _app_id(spark: SparkSession) -> str:
@@ -126,38 +108,19 @@ def staging_before(staging: dict[str, DataFrame], cutoff: str) -> dict[str, Data
 
 
 def loaded(spark: SparkSession, sf_dir: str, scenario: str = "first") -> Loaded:
-    """The stored scenario for ``sf_dir``; built on first use (one builder at a time).
+    """The stored scenario for ``sf_dir``; built once per session, one builder at a time.
 
-    A scenario finished earlier (same code, same input files) under the same
-    local checkpoint folder is reused; one that did not finish is never reused
-    (every build writes a fresh folder and names it in a pointer at the end).
+    Every build writes a folder of its own: one that died half way is never read.
     """
-    sf_dir = os.path.abspath(sf_dir)
+    sf_dir = sf_dir.rstrip("/")
     key = (_app_id(spark), sf_dir, scenario)
     with _LOCK:
-        hit = _LOADED.get(key)
-        if hit is not None:
-            return hit
-        work = _work_root(spark)
-        tag = f"{scenario}-{_fingerprint(sf_dir, scenario)}"
-        local = local_path(work)
-        pointer = os.path.join(local, f"{tag}{_DONE}") if local else None
-        root = None
-        if pointer and os.path.exists(pointer):
-            with open(pointer) as fh:
-                root = fh.read().strip()
-            if not os.path.isdir(local_path(root) or ""):
-                root = None  # the stored folder is gone: build again
-        if root is None:
-            # a fresh folder per build: a build that died half way is never reused
-            root = f"{work}/{tag}-{uuid.uuid4().hex[:8]}"
-            _build(spark, sf_dir, scenario, Loaded(spark, f"{root}/staging", f"{root}/vault"))
-            if pointer:
-                with open(pointer, "w") as fh:
-                    fh.write(root)
-        out = Loaded(spark, f"{root}/staging", f"{root}/vault")
-        _LOADED[key] = out
-        return out
+        if key not in _LOADED:
+            root = f"{_work_root(spark)}/{scenario}-{uuid.uuid4().hex}"
+            out = Loaded(spark, f"{root}/staging", f"{root}/vault")
+            _build(spark, sf_dir, scenario, out)
+            _LOADED[key] = out
+        return _LOADED[key]
 
 
 def land_csv(source: dict[str, DataFrame], folder: str) -> dict[str, str]:
