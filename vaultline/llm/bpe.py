@@ -83,6 +83,9 @@ class Bpe:
             self.length.append(len(data))
             self.automaton.add_word(data.decode("latin-1"), n)
         self.automaton.make_automaton()
+        # the longest token that a token starts with, itself apart; -1: none
+        self.shorter = [max((number[t[:k]] for k in range(1, len(t)) if t[:k] in number),
+                            key=self.length.__getitem__, default=-1) for t in number]
 
         added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.added = added
@@ -98,15 +101,17 @@ class Bpe:
             self.offset[i + 1] = len(data)
         self.offset = np.cumsum(self.offset).tolist()
         self.buffer = b"".join(by_id.get(i, b"") for i in range(max(by_id) + 1))
-        self._fits: dict[tuple[int, int], bool] = {}
-        self._cache: dict[str, list[int]] = {}
+        self._fits: dict[int, bool] = {}
+        self._cache: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether no merge crosses the border of ``left`` and ``right`` before both are whole."""
-        known = self._fits.get((left, right))
+        key = left * len(self.ids) + right
+        known = self._fits.get(key)
         if known is not None:
             return known
-        key, limit, answer = (left, right), len(self.ids), True
+        limit, answer = len(self.ids), True
         while True:
             merged = self.pair.get((left, right))
             if merged is not None and merged < limit:
@@ -129,46 +134,48 @@ class Bpe:
         self._fits[key] = answer
         return answer
 
-    def _encode_bytes(self, data: bytes) -> list[int]:
+    def _encode_bytes(self, data: str) -> tuple[int, ...]:
+        """Ids of ``data``, a string with one character per byte."""
+        length, shorter, compatible = self.length, self.shorter, self.compatible
         size = len(data)
-        at: list[list[int]] = [[] for _ in range(size)]  # matches by start, shortest first
-        for end, n in self.automaton.iter(data.decode("latin-1")):
-            at[end - self.length[n] + 1].append(n)
+        longest = [-1] * size  # longest match by start: of one start, it ends last
+        for end, n in self.automaton.iter(data):
+            longest[end - length[n] + 1] = n
         dead = bytearray(size + 1)
         tokens: list[int] = []
-        choice: list[int] = []  # index into at[...] of each chosen token
         pos = 0
-        pick = len(at[0]) - 1
+        n = longest[0]
         while pos < size:
-            while pick >= 0:
-                n = at[pos][pick]
-                if not dead[pos + self.length[n]] and (not tokens or self.compatible(tokens[-1], n)):
-                    break
-                pick -= 1
-            if pick >= 0:
+            while n >= 0 and (dead[pos + length[n]] or (tokens and not compatible(tokens[-1], n))):
+                n = shorter[n]
+            if n >= 0:
                 tokens.append(n)
-                choice.append(pick)
-                pos += self.length[n]
-                pick = len(at[pos]) - 1 if pos < size else -1
+                pos += length[n]
+                n = longest[pos] if pos < size else -1
             else:
                 if not tokens:
                     raise ValueError("bytes outside the vocabulary")
                 dead[pos] = 1
-                pos -= self.length[tokens.pop()]
-                pick = choice.pop() - 1
-        return [self.ids[n] for n in tokens]
+                n = tokens.pop()
+                pos -= length[n]
+                n = shorter[n]
+        ids = self.ids
+        return tuple([ids[n] for n in tokens])
 
     def _ordinary(self, text: str, out: list[int]) -> None:
         cache = self._cache
         for word in self.pattern.findall(text):
             ids = cache.get(word)
             if ids is None:
-                ids = self._encode_bytes(word.encode())
+                ids = self._older.get(word)
+                if ids is None:
+                    ids = self._encode_bytes(word if word.isascii() else word.encode().decode("latin-1"))
                 if len(word) <= _CACHED_CHARS:
-                    if len(cache) >= _CACHE:
-                        cache.clear()
+                    if len(cache) >= _CACHE:  # what was not used since the last time goes
+                        self._older, self._cache = cache, {}
+                        cache = self._cache
                     cache[word] = ids
-            out.extend(ids)
+            out += ids
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
