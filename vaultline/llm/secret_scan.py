@@ -10,9 +10,12 @@ The forest is fitted on a bounded, balanced set of labelled findings
 set in sentences cut from the corpus's own words, of which at most
 ``context_rows`` documents are read.  Judging covers every whole text.
 
-Defined results: a null or empty text has no finding; overlapping candidates
-are joined by taking the earliest, then the longest; repeated rows are judged
-alike; an empty table gives an empty result; columns other than those named
+Candidates have no upper length.  A value assigned inside another value is
+proposed as well, up to the next such assignment and up to the next ``&``.
+
+Defined results: a null or empty text has no finding; every candidate is
+judged; overlapping secrets are joined to one span that covers them all, with
+the kind of the earliest, then longest; repeated rows are judged alike; an empty table gives an empty result; columns other than those named
 are not read.  Redaction replaces a secret by ``[SECRET]`` and keeps the row.
 """
 
@@ -40,34 +43,57 @@ FORMATS = re.compile(
     r"|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})(?![A-Za-z0-9])")
 PRIVATE_KEY = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----")
 PRIVATE_KEY_END = re.compile(r"-----END [A-Z ]{0,30}PRIVATE KEY-----")
-ASSIGNED = re.compile(r"(?i)(?<![a-z0-9])[a-z0-9_.-]{0,24}(?:passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key"
-                      r"|auth|credentials?)[a-z0-9_-]{0,16}[\"']?[ \t]{0,3}(?:=>|:=|=|:)[ \t]{0,3}[\"']?([^\s\"'<>,;]{6,400})")
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,80}[0-9])[A-Za-z0-9+/_-]{20,400}={0,2}(?![A-Za-z0-9+/_=-])")
+ASSIGNMENT = re.compile(r"(?i)(?<![a-z0-9_.-])([a-z0-9_.-]++)[\"']?[ \t]*+(?:=>|:=|=|:)[ \t]*+[\"']?")
+ASSIGNED_NAMES = re.compile(r"(?i)passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credentials?")
+VALUE = re.compile(r"[^\s\"'<>,;]*+")
+_LEAST_VALUE = 6
+RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])")
 NAMES = re.compile(r"(?i)passw|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private")
 DENIALS = re.compile(r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|todo|fake|redacted|test[_-]?only")
 _CONTEXT = 40
+_SYMBOLS = 64  # of base64: a longer value cannot have more entropy a character
 # Fixed value: parts of ordinary words for dictionary coverage.
 WORD_PARTS = re.compile(r"(?i)the|and|ing|tion|ent|for|with|that|this|from|test|name|user|file|path|data|value|string|list|page"
                         r"|index|main|data|der|die|und|sch|ein|que|les|des|con|para|los|las|est|pass|word|change|example")
 
 
-def candidates(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of proposed spans, in order, none overlapping."""
-    found = []
-    for m in PRIVATE_KEY.finditer(text):
+def _private_keys(text: str) -> list[tuple[int, int]]:
+    out, at = [], 0
+    while m := PRIVATE_KEY.search(text, at):
         end = PRIVATE_KEY_END.search(text, m.end())
-        found.append((m.start(), end.end() if end else m.end(), "private_key"))
-    found.extend((m.start(), m.end(), "format") for m in FORMATS.finditer(text))
-    found.extend((m.start(1), m.end(1), "assigned") for m in ASSIGNED.finditer(text))
-    found.extend((m.start(), m.end(), "run") for m in RUN.finditer(text))
-    found.sort(key=lambda s: (s[0], -s[1]))
-    out: list[tuple[int, int, str]] = []
-    for span in found:
-        if not out or span[0] >= out[-1][1]:
-            out.append(span)
+        if not end:
+            return out + [b.span() for b in PRIVATE_KEY.finditer(text, m.start())]
+        at = end.end()
+        out.append((m.start(), at))
     return out
 
 
+def _assigned(text: str) -> list[tuple[int, int]]:
+    """Whole values, and their parts from each name in them to the next one; all lengths add up to a few times the text's."""
+    named = [m.span() for m in ASSIGNMENT.finditer(text) if ASSIGNED_NAMES.search(m.group(1).rpartition(".")[2])]
+    out, whole = [], 0
+    for i, (_, start) in enumerate(named):
+        if start >= whole:
+            whole = VALUE.match(text, start).end()
+            out.append((start, whole))
+        stop = min(whole, named[i + 1][0]) if i + 1 < len(named) else whole
+        out.append((start, stop))
+        part = text.find("&", start, stop)
+        if part >= 0:
+            out.append((start, part))
+    return [s for s in out if s[1] - s[0] >= _LEAST_VALUE]
+
+
+def candidates(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of proposed spans, in order, the longer first; they may overlap."""
+    found: dict[tuple[int, int], str] = {}
+    for kind, spans in (("private_key", _private_keys(text)), ("format", (m.span() for m in FORMATS.finditer(text))),
+                        ("assigned", _assigned(text)), ("run", (m.span() for m in RUN.finditer(text)))):
+        for span in spans:
+            found.setdefault(span, kind)
+    return [(a, b, found[a, b]) for a, b in sorted(found, key=lambda s: (s[0], -s[1]))]
+
+
 def features(text: str, start: int, end: int) -> list[float]:
     value = text[start:end]
     before, after = text[max(0, start - _CONTEXT):start], text[end:end + _CONTEXT]
@@ -81,7 +107,7 @@ def features(text: str, start: int, end: int) -> list[float]:
     vowels = sum(c in "aeiouAEIOU" for c in value)
     hexadecimal = sum(c in string.hexdigits for c in value)
     return [
-        n, moves / max(1, n - 1), entropy, entropy / max(1.0, math.log2(n)),
+        n, moves / max(1, n - 1), entropy, entropy / max(1.0, math.log2(min(n, _SYMBOLS))),
         classes.count("d") / n, classes.count("u") / n, classes.count("s") / n, letters / n,
         vowels / max(1, letters), hexadecimal / n, covered / n,
         max(counts.values()) / n, sum(a == b for a, b in zip(value, value[1:])) / max(1, n - 1),
@@ -119,7 +145,11 @@ def labelled_findings(words: list[str], rows: int = 3000, seed: int = 5) -> list
             lambda: (assign, of(mixed, rng.randint(10, 48))),
             lambda: (assign, of(mixed + "!#$%&*+/=?@^_~-", rng.randint(10, 32))),
             lambda: ("", of(mixed + "+/", 40)),
+            lambda: (assign, of(mixed, rng.randint(49, 3000))),
+            lambda: ("", of(mixed + "+/", rng.randint(41, 3000))),
             lambda: ("", "-----BEGIN RSA PRIVATE KEY-----"),
+            lambda: ("", "-----BEGIN RSA PRIVATE KEY-----\n" + of(mixed + "+/", rng.randint(60, 3000))
+                     + "\n-----END RSA PRIVATE KEY-----"),
         ])()
 
     def lookalike() -> tuple[str, str]:
@@ -136,6 +166,8 @@ def labelled_findings(words: list[str], rows: int = 3000, seed: int = 5) -> list
             lambda: ("", of("-=_", 1) * 24 + "1" + "-" * 5),
             lambda: ("", (word() + word() + word() + word() + word())[:60] + of(string.digits, 1)),
             lambda: ("", "-".join(of("0123456789abcdef", n) for n in (8, 4, 4, 4, 12))),
+            lambda: ("", rng.choice("/-_+").join(word() for _ in range(rng.randint(9, 400))) + of(string.digits, 1)),
+            lambda: ("", of(string.digits, rng.randint(41, 3000))),
         ])()
 
     out = []
@@ -160,14 +192,24 @@ def fit(docs: DataFrame, context_rows: int = 500, rows: int = 3000) -> RandomFor
 
 
 def judge(texts: list[str | None], forest: RandomForest, threshold: float = 0.5) -> list[list[tuple]]:
-    """Per text its candidates as (start, end, kind, score, is secret)."""
+    """Per text its candidates as (start, end, kind, score, is secret); overlapping secrets are one."""
     spans = [candidates(t) if t else [] for t in texts]
     x = [features(t, a, b) for t, s in zip(texts, spans) for a, b, _ in s]
     scores = iter(forest.probability(np.array(x)).tolist() if x else [])
     out = []
     for s in spans:
-        scored = [(a, b, kind, next(scores)) for a, b, kind in s]
-        out.append([(*c, c[3] >= threshold) for c in scored])
+        judged, last = [], -1
+        for a, b, kind in s:
+            score = next(scores)
+            if score < threshold:
+                judged.append((a, b, kind, score, False))
+            elif last >= 0 and a < judged[last][1]:
+                first = judged[last]
+                judged[last] = (first[0], max(first[1], b), first[2], max(first[3], score), True)
+            else:
+                last = len(judged)
+                judged.append((a, b, kind, score, True))
+        out.append(judged)
     return out
 
 
