@@ -1,17 +1,19 @@
 """Main text of web pages by text-to-tag ratio.
 
 The standard library's parser delivers a page as events.  Block elements end a
-line; a line holds its text, the number of tags in it and the region (nearest
+line; a line holds its text, the number of tags in it and the region (outermost
 article or main element, else the body) it lies in.  Lines inside menus,
 headers, footers, sidebars, notices, adverts, forms, comments, scripts and
 styles are marked as boilerplate.  Each line's ratio of characters to tags is
 smoothed by a Gaussian over its neighbours; lines above a threshold from the
-ratios' spread are content.  The region with most content is selected, among
-article or main elements where there are any, and all its lines that are not
-boilerplate are the main text: a short paragraph between long ones stays.
-
-Defined results: a null or empty page has an empty text; equal regions go to
-the first; repeated rows give repeated results; an empty table gives an empty
+ratios' spread are content.  Regions compete by their content: where articles
+and main elements together have at least as much as the body outside them, all
+of them with content are selected, else the body is; of the other side, regions
+with at least ``_SHARE`` of the largest one's content are selected too.  All
+lines of selected regions that are not boilerplate are the main text, in page
+order: a short paragraph between long ones stays.
+
+Defined results: a null or empty page has an empty text; repeated rows give repeated results; an empty table gives an empty
 result; columns other than those named are not read.
 """
 
@@ -40,6 +42,9 @@ BOILERPLATE_NAMES = re.compile(
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 
 
+_SHARE = 0.2
+
+
 class LineParser(HTMLParser):
     """Collects lines as (text, tags, region, boilerplate)."""
 
@@ -69,7 +74,8 @@ class LineParser(HTMLParser):
             self.depth += tag == self.skipping
             return
         if tag in REGIONS:
-            self.region_count += 1
+            if len(self.regions) == 1:
+                self.region_count += 1
             self.regions.append(self.region_count)
         names = dict(attrs)
         if tag in BOILERPLATE or (tag not in ("html", "body") and tag not in REGIONS and (
@@ -125,11 +131,11 @@ def main_text(html: str | None, spread: float = 0.5) -> str:
     for (text, _, region, skip), inside in zip(lines, content):
         if not skip:
             weight[region] = weight.get(region, 0.0) + (len(text) if inside else 0.0)
-    named = [r for r in weight if r > 0]
-    if not weight:
-        return ""
-    chosen = max(named or weight, key=lambda r: (weight[r], -r))
-    return " ".join(text for text, _, region, skip in lines if region == chosen and not skip)
+    largest = max(weight.values(), default=0.0)
+    body = weight.get(0, 0.0)
+    named_first = sum(weight.values()) - body >= body
+    selected = {r for r, w in weight.items() if w >= _SHARE * largest or (named_first and r > 0 and w > 0)}
+    return " ".join(text for text, _, region, skip in lines if region in selected and not skip)
 
 
 def extract(pages: DataFrame) -> DataFrame:
