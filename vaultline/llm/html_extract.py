@@ -4,7 +4,10 @@ The standard library's parser delivers a page as events.  Block elements end a
 line; a line holds its text, the number of tags in it and the region (outermost
 article or main element, else the body) it lies in.  Lines inside menus,
 headers, footers, sidebars, notices, adverts, forms, comments, scripts and
-styles are marked as boilerplate.  Each line's ratio of characters to tags is
+styles are marked as boilerplate.  Forms and elements marked by a whole class
+name, id or role stay if they hold an article, a main element or most of the
+text (comments: no article); menus, headers, footers and asides stay if they
+hold a main element.  End tags that may be omitted are implied.  Each line's ratio of characters to tags is
 smoothed by a Gaussian over its neighbours; lines above a threshold from the
 ratios' spread are content.  Regions compete by their content: where articles
 and main elements together have at least as much as the body outside them, all
@@ -19,7 +22,6 @@ result; columns other than those named are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -30,59 +32,126 @@ from pyspark.sql import DataFrame
 # Elements that end a line, hold boilerplate, name a region, or have no end tag.
 BLOCKS = frozenset("address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main nav ol p pre section "
-                   "summary table tbody td tfoot th thead title tr ul".split())
-BOILERPLATE = frozenset("head nav header footer aside form script style noscript template iframe svg canvas object "
-                        "button select textarea option menu dialog".split())
+                   "summary table caption tbody td tfoot th thead title tr ul".split())
+INERT = frozenset("head title script style noscript template iframe svg canvas object button select textarea "
+                  "option".split())
+ASIDES = frozenset("nav header footer aside menu dialog".split())
+BOILERPLATE = INERT | ASIDES | {"form"}
 REGIONS = frozenset({"article", "main"})
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BOILERPLATE_NAMES = re.compile(
-    r"(?i)(?:^|[\s_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|sidebar|menu|navbar|nav|navigation|"
-    r"breadcrumbs?|footer|header|masthead|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|signup|share|"
-    r"sharing|social|related|recommended|comments?|comment-list|respond|disqus|replies)(?:$|[\s_-])")
+BOILERPLATE_NAMES = frozenset(
+    "ad ads advert adverts advertisement ad-banner ad-container ad-slot ad-unit ad-wrapper adsbygoogle sponsor sponsored "
+    "sponsored-content promo banner sidebar side-bar site-sidebar widget-area menu main-menu nav-menu navbar nav-bar nav "
+    "main-nav site-nav nav-links navigation main-navigation site-navigation primary-navigation breadcrumb breadcrumbs "
+    "footer site-footer page-footer header site-header masthead cookie cookies cookie-banner cookie-bar cookie-consent "
+    "cookie-notice consent notice alert popup modal newsletter newsletter-signup subscribe signup share share-buttons "
+    "sharing social social-links social-media social-share related related-posts related-articles recommended "
+    "recommended-posts respond".split())
+COMMENT_NAMES = frozenset("comment comments comment-list comment-section comments-section comments-area comment-body "
+                          "comment-form comment-respond disqus disqus-thread replies".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
-
-
 _SHARE = 0.2
+# Fixed values, from HTML's rules: start tags that close an open p or the elements of their own kind, and what bounds that.
+CELLS = frozenset({"td", "th", "caption"})
+ROWS = CELLS | {"tr"}
+GROUPS = ROWS | {"tbody", "thead", "tfoot"}
+SCOPE = CELLS | {"table", "template", "object"}
+LISTS = SCOPE | frozenset("ul ol dl menu section article main aside nav header footer form blockquote fieldset".split())
+CLOSES_P = (BLOCKS | {"menu"}) - frozenset("br body head html legend summary caption tbody td tfoot th thead title tr".split())
+IMPLIED = {"li": ({"li"}, LISTS), "dt": ({"dt", "dd"}, LISTS), "dd": ({"dt", "dd"}, LISTS),
+           "td": (CELLS, {"table"}), "th": (CELLS, {"table"}), "tr": (ROWS, {"table"}),
+           "tbody": (GROUPS, {"table"}), "thead": (GROUPS, {"table"}), "tfoot": (GROUPS, {"table"}),
+           "option": ({"option"}, {"select"}), "optgroup": ({"option", "optgroup"}, {"select"})}
+IN_HEAD = frozenset("head base link meta title style script noscript template".split())
+PAGE_PARTS = REGIONS | ASIDES | {"form", "body", "html", "section"}
 
 
 class LineParser(HTMLParser):
-    """Collects lines as (text, tags, region, boilerplate)."""
+    """Collects lines as (text, tags, region, mark) and marks as [mark around it, kind, holds an article, holds a main]."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int, int]] = []
         self.text: list[str] = []
         self.tags = 0
-        self.regions: list[int] = [0]
-        self.region_count = 0
-        self.skipping = ""  # element whose content is boilerplate, and how deep it is nested in itself
-        self.depth = 0
+        self.region = self.region_count = 0
+        self.mark = -1  # the innermost open element that may be boilerplate
+        self.marks: list[list] = []
+        self.open: list[tuple[str, int, int]] = []  # open elements: tag, mark and region around them
+        self.places: dict[str, list[int]] = {}  # where in ``open`` the elements of a tag are
+        self.blocks: list[int] = []
 
     def end_line(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, self.tags, self.regions[-1], bool(self.skipping)))
+            self.lines.append((text, self.tags, self.region, self.mark))
         self.text, self.tags = [], 0
 
+    def last(self, tags) -> int:
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=-1)
+
+    def close_from(self, place: int) -> None:
+        """Closes the element at ``place`` and those in it."""
+        while len(self.open) > place:
+            tag, mark, region = self.open.pop()
+            if mark != self.mark:
+                self.end_line()
+            self.mark, self.region = mark, region
+            self.places[tag].pop()
+            if self.blocks and self.blocks[-1] == len(self.open):
+                self.blocks.pop()
+
+    def close_implied(self, tag: str) -> None:
+        if self.places.get("head") and (tag == "body" or (self.open[-1][0] == "head" and tag not in IN_HEAD)):
+            self.close_from(self.places["head"][-1])
+        kinds, bounds = IMPLIED.get(tag, ((), ()))
+        while (place := self.last(kinds)) > self.last(bounds):
+            self.close_from(place)
+        if tag in CLOSES_P and (place := self.last(("p",))) > self.last(SCOPE | {"button"}):
+            self.close_from(place)
+
+    def kind_of(self, tag: str, names: dict) -> str:
+        """Why the element may be boilerplate, or an empty text."""
+        if tag in INERT:
+            return "inert"
+        if tag in ASIDES or ("hidden" in names and tag not in ("html", "body")):
+            return "aside"
+        if tag in ("html", "body") or tag in REGIONS:
+            return ""
+        words = {w.lower().replace("_", "-") for a in ("class", "id") for w in (names.get(a) or "").split()}
+        if words & COMMENT_NAMES:
+            return "comments"
+        role = (names.get("role") or "").lower()
+        return "loose" if tag == "form" or words & BOILERPLATE_NAMES or role in BOILERPLATE_ROLES else ""
+
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag in BLOCKS or tag in BOILERPLATE:
             self.end_line()
+        self.close_implied(tag)
         self.tags += 1
         if tag in VOID:
             return
-        if self.skipping:
-            self.depth += tag == self.skipping
-            return
+        kind = self.kind_of(tag, dict(attrs))
+        if kind and self.text:
+            self.end_line()
+        place = len(self.open)
+        self.open.append((tag, self.mark, self.region))
+        self.places.setdefault(tag, []).append(place)
+        if tag != "p" and (tag in BLOCKS or tag in BOILERPLATE):
+            self.blocks.append(place)
         if tag in REGIONS:
-            if len(self.regions) == 1:
+            at = self.mark
+            while at >= 0 and self.marks[at][1] != "inert":
+                if self.marks[at][3] or (tag != "main" and (self.marks[at][2] or self.marks[at][1] != "loose")):
+                    break
+                self.marks[at][2 if tag != "main" else 3] = True
+                at = self.marks[at][0]
+            if not self.region:
                 self.region_count += 1
-            self.regions.append(self.region_count)
-        names = dict(attrs)
-        if tag in BOILERPLATE or (tag not in ("html", "body") and tag not in REGIONS and (
-                any(BOILERPLATE_NAMES.search(names.get(a) or "") for a in ("class", "id"))
-                or (names.get("role") or "").lower() in BOILERPLATE_ROLES
-                or "hidden" in names)):
-            self.skipping, self.depth = tag, 1
+                self.region = self.region_count
+        if kind:
+            self.marks.append([self.mark, kind, False, False])
+            self.mark = len(self.marks) - 1
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)
@@ -90,24 +159,65 @@ class LineParser(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in BLOCKS or tag in BOILERPLATE:
+        block = tag in BLOCKS or tag in BOILERPLATE
+        if block:
             self.end_line()
         self.tags += 1
-        if self.skipping:
-            if tag == self.skipping:
-                self.depth -= 1
-            if self.depth <= 0 or tag in ("body", "html") or (
-                    tag in REGIONS and len(self.regions) > 1 and tag != self.skipping):
-                self.skipping = ""
-            else:
-                return
-        if tag in REGIONS and len(self.regions) > 1:
-            self.regions.pop()
+        place = self.last((tag,))
+        if place < 0:
+            return
+        if tag in PAGE_PARTS:
+            bound = -1
+        elif tag in GROUPS or tag == "table":
+            bound = self.last(("table",)) if tag != "table" else -1
+        elif block:
+            bound = self.last(SCOPE | {"ul", "ol"} if tag == "li" else SCOPE - {tag})
+        else:
+            bound = self.blocks[-1] if self.blocks else -1
+        if place > bound:
+            self.close_from(place)
 
     def handle_data(self, data: str) -> None:
-        if self.skipping not in ("script", "style"):
+        at = self.open[-1][0] if self.open else ""
+        if at == "head" and not data.isspace():
+            self.close_from(len(self.open) - 1)
+        if at not in ("script", "style"):
             self.text.append(data)
 
+    def skipped(self) -> list[bool]:
+        """Per line whether it is boilerplate."""
+        dead: list[bool] = []
+        for around, kind, article, main in self.marks:
+            stays = kind != "inert" and (main or (kind == "loose" and article))
+            dead.append(not stays)
+        sizes = [0] * len(self.marks)
+        for text, _, _, mark in self.lines:
+            if mark >= 0:
+                sizes[mark] += len(text)
+        total = sum(len(text) for text, _, _, mark in self.lines if mark < 0)
+        for m in range(len(self.marks) - 1, -1, -1):
+            around, kind = self.marks[m][:2]
+            if kind == "inert":
+                continue
+            if around >= 0:
+                sizes[around] += sizes[m]
+            else:
+                total += sizes[m]
+
+        def inside(of: list[bool]) -> list[bool]:
+            out: list[bool] = []
+            for (around, *_), own in zip(self.marks, of):
+                out.append(own or (around >= 0 and out[around]))
+            return out
+
+        within = inside(dead)
+        named = sum(len(text) for text, _, region, mark in self.lines if region and (mark < 0 or not within[mark]))
+        for m, (_, kind, _, _) in enumerate(self.marks):
+            if dead[m] and kind in ("loose", "comments") and 2 * sizes[m] > total and 4 * named < sizes[m]:
+                dead[m] = False
+        within = inside(dead)
+        return [mark >= 0 and within[mark] for *_, mark in self.lines]
+
 
 def smooth(ratios: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndarray:
     kernel = np.exp(-np.arange(-radius, radius + 1) ** 2 / (2 * sigma ** 2))
@@ -122,7 +232,7 @@ def main_text(html: str | None, spread: float = 0.5) -> str:
     parser.feed(html)
     parser.close()
     parser.end_line()
-    lines = parser.lines
+    lines = [(*line[:3], skip) for line, skip in zip(parser.lines, parser.skipped())]
     if not lines:
         return ""
     ratios = smooth(np.array([0.0 if skip else len(text) / max(1, tags) for text, tags, _, skip in lines]))
