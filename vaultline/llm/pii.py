@@ -9,11 +9,15 @@ match what the plain forms match, as no later part could use what they give up.
 
 Validators confirm: Luhn for cards, parts of at most 255 for addresses, digit
 counts for phones, mod-97 for bank account numbers (kind ``iban``, which the
-method adds).  Words near a span raise its score; base spans are kept at any
+method adds).  An account number ends where its country's published length
+ends, else, for codes not in the list, at the last blank or end at which mod-97
+holds; its match takes in the first four characters only, so that a wrong start
+hides no number after it.  Words near a span raise its score; base spans are kept at any
 score, an account number without a valid checksum is dropped.
 
-Defined results: a null text is the empty one; spans of one kind never overlap,
-so ties do not arise; repeated rows give repeated results; an empty table gives
+Defined results: a null text is the empty one; spans of one kind never overlap
+(except valid account numbers inside one another, all of which are kept), so
+ties do not arise; repeated rows give repeated results; an empty table gives
 an empty result; columns other than those named are not read.
 """
 
@@ -47,10 +51,17 @@ KINDS = (
     Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", 0.6, r"\bip\b|host|server|address|login"),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", None, 0.8, "card|visa|credit|payment|karte"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.6, "phone|tel|call|mobile|fax"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", None, 0.8,
+    Kind("iban", r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Za-z0-9]){11,31}+))[A-Z]{2}[0-9]{2}", None, 0.8,
          "iban|account|bank|konto|compte|cuenta"),
 )
 BASE = ("email", "ip", "card", "phone")
+_ACCOUNT_START = 4  # characters of an account number that its match takes in; group 1 is what may belong to it
+# Published lengths of account numbers by country code.
+ACCOUNT_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
 
 
 def _digits(match: Column) -> Column:
@@ -81,10 +92,27 @@ def _valid(kind: str, match: Column) -> Column:
     if kind == "phone":
         return F.length(_digits(match)).between(8, 15)
     if kind == "iban":
-        return _mod97(F.replace(match, F.lit(" "), F.lit("")))
+        return match.isNotNull()
     return F.lit(True)
 
 
+def _account(candidate: Column) -> Column:
+    """The account number at the candidate's start, or null."""
+    parts = F.split(candidate, " ")
+    starts = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), " "))
+
+    def fits(start: Column) -> Column:
+        account = F.replace(start, F.lit(" "), F.lit(""))
+        code, length = F.left(account, F.lit(2)), F.length(account)
+        published = F.lit(None).cast("int")
+        for n, codes in ACCOUNT_LENGTHS.items():
+            published = F.when(code.isin(*codes.split()), n).otherwise(published)
+        return (F.coalesce(length == published, length.between(15, 34))
+                & F.regexp_like(account, F.lit("^[A-Z0-9]+$")) & _mod97(account))
+
+    return F.get(F.reverse(F.filter(starts, fits)), F.lit(0))
+
+
 def _sum(lengths: Column) -> Column:
     return F.aggregate(lengths, F.lit(0).cast("long"), lambda a, n: a + n)
 
@@ -92,7 +120,8 @@ def _sum(lengths: Column) -> Column:
 def _lengths(kind: str) -> Column:
     """Length of each match and the piece before it."""
     pieces = F.col(f"_p_{kind}")
-    return F.transform(f"_m_{kind}", lambda m, i: (F.length(m) + F.length(F.get(pieces, i))).cast("long"))
+    return F.transform(f"_m_{kind}", lambda m, i: (
+        (F.lit(_ACCOUNT_START) if kind == "iban" else F.length(m)) + F.length(F.get(pieces, i))).cast("long"))
 
 
 def _block_sums(kind: str) -> Column:
@@ -110,8 +139,10 @@ def _spans(kind: Kind) -> Column:
         start = (_sum(F.slice(blocks, F.lit(1), block))
                  + _sum(F.slice(lengths, block * _BLOCK + 1, i % _BLOCK))
                  + F.length(F.get(pieces, i)))
-        near = F.concat(F.right(F.get(pieces, i), F.lit(_CONTEXT)), F.lit(" "),
-                        F.left(F.get(pieces, i + 1), F.lit(_CONTEXT)))
+        after = F.get(pieces, i + 1)
+        if kind.name == "iban":
+            after = F.substr(after, F.length(match) - _ACCOUNT_START + 1)
+        near = F.concat(F.right(F.get(pieces, i), F.lit(_CONTEXT)), F.lit(" "), F.left(after, F.lit(_CONTEXT)))
         score = F.lit(kind.base_score) + F.when(
             F.regexp_like(F.lower(near), F.lit(kind.words)), 0.1).otherwise(0.0)
         return F.when(_valid(kind.name, match), F.struct(
@@ -131,10 +162,11 @@ def find(docs: DataFrame, columns: list[str]) -> DataFrame:
         return value if kind.needs is None else F.when(
             F.contains(F.col("_t"), F.lit(kind.needs)), value).otherwise(none)
 
-    rows = rows.select("*", *[if_needed(k, F.regexp_extract_all("_t", F.lit(k.pattern), F.lit(0))).alias(f"_m_{k.name}")
-                              for k in KINDS])
+    rows = rows.select("*", *[if_needed(k, F.regexp_extract_all("_t", F.lit(k.pattern), F.lit(int(k.name == "iban")))
+                                          ).alias(f"_m_{k.name}") for k in KINDS])
     rows = rows.select("*", *[F.when(F.size(f"_m_{k.name}") > 0, F.split("_t", k.pattern, -1)).otherwise(none)
                               .alias(f"_p_{k.name}") for k in KINDS])
+    rows = rows.withColumn("_m_iban", F.transform("_m_iban", _account))
     rows = rows.select("*", *[_lengths(k.name).alias(f"_l_{k.name}") for k in KINDS])
     rows = rows.select("*", *[_block_sums(k.name).alias(f"_b_{k.name}") for k in KINDS])
     return rows.select(*columns, F.concat(*[_spans(k) for k in KINDS]).alias("findings"))
