@@ -1,13 +1,15 @@
 """URL filter: exact host and path rules first, then gradient-boosted trees on lexical features.
 
 Features: lengths, path depth, label counts, ratios of digits and hyphens,
-entropy, parameter counts, and the share of blocked URLs per host suffix and
-per word of the host, from the labelled URLs.
+entropy, parameter counts, and the share of known blocked URLs among the URLs
+of the host's suffix and of each of its words.
 
-Labelled URLs: at most ``label_rows`` rows by hash of the id, labelled by the
-rules where one applies and else by a list of words in the host.  Half of
-them are used for suffix and word statistics, half to fit the trees, so that a
-URL's own label never enters its statistics.
+Statistics count every URL of the table: URLs and known blocked ones are added
+up per host, then per suffix and per word (whole words of the host but its last
+label), and joined back by host.  A URL's own label is left out of its shares.
+URLs are labelled by the rules where one applies and else by a list of words in
+the host.  The trees alone are fitted on a sample, at most ``label_rows``
+labelled rows by hash of the id.
 
 Defined results: a null url, or one without ``://``, has empty host and path
 and no rule; the method judges it as it does any other.  Rules of one length
@@ -27,6 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vaultline.llm.common import stored
 from vaultline.llm.trees import BoostedTrees
 
 # Fixed values: (verdict, host, path) of the rules, and words of unwanted hosts.
@@ -59,85 +62,111 @@ def _entropy(text: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(text).values()) if n else 0.0
 
 
-def _words(host: str) -> list[str]:
-    return re.findall(r"[a-z]+", host)
+def label_of(host: Column, path: Column, rules: Rules = RULES) -> Column:
+    """1 for a blocked URL, 0 for an allowed one."""
+    _, verdict = rule_for(host, path, rules)
+    return F.coalesce((verdict == "block").cast("int"), F.regexp_like(host, F.lit(UNWANTED.pattern)).cast("int"))
 
 
-def _suffix(host: str) -> str:
-    return ".".join(host.split(".")[-2:])
+def _labelled(pages: DataFrame, rules: Rules) -> DataFrame:
+    """``pages`` with host, path and label."""
+    rows = pages.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    return rows.withColumn("label", F.when(F.col("url").isNotNull(), label_of(F.col("host"), F.col("path"), rules)))
+
+
+def statistics(pages: DataFrame, rules: Rules = RULES) -> DataFrame:
+    """host, n and blocked of the host, of its suffix, and (as arrays) of its words, over all URLs."""
+    blocked = F.coalesce(F.col("label"), F.lit(0)).cast("long")
+    hosts = stored(_labelled(pages.select("url"), rules).groupBy("host").agg(
+        F.count("*").alias("n"), F.sum(blocked).alias("blocked")))
+    sums = (F.sum("n").alias("n"), F.sum("blocked").alias("blocked"))
+    suffix = F.substring_index("host", ".", -2).alias("suffix")
+    named = F.when(F.contains("host", F.lit(".")), F.regexp_replace("host", r"\.[^.]*$", "")).otherwise(F.col("host"))
+    words = hosts.select("host", "n", "blocked", F.explode(F.array_distinct(
+        F.regexp_extract_all(named, F.lit("[a-z]+"), F.lit(0)))).alias("word"))
+    suffixes = hosts.select("n", "blocked", suffix).groupBy("suffix").agg(*sums)
+    per_word = words.groupBy("word").agg(*sums)
+    of_words = words.select("host", "word").join(per_word, "word").groupBy("host").agg(
+        F.collect_list(F.struct("n", "blocked")).alias("words"))
+    return stored(hosts.select("host", "n", "blocked", suffix)
+                  .join(suffixes.withColumnsRenamed({"n": "suffix_n", "blocked": "suffix_blocked"}), "suffix")
+                  .join(of_words, "host", "left")
+                  .select("host", "n", "blocked", "suffix_n", "suffix_blocked",
+                          F.col("words.n").alias("words_n"), F.col("words.blocked").alias("words_blocked")))
+
+
+_COUNTS = ["suffix_n", "suffix_blocked", "words_n", "words_blocked"]
 
 
 class UrlModel:
-    """Trees with the statistics their features need."""
-
-    def __init__(self, urls: list[tuple[str, str, str, int]], seed: int = 11):
-        self.prior = (sum(u[3] for u in urls) + 1) / (len(urls) + 2)
-        self.suffix: dict[str, tuple[int, int]] = {}
-        self.word: dict[str, tuple[int, int]] = {}
-        for _, host, _, label in urls[::2]:
-            self._add(self.suffix, _suffix(host), label)
-            for w in set(_words(host)):
-                self._add(self.word, w, label)
-        rest = urls[1::2] or urls
-        x = np.array([self.features(u, h, p) for u, h, p, _ in rest]) if rest else np.zeros((1, 16))
-        y = np.array([u[3] for u in rest], dtype=float) if rest else np.zeros(1)
-        self.trees = BoostedTrees(x, y, seed=seed)
+    """Trees and the overall share of known blocked URLs.  Rows: url, host, path, label or none, and the counts."""
 
-    @staticmethod
-    def _add(counts: dict, key: str, label: int) -> None:
-        a, b = counts.get(key, (0, 0))
-        counts[key] = (a + label, b + 1)
+    def __init__(self, rows: list[tuple], prior: float, seed: int = 11):
+        self.prior = prior
+        x = np.array([self.features(*r) for r in rows]) if rows else np.zeros((1, 16))
+        y = np.array([r[3] for r in rows], dtype=float) if rows else np.zeros(1)
+        self.trees = BoostedTrees(x, y, seed=seed)
 
-    def _share(self, counts: dict, key: str) -> float:
-        a, b = counts.get(key, (0, 0))
-        return (a + 2 * self.prior) / (b + 2)
+    def _share(self, n: int, blocked: int, own: int) -> float:
+        """Share of the others, drawn towards the overall one."""
+        return (blocked - own + 2 * self.prior) / (max(0, n - 1) + 2)
 
-    def features(self, url: str, host: str, path: str) -> list[float]:
+    def features(self, url: str, host: str, path: str, label, suffix_n, suffix_blocked, words_n,
+                 words_blocked) -> list[float]:
         query = url.partition("#")[0].partition("?")[2]
         n = max(1, len(url))
         labels = host.split(".")
-        words = _words(host)
+        own = int(label == 1)
         return [
             len(url), len(host), len(path), path.count("/"), len(labels), max(map(len, labels)),
             sum(c.isdigit() for c in url) / n, sum(c.isdigit() for c in host) / max(1, len(host)),
             host.count("-"), _entropy(host), _entropy(path), query.count("=") + query.count("&"),
             float(url.startswith("https")), float("@" in url or "%" in url),
-            self._share(self.suffix, _suffix(host)),
-            max((self._share(self.word, w) for w in words), default=self.prior),
+            self._share(suffix_n, suffix_blocked, own),
+            max((self._share(a, b, own) for a, b in zip(words_n, words_blocked)), default=self.prior),
         ]
 
-    def probability(self, rows: list[tuple[str, str, str]]) -> np.ndarray:
+    def probability(self, rows: list[tuple]) -> np.ndarray:
         return self.trees.probability(np.array([self.features(*r) for r in rows])) if rows else np.zeros(0)
 
 
-def fit(pages: DataFrame, rules: Rules = RULES, label_rows: int = 20_000) -> UrlModel:
-    """A model of at most ``label_rows`` labelled URLs, chosen by hash of the id."""
-    rows = pages.where("url is not null").select("page_id", "url")
+def _with_counts(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    none = F.array().cast("array<long>")
+    return rows.join(counts.select("host", *_COUNTS), "host", "left").withColumns({
+        "suffix_n": F.coalesce("suffix_n", F.lit(0)), "suffix_blocked": F.coalesce("suffix_blocked", F.lit(0)),
+        "words_n": F.coalesce("words_n", none), "words_blocked": F.coalesce("words_blocked", none)})
+
+
+def fit(pages: DataFrame, rules: Rules = RULES, label_rows: int = 20_000, counts: DataFrame | None = None) -> UrlModel:
+    """A model whose trees see at most ``label_rows`` labelled URLs, chosen by hash of the id."""
+    counts = counts if counts is not None else statistics(pages, rules)
+    total = counts.agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked")).first()
+    rows = _labelled(pages.select("page_id", "url"), rules).where("label is not null")
     step = max(1, -(-rows.count() // label_rows))
-    rows = (rows.where(F.pmod(F.xxhash64("page_id", "url"), F.lit(step)) == 0)
-            .select("url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")))
-    _, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    known = rows.select("url", "host", "path", verdict.alias("verdict")).limit(label_rows).collect()
-    urls = [(r["url"], r["host"], r["path"],
-             int(r["verdict"] == "block" if r["verdict"] else bool(UNWANTED.search(r["host"])))) for r in known]
-    return UrlModel(sorted(urls))
+    digest = F.xxhash64("page_id", "url")
+    known = _with_counts(rows.where(F.pmod(digest, F.lit(step)) == 0).withColumn("digest", digest), counts).select(
+        "digest", "url", "host", "path", "label", *_COUNTS).collect()
+    known = sorted(map(tuple, known))[:label_rows]
+    return UrlModel([r[1:] for r in known], ((total["blocked"] or 0) + 1) / ((total["n"] or 0) + 2))
 
 
 def judge(pages: DataFrame, model: UrlModel | None = None, rules: Rules = RULES,
           threshold: float = 0.5) -> DataFrame:
     """page_id, host, path, rule, verdict and the model's score of every row."""
-    model = model or fit(pages, rules)
-    host, path = host_of(F.col("url")), path_of(F.col("url"))
-    rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), host.alias("host"), path.alias("path"))
+    counts = statistics(pages, rules)
+    model = model or fit(pages, rules, counts=counts)
+    rows = _labelled(pages.select("page_id", F.col("url")), rules).withColumn("url", F.coalesce("url", F.lit("")))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    rows = rows.select("*", rule.alias("rule"), verdict.alias("verdict"))
-    schema = rows.drop("url").schema.add("score", "double")
+    rows = rows.select("page_id", "url", "host", "path", "label", rule.alias("rule"), verdict.alias("verdict"))
+    schema = rows.drop("url", "label").schema.add("score", "double")
+    names = schema.fieldNames()[:-1]
+    rows = _with_counts(rows, counts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            score = model.probability(list(zip(batch["url"], batch["host"], batch["path"])))
+            score = model.probability(list(zip(*(batch[c] for c in ("url", "host", "path", "label", *_COUNTS)))))
             method = pd.Series(np.where(score >= threshold, "block", "allow"), index=batch.index)
-            yield batch.drop(columns="url").assign(verdict=batch["verdict"].where(batch["verdict"].notna(), method),
-                                                   score=np.round(score, 6))
+            yield batch[names].assign(verdict=batch["verdict"].where(batch["verdict"].notna(), method),
+                                                    score=np.round(score, 6))
 
     return rows.mapInPandas(run, schema)
