@@ -1,15 +1,20 @@
 """URL filter: exact host and path rules first, then gradient-boosted trees on lexical features.
 
 Features: lengths, path depth, label counts, ratios of digits and hyphens,
-entropy, parameter counts, and the share of known blocked URLs among the URLs
-of the host's suffix and of each of its words.
+entropy, parameter counts, whether a word of the host names an unwanted kind,
+and whether most URLs of the host's suffix, or of one of its words, are known
+as blocked.
 
 Statistics count every URL of the table: URLs and known blocked ones are added
 up per host, then per suffix and per word (whole words of the host but its last
 label), and joined back by host.  A URL's own label is left out of its shares.
-URLs are labelled by the rules where one applies and else by a list of words in
-the host.  The trees alone are fitted on a sample, at most ``label_rows``
-labelled rows by hash of the id.
+Labels: blocked where a word of the host names an unwanted kind and no rule
+allows the URL; clean where a rule allows it and there is no such word; all
+others are of unknown kind, have none and fit no tree (a rule that blocks tells
+of the URLs it covers, which the trees do not judge).  With fewer than
+``_LEAST_LABELLED`` rows of either label the score is the kind alone.  The
+trees alone are fitted on a sample, at most ``label_rows`` labelled rows by hash
+of the id.
 
 Defined results: a null url, or one without ``://``, has empty host and path
 and no rule; the method judges it as it does any other.  Rules of one length
@@ -35,7 +40,22 @@ from vaultline.llm.trees import BoostedTrees
 # Fixed values: (verdict, host, path) of the rules, and words of unwanted hosts.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
          ("allow", "org", "/fr/"))
-UNWANTED = re.compile(r"spam|cheap|pills|casino|porn|xxx|viagra|loan|betting|malware|phish|free-|win-|-farm|clickbait")
+# Kinds of unwanted hosts, as whole words of a host but its last label, and last labels of unwanted hosts.
+UNWANTED_KINDS = {
+    "adult": "adult adults porn porno xxx sex sexy sexcam sexcams webcam camgirls nude nudes naked erotic erotica hentai "
+             "escort escorts milf fetish hardcore",
+    "ads and tracking": "ad ads adserver adserv adservice adclick adnet adnetwork adsystem advert adverts advertising "
+                        "banners doubleclick popunder popunders popups tracker trackers tracking clicktrack telemetry",
+    "gambling": "casino casinos bet bets betting bookmaker bookmakers poker slots slot jackpot roulette blackjack lottery "
+                "lotto gamble gambling wager bingo",
+    "spam": "spam spammer clickbait linkfarm contentfarm pills viagra cialis pharma payday loan loans replica replicas "
+            "getrich giveaway freebies",
+    "malware and fraud": "malware phish phishing virus trojan ransomware spyware botnet exploit exploits scam scams fraud "
+                         "keygen keygens crack cracks warez",
+}
+UNWANTED = r"(?<![a-z])(?:" + "|".join(w for words in UNWANTED_KINDS.values() for w in words.split()) + r")(?![a-z])"
+UNWANTED_END = r"\.(?:adult|bet|bingo|casino|loan|poker|porn|sex|sexy|xxx|webcam)(?::[0-9]*)?$"
+_LEAST_LABELLED = 10
 Rules = tuple[tuple[str, str, str], ...]
 
 
@@ -62,16 +82,24 @@ def _entropy(text: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(text).values()) if n else 0.0
 
 
+def unwanted(host: Column) -> Column:
+    """Whether a whole word of the host, but its last label, or the last label names an unwanted kind."""
+    named = F.when(F.contains(host, F.lit(".")), F.regexp_replace(host, r"\.[^.]*$", "")).otherwise(host)
+    return F.regexp_like(named, F.lit(UNWANTED)) | F.regexp_like(host, F.lit(UNWANTED_END))
+
+
 def label_of(host: Column, path: Column, rules: Rules = RULES) -> Column:
-    """1 for a blocked URL, 0 for an allowed one."""
+    """1 for a URL known as blocked, 0 for one known as clean, null where the host's kind is unknown."""
     _, verdict = rule_for(host, path, rules)
-    return F.coalesce((verdict == "block").cast("int"), F.regexp_like(host, F.lit(UNWANTED.pattern)).cast("int"))
+    allowed = F.coalesce(verdict == "allow", F.lit(False))
+    return F.when(unwanted(host) & ~allowed, 1).when(allowed & ~unwanted(host), 0)
 
 
 def _labelled(pages: DataFrame, rules: Rules) -> DataFrame:
-    """``pages`` with host, path and label."""
+    """``pages`` with host, path, label and whether the host's kind is unwanted."""
     rows = pages.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
-    return rows.withColumn("label", F.when(F.col("url").isNotNull(), label_of(F.col("host"), F.col("path"), rules)))
+    return rows.withColumns({"label": F.when(F.col("url").isNotNull(), label_of(F.col("host"), F.col("path"), rules)),
+                             "kind": unwanted(F.col("host"))})
 
 
 def statistics(pages: DataFrame, rules: Rules = RULES) -> DataFrame:
@@ -99,35 +127,43 @@ _COUNTS = ["suffix_n", "suffix_blocked", "words_n", "words_blocked"]
 
 
 class UrlModel:
-    """Trees and the overall share of known blocked URLs.  Rows: url, host, path, label or none, and the counts."""
+    """Trees and the overall share of known blocked URLs.
+
+    Rows: url, host, path, label or none, whether the host's kind is unwanted, and the counts.
+    """
 
     def __init__(self, rows: list[tuple], prior: float, seed: int = 11):
         self.prior = prior
-        x = np.array([self.features(*r) for r in rows]) if rows else np.zeros((1, 16))
+        x = np.array([self.features(*r) for r in rows]) if rows else np.zeros((1, 17))
         y = np.array([r[3] for r in rows], dtype=float) if rows else np.zeros(1)
-        self.trees = BoostedTrees(x, y, seed=seed)
+        enough = min((y == 0).sum(), (y == 1).sum()) >= _LEAST_LABELLED
+        self.trees = BoostedTrees(x, y, seed=seed) if enough else None
 
     def _share(self, n: int, blocked: int, own: int) -> float:
         """Share of the others, drawn towards the overall one."""
         return (blocked - own + 2 * self.prior) / (max(0, n - 1) + 2)
 
-    def features(self, url: str, host: str, path: str, label, suffix_n, suffix_blocked, words_n,
+    def features(self, url: str, host: str, path: str, label, kind, suffix_n, suffix_blocked, words_n,
                  words_blocked) -> list[float]:
         query = url.partition("#")[0].partition("?")[2]
         n = max(1, len(url))
         labels = host.split(".")
         own = int(label == 1)
+        word = max((self._share(a, b, own) for a, b in zip(words_n, words_blocked)), default=self.prior)
+        # Most or not: the exact share without the own label would tell that label.  First, as equal splits go to the first.
         return [
+            float(kind), float(self._share(suffix_n, suffix_blocked, own) > 0.5), float(word > 0.5),
             len(url), len(host), len(path), path.count("/"), len(labels), max(map(len, labels)),
             sum(c.isdigit() for c in url) / n, sum(c.isdigit() for c in host) / max(1, len(host)),
             host.count("-"), _entropy(host), _entropy(path), query.count("=") + query.count("&"),
             float(url.startswith("https")), float("@" in url or "%" in url),
-            self._share(suffix_n, suffix_blocked, own),
-            max((self._share(a, b, own) for a, b in zip(words_n, words_blocked)), default=self.prior),
         ]
 
     def probability(self, rows: list[tuple]) -> np.ndarray:
-        return self.trees.probability(np.array([self.features(*r) for r in rows])) if rows else np.zeros(0)
+        if not rows:
+            return np.zeros(0)
+        x = np.array([self.features(*r) for r in rows])
+        return self.trees.probability(x) if self.trees else x[:, 0]
 
 
 def _with_counts(rows: DataFrame, counts: DataFrame) -> DataFrame:
@@ -145,7 +181,7 @@ def fit(pages: DataFrame, rules: Rules = RULES, label_rows: int = 20_000, counts
     step = max(1, -(-rows.count() // label_rows))
     digest = F.xxhash64("page_id", "url")
     known = _with_counts(rows.where(F.pmod(digest, F.lit(step)) == 0).withColumn("digest", digest), counts).select(
-        "digest", "url", "host", "path", "label", *_COUNTS).collect()
+        "digest", "url", "host", "path", "label", "kind", *_COUNTS).collect()
     known = sorted(map(tuple, known))[:label_rows]
     return UrlModel([r[1:] for r in known], ((total["blocked"] or 0) + 1) / ((total["n"] or 0) + 2))
 
@@ -157,14 +193,14 @@ def judge(pages: DataFrame, model: UrlModel | None = None, rules: Rules = RULES,
     model = model or fit(pages, rules, counts=counts)
     rows = _labelled(pages.select("page_id", F.col("url")), rules).withColumn("url", F.coalesce("url", F.lit("")))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    rows = rows.select("page_id", "url", "host", "path", "label", rule.alias("rule"), verdict.alias("verdict"))
-    schema = rows.drop("url", "label").schema.add("score", "double")
+    rows = rows.select("page_id", "url", "host", "path", "label", "kind", rule.alias("rule"), verdict.alias("verdict"))
+    schema = rows.drop("url", "label", "kind").schema.add("score", "double")
     names = schema.fieldNames()[:-1]
     rows = _with_counts(rows, counts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            score = model.probability(list(zip(*(batch[c] for c in ("url", "host", "path", "label", *_COUNTS)))))
+            score = model.probability(list(zip(*(batch[c] for c in ("url", "host", "path", "label", "kind", *_COUNTS)))))
             method = pd.Series(np.where(score >= threshold, "block", "allow"), index=batch.index)
             yield batch[names].assign(verdict=batch["verdict"].where(batch["verdict"].notna(), method),
                                                     score=np.round(score, 6))
