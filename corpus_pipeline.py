@@ -14,7 +14,7 @@ from vaultline.llm.common import stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learnt language; those without a letter, or unlike every profile, go."""
+    """Documents with some likeness to a learnt language; those without a letter, or wholly unlike every profile, go."""
     profiles = langid.learn_profiles(docs)
     columns = docs.columns
     judged = langid.identify(docs, profiles, columns)
