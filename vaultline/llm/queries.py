@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import (ann_forest, bpe, exact_topk, html_extract, langid, mixing, pii, secret_scan, simhash,
-                           url_filter)
+from vaultline.llm import (ann_forest, bpe, conversation_repair, exact_topk, html_extract, langid, mixing, piece_bpe,
+                           pii, prefix_trie, secret_scan, simhash, url_filter)
 from vaultline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def queries() -> dict[str, Query]:
         "op8_secret_scan": lambda spark, d: secret_scan.scan(table(spark, d, "documents")),
         "op9_url_filter": lambda spark, d: url_filter.judge(table(spark, d, "pages")),
         "op10_html_extract": lambda spark, d: html_extract.extract(table(spark, d, "pages")),
+        "op11_conversation_repair": lambda spark, d: conversation_repair.repaired_conversations(
+            table(spark, d, "conversations")),
+        "op12_piece_bpe": lambda spark, d: piece_bpe.encode_documents(table(spark, d, "documents")),
+        "op13_prefix_trie": lambda spark, d: prefix_trie.conversation_trie(table(spark, d, "conversations")),
     }
 
 
