@@ -10,17 +10,21 @@ that finds ``recall`` of the true neighbours (``search_rows`` at least).  Data
 with structure need a small share, random directions most of the rows.
 
 Nearness is the inner product; trees are grown on unit vectors, which for
-vectors of one length gives the same order.  A leaf with more than
-``block_rows`` rows is split in blocks by hash of the id, so a task holds one
-block whatever the data.  The forest and the leaf counts are bounded by
-``sample_rows`` and are the only things sent to all executors.
+vectors of one length gives the same order.  Rows are dealt by hash of the id
+into ``groups`` groups, queries into chunks of about ``chunk_queries``, and each
+pair of a group and a chunk is a cell.  A cell holds its queries, each with the
+leaves it reached and its best rows so far, while the group's rows stream past
+leaf by leaf; it returns ``k + 1`` rows per query at its end.  So a task's
+memory is that of one chunk whatever the data, no leaf lands in one task, and
+what is returned grows with the queries alone.  The forest and the leaf counts
+are bounded by ``sample_rows`` and are the only things sent to all executors.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
-components neither ask nor are found; vectors of another length than the
-commonest raise an error; equal scores go to the smaller id; a repeated id is
-one candidate per distinct vector; a query with fewer candidates gets all that
-are found; an empty table gives an empty result; null ids take no part;
-columns other than those named are not read.
+components, and those of another length than the commonest (of equally common
+ones the smallest), neither ask nor are found; equal scores go to the smaller
+id; a repeated id is one candidate per distinct vector; a query with fewer
+candidates gets all that are found; an empty table gives an empty result; null
+ids take no part; columns other than those named are not read.
 """
 
 from __future__ import annotations
@@ -34,8 +38,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.llm.common import stored
-from vaultline.llm.vectors import (all_finite, answer, best_rows, classes_of, sample_vectors, search_blocks,
-                                   stack)
+from vaultline.llm.vectors import all_finite, answer, classes_of, of_common_length, sample_vectors, stack
+
+_ROUNDING = 1e-9  # by how much a product of matrices may differ from the plain sum, relative to the norms
 
 
 class Tree:
@@ -132,12 +137,61 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
+class Cell:
+    """The queries of a chunk with the leaves they reached and their best rows so far."""
+
+    def __init__(self, asked: pd.DataFrame, keep: int):
+        self.askers = asked["class_id"].to_numpy()
+        self.queries = stack(asked["v"])
+        self.norms = np.linalg.norm(self.queries, axis=1)
+        reached = asked["reached"].to_numpy()
+        leaves = np.concatenate([np.asarray(r, dtype=np.int64) for r in reached])
+        owner = np.repeat(np.arange(len(reached)), [len(r) for r in reached])
+        order = np.argsort(leaves, kind="stable")
+        names, starts = np.unique(leaves[order], return_index=True)
+        self.by_leaf = dict(zip(names.tolist(), np.split(owner[order], starts[1:])))
+        self.scores = np.full((len(asked), keep), -np.inf)
+        self.ids = np.full((len(asked), keep), np.iinfo(np.int64).max)
+
+    def meet(self, leaf: int, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """Rows of one leaf against the queries that reached it."""
+        active = self.by_leaf.get(leaf)
+        if active is None:
+            return
+        about = self.queries[active] @ vectors.T
+        slack = _ROUNDING * self.norms[active] * np.linalg.norm(vectors, axis=1).max()
+        least = self.scores[active, -1] - slack
+        hit = np.flatnonzero(about.max(axis=1) >= least)
+        if not len(hit):
+            return
+        row, col = np.nonzero(about[hit] >= least[hit, None])
+        exact = np.full((len(hit), len(ids)), -np.inf)
+        # the plain sum, so that a pair has one score wherever it is met
+        exact[row, col] = (self.queries[active[hit[row]]] * vectors[col]).sum(axis=1)
+        at = active[hit]
+        scores = np.hstack([self.scores[at], exact])
+        names = np.hstack([self.ids[at], np.broadcast_to(ids, exact.shape)])
+        best = np.lexsort((names, -scores))[:, :self.scores.shape[1]]
+        self.scores[at] = np.take_along_axis(scores, best, axis=1)
+        self.ids[at] = np.take_along_axis(names, best, axis=1)
+
+    def found(self, k: int) -> pd.DataFrame:
+        """asker, class_id, score of the ``k`` best of each query; a row met in several trees counts once."""
+        again = np.zeros(self.ids.shape, dtype=bool)
+        again[:, 1:] = self.ids[:, 1:] == self.ids[:, :-1]  # equal scores stand in order of ids
+        real = ~again & np.isfinite(self.scores)
+        real &= np.cumsum(real, axis=1) <= k
+        row, _ = np.nonzero(real)
+        return pd.DataFrame({"asker": self.askers[row], "class_id": self.ids[real], "score": self.scores[real]})
+
+
 def nearest(rows: DataFrame, k: int = 20, modulus: int = 20, trees: int = 2, leaf_rows: int = 1024,
             search_rows: int = 2000, recall: float = 0.95, sample_rows: int = 20_000,
-            test_queries: int = 200, block_rows: int = 8192, seed: int = 7) -> DataFrame:
+            test_queries: int = 200, groups: int = 16, chunk_queries: int = 4096, seed: int = 7) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest of each id divisible by ``modulus``."""
     rows = (rows.where("vec_id is not null").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
             .where(all_finite(F.col("v")) & F.exists("v", lambda x: x != 0)))
+    rows = of_common_length(rows)
     spark = rows.sparkSession
     classes = classes_of(rows, k, modulus)
     _, sample, total = sample_vectors(classes, sample_rows)
@@ -147,55 +201,71 @@ def nearest(rows: DataFrame, k: int = 20, modulus: int = 20, trees: int = 2, lea
     rng = np.random.default_rng(seed)
     forest = [Tree(_unit(sample), depth, rng) for _ in range(trees)]
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """One row per tree, with the number of its leaf among those of all trees."""
         for batch in batches:
             if len(batch):
-                unit = _unit(stack(batch["v"]))
-                yield batch[["class_id"]].assign(leaves=np.stack([t.leaf_of(unit) for t in forest], 1).tolist())
+                unit, first = _unit(stack(batch["v"])), 0
+                for t in forest:
+                    yield pd.DataFrame({"leaf": first + t.leaf_of(unit), "class_id": batch["class_id"].to_numpy(),
+                                        "v": batch["v"].to_numpy()})
+                    first += t.leaves
 
-    placed = stored(classes.select("class_id", "v").mapInPandas(place, "class_id long, leaves array<int>"))
-    counted = (placed.select(F.posexplode("leaves").alias("tree", "leaf")).groupBy("tree", "leaf").count().collect())
-    counts = {(r["tree"], r["leaf"]): r["count"] for r in counted}
-    blocks = {key: -(-n // block_rows) for key, n in counts.items()}
+    placed = stored(classes.select("class_id", "v").mapInPandas(entries, "leaf int, class_id long, v array<double>"))
+    first = np.cumsum([0] + [t.leaves for t in forest])
+    counts = {(n, r["leaf"] - int(first[n])): r["count"] for r in placed.groupBy("leaf").count().collect()
+              for n in [int(np.searchsorted(first, r["leaf"], side="right")) - 1]}
     share = share_needed(forest, sample, k, recall, test_queries, seed)
     wanted = max(search_rows, int(np.ceil(share * total)))
 
-    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            unit = _unit(stack(batch["v"]))
-            for n, t in enumerate(forest):
-                leaf = t.leaf_of(unit)
-                size = np.array([blocks.get((n, int(x)), 1) for x in leaf])
-                yield pd.DataFrame({"tree": n, "leaf": leaf, "block": batch["h"].to_numpy() % size,
-                                    "class_id": batch["class_id"].to_numpy(), "v": batch["v"].to_numpy()})
+            if len(batch):
+                reached = [[int(first[n]) + leaf for n, leaf in found]
+                           for found in probe(forest, counts, _unit(stack(batch["v"])), wanted)]
+                yield batch[["class_id", "v"]].assign(reached=reached)
 
-    def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # the rows go once past every chunk: a stated query set against all rows, in blocks
+    asking = classes.where("asked").select("class_id", "v")
+    chunks = -(-asking.count() // chunk_queries)
+
+    def dealt(into: int, name: str) -> F.Column:
+        return F.pmod(F.xxhash64("class_id"), F.lit(into)).cast("int").alias(name)
+
+    def each(into: int, name: str) -> F.Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(max(0, into - 1)))).alias(name)
+
+    queries = (asking.mapInPandas(probes, "class_id long, v array<double>, reached array<int>")
+               .select(dealt(max(1, chunks), "chunk"), each(groups, "grp"), F.lit(-1).alias("leaf"), "class_id", "v", "reached"))
+    index = placed.select(each(chunks, "chunk"), dealt(groups, "grp"), "leaf", "class_id", "v",
+                          F.lit(None).cast("array<int>").alias("reached"))
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, waiting, cell = None, [], None
         for batch in batches:
             if not len(batch):
                 continue
-            at = [(n, leaf, b, i) for i, reached in enumerate(probe(forest, counts, _unit(stack(batch["v"])), wanted))
-                  for n, leaf in reached for b in range(blocks[(n, leaf)])]
-            tree, leaf, block, row = (np.array(x) for x in zip(*at))
-            yield pd.DataFrame({"tree": tree, "leaf": leaf, "block": block,
-                                "class_id": batch["class_id"].to_numpy()[row], "v": batch["v"].to_numpy()[row]})
-
-    schema = "tree int, leaf int, block int, class_id long, v array<double>"
-    index = (classes.select("class_id", "v", F.pmod(F.xxhash64("class_id"), F.lit(1 << 30)).alias("h"))
-             .mapInPandas(entries, schema))
-    asking = classes.where("asked").select("class_id", "v").mapInPandas(probes, schema)
-
-    def rerank(block: pd.DataFrame, asked: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        ids, askers = block["class_id"].to_numpy(), asked["class_id"].to_numpy()
-        vectors, queries = stack(block["v"]), stack(asked["v"])
-        scores = queries @ vectors.T
-        out = []
-        for i, near in best_rows(scores, ids, k + 1):
-            # the plain sum, so that a pair has one score wherever it is met
-            exact = [float(np.multiply(queries[i], vectors[j]).sum()) for j in near]
-            out.append(pd.DataFrame({"asker": askers[i], "class_id": ids[near], "score": exact}))
-        yield pd.concat(out)
-
-    found = search_blocks(index, asking, rerank, "asker long, class_id long, score double", ["tree", "leaf", "block"])
+            keys = batch[["chunk", "grp", "leaf"]].to_numpy()
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(batch)]):
+                where, leaf = tuple(keys[a, :2]), int(keys[a, 2])
+                if where != at:
+                    if cell is not None:
+                        yield cell.found(k + 1)
+                    at, waiting, cell = where, [], None
+                rows_here = batch.iloc[a:b]
+                if leaf < 0:
+                    waiting.append(rows_here)
+                    continue
+                if cell is None and waiting:
+                    cell = Cell(pd.concat(waiting, ignore_index=True), trees * (k + 1))
+                    waiting = []
+                if cell is not None:
+                    cell.meet(leaf, rows_here["class_id"].to_numpy(), stack(rows_here["v"]))
+        if cell is not None:
+            yield cell.found(k + 1)
+
+    cells = ["chunk", "grp"]
+    found = (queries.unionByName(index).repartition(*cells).sortWithinPartitions(*cells, "leaf")
+             .mapInPandas(search, "asker long, class_id long, score double"))
     return answer(rows, classes, found, k, modulus, "double")

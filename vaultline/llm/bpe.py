@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -32,7 +33,8 @@ from pyspark.sql.types import ArrayType, IntegerType
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies (white space by Unicode property).
 PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
             r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-_CACHE = 200_000  # pre-tokens whose ids a task keeps
+_CACHE = 50_000  # pre-tokens whose ids a task keeps, in each of two generations
+_FITS_SLOTS = 1 << 17  # answers about pairs that a task keeps
 _CACHED_CHARS = 64
 
 
@@ -57,26 +59,29 @@ class Bpe:
         def raw(token: str) -> bytes:
             return bytes(alphabet[c] for c in token)
 
-        # tokens are numbered by rank: single bytes first, then one per merge
-        self.split: list[tuple[int, int]] = []
-        self.ids: list[int] = []
+        # tokens are numbered by rank: single bytes first, then one per merge; arrays keep a worker small
+        self.left, self.right, self.ids = array("i"), array("i"), array("i")
         number: dict[str, int] = {}
         for char in alphabet:
             if char in vocab:
                 number[char] = len(self.ids)
-                self.split.append((number[char], number[char]))
+                self.left.append(number[char])
+                self.right.append(number[char])
                 self.ids.append(vocab[char])
-        self.pair: dict[tuple[int, int], int] = {}
+        pairs: list[tuple[int, int, int]] = []
         for merge in merges:
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             joined = left + right
             if joined in number:
                 raise ValueError(f"token merged twice: {joined!r}")
             number[joined] = len(self.ids)
-            self.pair[(number[left], number[right])] = number[joined]
-            self.split.append((number[left], number[right]))
+            pairs.append((number[left], number[right], number[joined]))
+            self.left.append(number[left])
+            self.right.append(number[right])
             self.ids.append(vocab[joined])
-        self.length: list[int] = []
+        self.size = len(self.ids)
+        self.pair = {a * self.size + b: joined for a, b, joined in pairs}
+        self.length = array("i")
         self.automaton = ahocorasick.Automaton()
         for token, n in number.items():
             data = raw(token)
@@ -84,8 +89,8 @@ class Bpe:
             self.automaton.add_word(data.decode("latin-1"), n)
         self.automaton.make_automaton()
         # the longest token that a token starts with, itself apart; -1: none
-        self.shorter = [max((number[t[:k]] for k in range(1, len(t)) if t[:k] in number),
-                            key=self.length.__getitem__, default=-1) for t in number]
+        self.shorter = array("i", (max((number[t[:k]] for k in range(1, len(t)) if t[:k] in number),
+                                       key=self.length.__getitem__, default=-1) for t in number))
 
         added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.added = added
@@ -99,39 +104,41 @@ class Bpe:
         self.offset = np.zeros(max(by_id) + 2, dtype=np.int64)
         for i, data in by_id.items():
             self.offset[i + 1] = len(data)
-        self.offset = np.cumsum(self.offset).tolist()
+        self.offset = array("q", np.cumsum(self.offset).tolist())
         self.buffer = b"".join(by_id.get(i, b"") for i in range(max(by_id) + 1))
-        self._fits: dict[int, bool] = {}
+        # one answer per slot, the latest: key of the pair, and whether it is compatible
+        self._asked = array("q", [-1]) * _FITS_SLOTS
+        self._fits = bytearray(_FITS_SLOTS)
         self._cache: dict[str, tuple[int, ...]] = {}
         self._older: dict[str, tuple[int, ...]] = {}
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether no merge crosses the border of ``left`` and ``right`` before both are whole."""
-        key = left * len(self.ids) + right
-        known = self._fits.get(key)
-        if known is not None:
-            return known
-        limit, answer = len(self.ids), True
+        size, pair, lefts, rights = self.size, self.pair, self.left, self.right
+        key = left * size + right
+        slot = (left * 31 + right) % _FITS_SLOTS
+        if self._asked[slot] == key:
+            return bool(self._fits[slot])
+        limit, answer = size, True
         while True:
-            merged = self.pair.get((left, right))
+            merged = pair.get(left * size + right)
             if merged is not None and merged < limit:
                 answer = False
                 break
             # undo the later of the two tokens: only merges ranked before it were done by then
             undo_left = left > right
             for _ in range(2):
-                if undo_left and self.split[left][1] != left:
-                    limit, left = left, self.split[left][1]
+                if undo_left and rights[left] != left:
+                    limit, left = left, rights[left]
                     break
-                if not undo_left and self.split[right][0] != right:
-                    limit, right = right + 1, self.split[right][0]
+                if not undo_left and lefts[right] != right:
+                    limit, right = right + 1, lefts[right]
                     break
                 undo_left = not undo_left
             else:
                 break
-        if len(self._fits) >= 1_000_000:
-            self._fits.clear()
-        self._fits[key] = answer
+        self._asked[slot] = key
+        self._fits[slot] = answer
         return answer
 
     def _encode_bytes(self, data: str) -> tuple[int, ...]:
@@ -193,16 +200,6 @@ class Bpe:
         return b"".join([buffer[offset[i]:offset[i + 1]] for i in ids]).decode("utf-8", "replace")
 
 
-_LOADED: dict[str, Bpe] = {}
-
-
-def load(path: str) -> Bpe:
-    """The vocabulary of ``path``, read once per worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Bpe(path)
-    return _LOADED[path]
-
-
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -219,7 +216,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, keep_ids: bool =
         schema = schema.add("ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = load(path)
+        bpe = Bpe(path)  # freed with the task: workers live on into later stages
         for batch in batches:
             rows = []
             for text in batch["text"]:

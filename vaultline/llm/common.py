@@ -31,3 +31,16 @@ def stored(df: DataFrame) -> DataFrame:
     path = work_dir(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(columns: list[str]) -> list[str]:
+    """Column names as expressions: dots and blanks in them are part of the name."""
+    return ["`" + c.replace("`", "``") + "`" for c in columns]

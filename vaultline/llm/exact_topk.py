@@ -12,10 +12,13 @@ own.  A block whose ring lies farther from the query's pivot distance than that
 bound allows, by the triangle inequality, is not visited.  In a visited block,
 rows sorted by pivot distance are expanded annulus by annulus, nearest first,
 until the inequality excludes the rest.  Bounds are loosened by ``_SLACK`` for
-rounding, so no result is lost; scores are integers.
+rounding, so no result is lost; scores are integers, taken from products in
+double precision where those are exact and in 64-bit integers beyond.
 
 Defined results: vectors that are null, empty or hold null or non-finite
-components neither ask nor are found; equal scores go to the smaller id; a
+components, and those of another length than the commonest (of equally common
+ones the smallest), neither ask nor are found; components whose scores could
+pass 2^63, which no long holds, raise an error; equal scores go to the smaller id; a
 repeated id is one candidate per distinct vector; with fewer candidates than k
 all are returned; an empty table gives an empty result; null ids take no part;
 columns other than those named are not read.
@@ -30,12 +33,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.vectors import (all_finite, answer, best_rows, classes_of, sample_vectors, search_blocks,
-                                   stack)
+from vaultline.llm.vectors import (all_finite, answer, best_rows, classes_of, of_common_length, sample_vectors,
+                                   search_blocks, stack)
 
 _SLACK = 1e-6
 _ANNULUS = 1024
 _EXACT = float(1 << 53)
+_LARGEST = float(1 << 62)
 
 
 def integer_components(vector) -> F.Column:
@@ -66,6 +70,7 @@ def top_k(rows: DataFrame, k: int = 5, modulus: int = 50, pivots: int = 16, ring
     """query_id, rank, vec_id, score: the ``k`` highest integer scores of each id divisible by ``modulus``."""
     rows = (rows.where("vec_id is not null").where(all_finite(F.col("embedding")))
             .select("vec_id", integer_components(F.col("embedding")).alias("v")))
+    rows = of_common_length(rows)
     spark = rows.sparkSession
     classes = classes_of(rows, k, modulus)
     sample_ids, sample, _ = sample_vectors(classes, sample_rows)
@@ -73,8 +78,9 @@ def top_k(rows: DataFrame, k: int = 5, modulus: int = 50, pivots: int = 16, ring
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     norm2 = classes.select(F.max(square)).first()[0]
-    if norm2 >= _EXACT:
-        raise ValueError("integer scores beyond 2^53: components too large for exact scores in double precision")
+    if norm2 >= _LARGEST:
+        raise ValueError("components too large: scores could pass 2^63")
+    exact = np.float64 if norm2 < _EXACT else np.int64
     lifted = _lift(sample, norm2)
     centres = _pivots(lifted, pivots)
     keyed = _distances(lifted, centres)
@@ -139,12 +145,15 @@ def top_k(rows: DataFrame, k: int = 5, modulus: int = 50, pivots: int = 16, ring
              .mapInPandas(entries, schema))
     asking = classes.where("asked").select("class_id", "v").mapInPandas(probes, schema)
 
+    def whole(vectors: pd.Series) -> np.ndarray:
+        return np.array(vectors.tolist(), dtype=exact)
+
     def expand(block: pd.DataFrame, asked: pd.DataFrame) -> Iterator[pd.DataFrame]:
         block = block.sort_values("dist", kind="stable")
-        ids, vectors, dist = block["class_id"].to_numpy(), stack(block["v"]), block["dist"].to_numpy()
-        queries, at = stack(asked["v"]), asked["dist"].to_numpy()
+        ids, vectors, dist = block["class_id"].to_numpy(), whole(block["v"]), block["dist"].to_numpy()
+        queries, at = whole(asked["v"]), asked["dist"].to_numpy()
         reach, least = asked["reach"].to_numpy().copy(), asked["least"].to_numpy().copy()
-        own2 = np.einsum("ij,ij->i", queries, queries)
+        own2 = np.einsum("ij,ij->i", queries, queries).astype(np.float64)
         best = np.full((len(asked), k + 1), -np.inf)
         hits: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(len(asked))]
         starts = np.arange(0, len(ids), _ANNULUS)
@@ -157,7 +166,7 @@ def top_k(rows: DataFrame, k: int = 5, modulus: int = 50, pivots: int = 16, ring
             here = slice(starts[s], ends[s])
             scores = queries[live] @ vectors[here].T
             for i, near in best_rows(scores, ids[here], k + 1):
-                near = near[scores[i, near] >= least[live[i]]]
+                near = near[scores[i, near] >= least[live[i]] - _SLACK * abs(least[live[i]])]
                 if len(near):
                     hits[live[i]].append((ids[here][near], scores[i, near]))
             merged = np.sort(np.hstack([best[live], scores]), axis=1)[:, -(k + 1):]
@@ -165,7 +174,7 @@ def top_k(rows: DataFrame, k: int = 5, modulus: int = 50, pivots: int = 16, ring
             # k + 1 rows of the block (the asker's own class may be one) bound the k-th best
             least[live] = np.maximum(least[live], merged[:, 0])
             reach[live] = np.minimum(reach[live], np.sqrt(np.maximum(
-                0.0, own2[live] + norm2 - 2 * np.where(np.isfinite(least[live]), least[live], -_EXACT))) * (1 + _SLACK)
+                0.0, own2[live] + norm2 - 2 * np.where(np.isfinite(least[live]), least[live], -norm2))) * (1 + _SLACK)
                 + _SLACK)
         askers = asked["class_id"].to_numpy()
         out = [pd.DataFrame({"asker": askers[i], "class_id": c, "score": s.astype(np.int64)})

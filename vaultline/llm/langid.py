@@ -19,16 +19,16 @@ gives an empty result; columns other than those named are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")  # by category: number forms such as \u00bd are no letters
 _BITS = 21  # a code point's share of an n-gram's code
 _MAX_N = 3  # characters whose code points fit a long
 _CHARS = 1_000_000  # characters of training text counted together
@@ -170,6 +170,17 @@ def identify(docs: DataFrame, profiles: Profiles, columns: list[str], max_n: int
     return docs.select(*columns, *extra).mapInPandas(predict, schema)
 
 
+def judged(text: F.Column, profiles: Profiles, max_n: int = 3, profile_size: int = 300) -> F.Column:
+    """``lang_pred`` and ``score`` of ``text`` as a struct; the other columns of its frame stay where they are."""
+
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        judge = Judge(profiles, max_n, profile_size)
+        for texts in batches:
+            yield pd.DataFrame([judge.classify(t) for t in texts], columns=["lang_pred", "score"])
+
+    return F.pandas_udf(predict, "lang_pred string, score double")(text)
+
+
 def held_out(doc_id) -> F.Column:
     """The contract's fold: crc32 of the id as text leaves remainder 1 by 3."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import WORD, stored
+from vaultline.llm.common import WORD, quoted, stored
 
 _BINS = 4096
 _SCALE = float(1 << 52)
@@ -116,7 +116,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5.0, 2.0, 1.0), share: floa
     plan = stored(plan.join(cut, F.col("_s").eqNullSafe(F.col("_c")), "left")
                   .join(taken, F.col("_s").eqNullSafe(F.col("_l")), "left").drop("_c", "_l", "before"))
 
-    rows = ranked(measured([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")])
+    rows = ranked(measured([F.struct(*quoted(docs.columns)).alias("doc")])
                   .withColumnRenamed("_odds", "odds")
                   .join(plan, F.col("_source").eqNullSafe(F.col("_s"))))
     at_cut = F.coalesce(F.struct("rank", F.col("_id").alias("doc_id")) <= F.col("last"), F.lit(False))

@@ -185,6 +185,7 @@ def rollup(forest: DataFrame, paths: DataFrame, values: list[str], task_nodes: i
     current = forest.select("conv_id", "depth", "parent", F.lit(top).cast("long").alias("top"),
                             F.lit(top_depth).cast("long").alias("top_depth"), "size", *values,
                             *(F.lit(0).cast("long").alias(s) for s in sums))
+    current = stored(current)  # the name of the component is a key to join on, not a constant
     is_top = (F.col("conv_id") == F.col("top")) & (F.col("depth") == F.col("top_depth"))
     closed, small = [], []
     component = ["top", "top_depth"]

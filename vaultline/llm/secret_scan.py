@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultline.llm.common import fresh, quoted
 from vaultline.llm.trees import RandomForest
 
 MARK = "[SECRET]"
@@ -237,18 +238,21 @@ def redact(docs: DataFrame, forest: RandomForest | None = None, threshold: float
     """``docs`` with every secret of ``text`` replaced by ``[SECRET]`` and ``n_chars`` made to fit."""
     forest = forest or fit(docs)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             texts = []
-            for text, found in zip(batch["text"], judge(list(batch["text"]), forest, threshold)):
+            for text, found in zip(batch, judge(list(batch), forest, threshold)):
                 for start, end, _, _, secret in reversed(found):
                     if secret:
                         text = text[:start] + MARK + text[end:]
                 texts.append(text)
-            yield batch.assign(text=texts)
-
-    out = docs.mapInPandas(run, docs.schema)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.contains("text", F.lit(MARK)), F.length("text").cast("long"))
-                             .otherwise(F.col("n_chars")))
-    return out
+            yield pd.Series(texts, dtype=object)
+
+    # only the text goes to Python; the other columns, whatever their names, stay where they are
+    text = fresh("_redacted", docs.columns)
+    out = docs.withColumn(text, F.pandas_udf(clean, "string")(F.col("text")))
+    fitting = F.when(~F.col(text).eqNullSafe(F.col("text")), F.length(text).cast("long")).otherwise(F.col("n_chars")) \
+        if "n_chars" in docs.columns else None
+    swapped = {"text": F.col(text).alias("text"), "n_chars": fitting if fitting is None else fitting.alias("n_chars")}
+    return out.select(*(swapped[c] if swapped.get(c) is not None else F.col(q)
+                        for c, q in zip(docs.columns, quoted(docs.columns))))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import WORD, stored
+from vaultline.llm.common import WORD, fresh, stored
 
 BITS = 64
 SEED = 42
@@ -263,11 +263,26 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, max_bits: int =
 def keep_one(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one row of each group: that of smallest id (a null one only where all are null).
 
-    Rows that share this id are told apart by their text; the first stays.
+    Rows that share this id are told apart by the SHA-256 of their text (none for a null one); the
+    least stays, and one of rows that are alike in both.  Who stays is decided on ids and digests;
+    whole documents are shuffled once.
     """
-    row = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    labels = _labels(stored(fingerprints(docs, words_per_shingle)), max_bits)
-    first = Window.partitionBy("group").orderBy("text")
-    return (fingerprints(row, words_per_shingle, keep=("text", "doc")).join(labels, "fp")
-            .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .withColumn("n", F.row_number().over(first)).where("n = 1").select("doc.*"))
+    digest = F.sha2("text", 256)
+    slim = docs.select("doc_id", "text", digest.alias("digest"))
+    fps = stored(fingerprints(slim, words_per_shingle, keep=("digest",)))
+    id_, text_, n_ = (fresh(name, docs.columns) for name in ("_id", "_digest", "_rows"))
+    stay = stored(
+        fps.join(_labels(fps, max_bits), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("group", "doc_id", "digest").agg(F.count("*").alias("n"))
+        .groupBy("group").agg(F.min(F.struct("digest", "doc_id", "n")).alias("least"))
+        .select(F.col("least.doc_id").alias(id_), F.col("least.digest").alias(text_), F.col("least.n").alias(n_)))
+
+    def rows_of(chosen: DataFrame) -> DataFrame:
+        return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen[id_]) & digest.eqNullSafe(chosen[text_]), "left_semi")
+
+    kept = rows_of(stay.where(F.col(n_) == 1))
+    repeated = stay.where(F.col(n_) > 1)
+    if repeated.isEmpty():
+        return kept
+    once = rows_of(repeated).withColumn(text_, digest).dropDuplicates(["doc_id", text_]).drop(text_)
+    return kept.unionByName(once)

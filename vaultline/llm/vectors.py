@@ -23,6 +23,12 @@ def all_finite(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & ~bad, F.lit(False))
 
 
+def of_common_length(rows: DataFrame) -> DataFrame:
+    """The rows whose ``v`` has the commonest length; of equally common lengths the smallest."""
+    lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    return rows.where(F.size("v") == lengths["n"]) if lengths else rows
+
+
 def classes_of(rows: DataFrame, k: int, modulus: int) -> DataFrame:
     """From vec_id, v: one row per distinct v with class_id, ids (k + 1 smallest) and asked.
 
@@ -40,7 +46,7 @@ def sample_vectors(classes: DataFrame, bound: int) -> tuple[np.ndarray, np.ndarr
     total = classes.count()
     step = max(1, -(-total // bound))
     rows = (classes.where(F.pmod(F.xxhash64("class_id"), F.lit(step)) == 0)
-            .select("class_id", "v").limit(bound).collect())
+            .orderBy(F.xxhash64("class_id"), "class_id").select("class_id", "v").limit(bound).collect())
     rows.sort(key=lambda r: r["class_id"])
     return (np.array([r["class_id"] for r in rows], dtype=np.int64),
             np.array([r["v"] for r in rows], dtype=np.float64), total)
