@@ -10,15 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.llm import bpe, langid, mixing, secret_scan, simhash
-from vaultline.llm.common import stored, table
+from vaultline.llm.common import fresh, stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with some likeness to a learnt language; those without a letter, or wholly unlike every profile, go."""
     profiles = langid.learn_profiles(docs)
-    columns = docs.columns
-    judged = langid.identify(docs, profiles, columns)
-    return judged.where(F.col("lang_pred") != langid.UNKNOWN).where("score > 0").select(*columns)
+    found = fresh("_judged", docs.columns)
+    judged = docs.withColumn(found, langid.judged(F.col("text"), profiles))
+    return judged.where((F.col(f"{found}.lang_pred") != langid.UNKNOWN) & (F.col(f"{found}.score") > 0)).drop(found)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
