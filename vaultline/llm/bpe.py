@@ -33,7 +33,7 @@ from pyspark.sql.types import ArrayType, IntegerType
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies (white space by Unicode property).
 PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
             r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-_CACHE = 50_000  # pre-tokens whose ids a task keeps, in each of two generations
+_CACHE = 100_000  # pre-tokens whose ids a task keeps, in each of two generations
 _FITS_SLOTS = 1 << 17  # answers about pairs that a task keeps
 _CACHED_CHARS = 64
 
