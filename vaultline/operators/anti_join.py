@@ -11,19 +11,42 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vaultline.operators.segments import CHECK_KEYS, History
 
-def keep_new(candidates: DataFrame, existing: DataFrame, keys: list[str], *,
+
+def keep_new(candidates: DataFrame, existing: DataFrame | History, keys: list[str], *,
              null_safe: bool = False) -> DataFrame:
     """Rows of ``candidates`` whose ``keys`` do not occur in ``existing``.
 
     ``null_safe`` compares with ``<=>`` (NULL equals NULL), for satellites that
     are insert-once on the whole row rather than on the key.
+
+    A segmented history is read without the parts that hold no candidate, and
+    joined on its segmentation: the history is not shuffled.
     """
+    if isinstance(existing, History):
+        return _keep_new_segmented(candidates, existing, keys, null_safe)
     known = existing.select(*keys)
     if not null_safe:
         known = known.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     pairs = [candidates[k].eqNullSafe(known[k]) if null_safe else candidates[k] == known[k] for k in keys]
     return candidates.join(known, reduce(lambda a, b: a & b, pairs), "left_anti")
+
+
+def _keep_new_segmented(candidates: DataFrame, history: History, keys: list[str], null_safe: bool) -> DataFrame:
+    check = CHECK_KEYS[history.name]
+    known = history.matching(candidates, keys).select(*(F.col(k).alias(f"__{k}") for k in keys))
+
+    def same(key: str) -> Column:
+        own, other = candidates[key], known[f"__{key}"]
+        if key in check or not null_safe:
+            return own == other
+        # said so that the planner keeps it as a condition: as a join key it would need an exchange
+        return F.coalesce(own == other, own.isNull() & other.isNull())
+
+    # check columns are never NULL, and first: their order is that of the segmentation
+    order = [*(k for k in check if k in keys), *(k for k in keys if k not in check)]
+    return candidates.join(known, reduce(lambda a, b: a & b, map(same, order)), "left_anti")

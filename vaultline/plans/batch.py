@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.operators.loaders import load_hub, load_link, load_satellite, quarantine_rows
+from vaultline.operators.segments import SegmentedVault
 from vaultline.operators.store import Batch, observed
 from vaultline.plans import model
 from vaultline.schemas import STAGING
@@ -145,4 +146,6 @@ def load_vault(
         else:
             for name in level:
                 step(name)
+    if isinstance(store, SegmentedVault):
+        store.commit(batch)  # the whole batch appears at once
     return report

@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaultline.operators.segments import SegmentedVault
 from vaultline.operators.store import Batch, ParquetVault
 from vaultline.plans import model
 from vaultline.plans.batch import VaultLoadReport, load_vault
@@ -70,8 +71,12 @@ def run_batch(
     strict: bool = False,
     dialect: str = "default",
     tables: tuple[str, ...] = model.LOAD_ORDER,
+    segments: int | None = None,
 ) -> RunReport:
-    """Stage the four inputs (landed CSV files, or typed frames) and load the vault."""
+    """Stage the four inputs (landed CSV files, or typed frames) and load the vault.
+
+    ``segments``: the vault is a ``SegmentedVault`` with so many hash segments.
+    """
     if (csv_paths is None) == (frames is None):
         raise ValueError("give exactly one of csv_paths or frames")
     as_of = as_of or batch.load_dt[:10]
@@ -87,10 +92,9 @@ def run_batch(
         for future in [pool.submit(stage, name) for name in STAGING]:
             future.result()
     staging = {name: read_staging(spark, staging_root, name) for name in STAGING}
-    report.vault = load_vault(
-        staging, ParquetVault(spark, vault_root, cache_reads=True), batch,
-        mode=mode, strict=strict, tables=tables,
-    )
+    store = (SegmentedVault(spark, vault_root, segments) if segments
+             else ParquetVault(spark, vault_root, cache_reads=True))
+    report.vault = load_vault(staging, store, batch, mode=mode, strict=strict, tables=tables)
     write_report(spark, report, vault_root)
     return report
 
