@@ -151,6 +151,11 @@ def load_link(spec: LinkSpec, source: DataFrame, existing: DataFrame, batch: Bat
     for lk in spec.lookups:
         if lk.optional:
             staged = staged.where(F.col(lk.column).isNotNull())
+    if not any(lk.derived for lk in spec.lookups):
+        # An event log repeats its members: one row per combination goes on to
+        # the lookups.  Rows with a derived member carry a key of their own
+        # table, so there is nothing to gain there.
+        staged = staged.distinct()
     looked_up, ok, reason = resolve(staged, spec.lookups, hubs, hub_tables)
     # One row per combination of referenced members.  The shuffle is asked for
     # by all member columns: left to itself the aggregate would keep the

@@ -26,13 +26,12 @@ import uuid
 from dataclasses import dataclass, field, replace
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from vaultline.functions.calendar import calendar_bucket
-from vaultline.operators.store import BATCH_ID, Batch, _empty, observed, schema_of
+from vaultline.operators.store import BATCH_ID, Batch, _empty, observed, path_exists, schema_of
 
 # The columns each table's "already loaded" check compares: its segmentation.
 CHECK_KEYS: dict[str, tuple[str, ...]] = {
@@ -121,12 +120,8 @@ class SegmentedVault:
     # -- manifest ---------------------------------------------------------------------------
 
     def _manifests(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(f"{MANIFEST}, v BIGINT").parquet(f"{self.root.rstrip('/')}/_manifest")
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        path = f"{self.root.rstrip('/')}/_manifest"
+        return self.spark.read.schema(f"{MANIFEST}, v BIGINT").parquet(path) if path_exists(self.spark, path) else None
 
     def version(self) -> int:
         """Number of the newest manifest; 0 before the first commit."""

@@ -1,26 +1,25 @@
 """Independent SQL statements of every registered query, for DuckDB.
 
-Written the way the warehouse job states them (``select distinct``, left
-joins to hubs, ``NOT IN`` the existing keys), over the driver tables that
-DuckDB has as views.  The only shared pieces with the Spark side are the
-fixed literals (batch timestamps, the second-load cutoff, the key recipe).
-``NOT IN`` is used only where both sides are free of NULLs.
+Everything is stated over the four staging inputs, as sets: a batch appends
+what its staging gives less what the earlier staging gave.  Keys are computed
+from business keys where they are needed; no vault table is built and read
+back.  Shared with the Spark side are the literals of the query suite alone
+(batch timestamps, the second-load rule, the truncation length).
 """
 
 from __future__ import annotations
 
-from vaultline.functions.calendar import calendar_bucket_sql
-from vaultline.functions.keys import hash_key_sql as hk
-from vaultline.operators.audits import STAGING_FOREIGN_KEYS, VAULT_FOREIGN_KEYS, VAULT_KEYS
-from vaultline.plans.model import HUBS
+import re
+
 from vaultline.plans.queries import (
     BATCH_1,
     BATCH_2,
+    LATE_GROUPS,
     QUERY_NAMES,
     SECOND_LOAD_CUTOFF,
+    SEGMENTED,
     TRUNCATE_BYTES,
 )
-from vaultline.schemas import STAGING_KEYS, VAULT_NOT_NULL
 
 STAGING_SQL = """
 stg_users AS (
@@ -54,116 +53,92 @@ CUT = f"TIMESTAMP '{SECOND_LOAD_CUTOFF}'"
 
 EARLY_STAGING_SQL = f"""
 early_users AS (SELECT * FROM stg_users WHERE registration_dt < {CUT}),
-early_groups AS (SELECT * FROM stg_groups WHERE registration_dt < {CUT}),
-early_dialogs AS (SELECT * FROM stg_dialogs WHERE message_dt < {CUT}),
-early_group_log AS (SELECT * FROM stg_group_log WHERE event_datetime < {CUT})"""
-
-
-def _not_in(expr: str, prev: str | None, table: str, col: str) -> str:
-    return f"AND {expr} NOT IN (SELECT {col} FROM {prev}_{table}_all)" if prev else ""
+early_groups AS (SELECT * FROM stg_groups WHERE registration_dt < {CUT} AND id % {LATE_GROUPS} <> 0),
+early_dialogs AS (SELECT * FROM stg_dialogs
+  WHERE message_dt < {CUT} AND coalesce(message_group % {LATE_GROUPS}, 1) <> 0),
+early_group_log AS (SELECT * FROM stg_group_log
+  WHERE event_datetime < {CUT} AND group_id % {LATE_GROUPS} <> 0)"""
+
+
+def hk(*values: str) -> str:
+    """The vault's key of SQL values: 60 bits of the MD5 of their texts joined by a bar."""
+    text = " || '|' || ".join(f"CAST({v} AS VARCHAR)" for v in values)
+    return f"CAST('0x' || left(md5({text}), 15) AS BIGINT)"
+
+
+def _pairs(link: str, s: str) -> str:
+    """The member pairs a link takes from staging ``s``: a foreign member must be staged as well."""
+    user, group = f"(SELECT id FROM {s}_users)", f"(SELECT id FROM {s}_groups)"
+    return {
+        "l_admins": f"SELECT admin_id AS u, id AS g FROM {s}_groups WHERE admin_id IN {user}",
+        "l_user_message": f"SELECT message_from AS u, message_id AS m FROM {s}_dialogs WHERE message_from IN {user}",
+        "l_groups_dialogs": f"SELECT message_group AS g, message_id AS m FROM {s}_dialogs WHERE message_group IN {group}",
+        "l_user_group_activity":
+            f"SELECT user_id AS u, group_id AS g FROM {s}_group_log WHERE user_id IN {user} AND group_id IN {group}",
+    }[link]
+
+
+def _events(s: str, kinds: str) -> str:
+    return (f"SELECT user_id AS u, group_id AS g, user_id_from, event, event_datetime FROM {s}_group_log "
+            f"WHERE event IN ({kinds}) AND user_id IN (SELECT id FROM {s}_users) "
+            f"AND group_id IN (SELECT id FROM {s}_groups)")
+
+
+# Output columns of each link, from member pairs.
+LINK_COLUMNS = {
+    "l_admins": f"{hk(hk('g'), hk('u'))} AS hk_l_admin_id, {hk('u')} AS hk_user_id, {hk('g')} AS hk_group_id",
+    "l_user_message":
+        f"{hk(hk('m'), hk('u'))} AS hk_l_user_message, {hk('u')} AS hk_user_id, {hk('m')} AS hk_message_id",
+    "l_groups_dialogs":
+        f"{hk(hk('g'), hk('m'))} AS hk_l_groups_dialogs, {hk('g')} AS hk_group_id, {hk('m')} AS hk_message_id",
+    "l_user_group_activity":
+        f"{hk(hk('u'), hk('g'))} AS hk_l_user_group_activity, {hk('u')} AS hk_user_id, {hk('g')} AS hk_group_id",
+}
+
+# Table, staging table, its id, and output columns of what hangs off one id.
+PER_ID = (
+    ("h_users", "users", "id", f"{hk('id')} AS hk_user_id, id AS user_id, registration_dt"),
+    ("h_groups", "groups", "id", f"{hk('id')} AS hk_group_id, id AS group_id, registration_dt"),
+    ("h_dialogs", "dialogs", "message_id", f"{hk('message_id')} AS hk_message_id, message_id, message_dt"),
+    ("s_user_socdem", "users", "id", f"{hk('id')} AS hk_user_id, country, age"),
+    ("s_user_chat_info", "users", "id", f"{hk('id')} AS hk_user_id, chat_name"),
+    ("s_group_name", "groups", "id", f"{hk('id')} AS hk_group_id, group_name"),
+    ("s_group_private_status", "groups", "id", f"{hk('id')} AS hk_group_id, is_private"),
+    ("s_dialog_info", "dialogs", "message_id",
+     f"{hk('message_id')} AS hk_message_id, message_from, message_to, message"),
+)
+AUTH_COLUMNS = f"{hk(hk('u'), hk('g'))} AS hk_l_user_group_activity, user_id_from, event, event_datetime AS event_dt"
 
 
-def vault_sql(p: str, s: str, load_dt: str, prev: str | None, reference: bool = False) -> str:
-    """CTEs ``{p}_<table>`` (rows batch ``p`` appends) and ``{p}_<table>_all``.
+def vault_sql(p: str, s: str, load_dt: str, before: str | None, reference: bool = False) -> str:
+    """CTEs ``{p}_<table>``: the rows a batch appends from staging ``s``, over a vault loaded from staging ``before``.
 
-    ``s`` is the staging CTE prefix, ``prev`` the previous batch's prefix.
+    Nothing is read back from vault tables: what a batch adds is what its staging gives less what
+    the earlier staging (a part of it) gave.
     """
-    ts = f"TIMESTAMP '{load_dt}' AS load_dt, 's3' AS load_src"
-    ctes: list[str] = []
-
-    def add(table: str, body: str) -> None:
-        ctes.append(f"{p}_{table} AS ({body})")
-        if prev:
-            ctes.append(f"{p}_{table}_all AS (SELECT * FROM {prev}_{table}_all UNION ALL "
-                        f"SELECT * FROM {p}_{table})")
-        else:
-            ctes.append(f"{p}_{table}_all AS (SELECT * FROM {p}_{table})")
-
-    add("h_users", f"""SELECT DISTINCT {hk('id')} AS hk_user_id, id AS user_id, registration_dt, {ts}
-        FROM {s}_users WHERE id IS NOT NULL {_not_in(hk('id'), prev, 'h_users', 'hk_user_id')}""")
-    add("h_groups", f"""SELECT DISTINCT {hk('id')} AS hk_group_id, id AS group_id, registration_dt, {ts}
-        FROM {s}_groups WHERE id IS NOT NULL {_not_in(hk('id'), prev, 'h_groups', 'hk_group_id')}""")
-    add("h_dialogs", f"""SELECT DISTINCT {hk('message_id')} AS hk_message_id, message_id, message_dt, {ts}
-        FROM {s}_dialogs WHERE message_id IS NOT NULL
-        {_not_in(hk('message_id'), prev, 'h_dialogs', 'hk_message_id')}""")
-    # Lookups are left joins; a row whose member is missing is set apart, not
-    # loaded, hence the IS NOT NULL on every looked-up key.
-    k = hk("hg.hk_group_id", "hu.hk_user_id")
-    add("l_admins", f"""SELECT DISTINCT {k} AS hk_l_admin_id, hu.hk_user_id, hg.hk_group_id, {ts}
-        FROM {s}_groups g
-        LEFT JOIN {p}_h_users_all hu ON g.admin_id = hu.user_id
-        LEFT JOIN {p}_h_groups_all hg ON g.id = hg.group_id
-        WHERE hu.hk_user_id IS NOT NULL AND hg.hk_group_id IS NOT NULL
-        {_not_in(k, prev, 'l_admins', 'hk_l_admin_id')}""")
-    k = hk("hd.hk_message_id", "hu.hk_user_id")
-    add("l_user_message", f"""SELECT DISTINCT {k} AS hk_l_user_message, hu.hk_user_id, hd.hk_message_id, {ts}
-        FROM {s}_dialogs d
-        LEFT JOIN {p}_h_users_all hu ON hu.user_id = d.message_from
-        LEFT JOIN {p}_h_dialogs_all hd ON d.message_id = hd.message_id
-        WHERE hu.hk_user_id IS NOT NULL AND hd.hk_message_id IS NOT NULL
-        {_not_in(k, prev, 'l_user_message', 'hk_l_user_message')}""")
-    k = hk("hg.hk_group_id", "hd.hk_message_id")
-    add("l_groups_dialogs", f"""SELECT DISTINCT {k} AS hk_l_groups_dialogs, hg.hk_group_id, hd.hk_message_id, {ts}
-        FROM {s}_dialogs d
-        LEFT JOIN {p}_h_groups_all hg ON d.message_group = hg.group_id
-        LEFT JOIN {p}_h_dialogs_all hd ON d.message_id = hd.message_id
-        WHERE hg.hk_group_id IS NOT NULL AND hd.hk_message_id IS NOT NULL
-        {_not_in(k, prev, 'l_groups_dialogs', 'hk_l_groups_dialogs')}""")
-    k = hk("hu.hk_user_id", "hg.hk_group_id")
-    add("l_user_group_activity", f"""SELECT DISTINCT {k} AS hk_l_user_group_activity, hu.hk_user_id,
-               hg.hk_group_id, {ts}
-        FROM {s}_group_log gl
-        LEFT JOIN {p}_h_users_all hu ON gl.user_id = hu.user_id
-        LEFT JOIN {p}_h_groups_all hg ON gl.group_id = hg.group_id
-        WHERE hu.hk_user_id IS NOT NULL AND hg.hk_group_id IS NOT NULL
-        {_not_in(k, prev, 'l_user_group_activity', 'hk_l_user_group_activity')}""")
-    for table, hub, src, attrs in (
-        ("s_user_socdem", "h_users", "users", "su.country, su.age"),
-        ("s_user_chat_info", "h_users", "users", "su.chat_name"),
-        ("s_group_name", "h_groups", "groups", "su.group_name"),
-        ("s_group_private_status", "h_groups", "groups", "su.is_private"),
-    ):
-        key = HUBS[hub].key
-        bk = HUBS[hub].key_name
-        add(table, f"""SELECT DISTINCT hub.{key} AS {key}, {attrs}, {ts}
-            FROM {s}_{src} su LEFT JOIN {p}_{hub}_all hub ON su.id = hub.{bk}
-            WHERE hub.{key} IS NOT NULL {_not_in(f'hub.{key}', prev, table, key)}""")
-    add("s_admins", f"""SELECT DISTINCT la.hk_l_admin_id, TRUE AS is_admin, hg.registration_dt AS admin_from, {ts}
-        FROM {p}_l_admins_all la LEFT JOIN {p}_h_groups_all hg ON la.hk_group_id = hg.hk_group_id
-        WHERE TRUE {_not_in('la.hk_l_admin_id', prev, 's_admins', 'hk_l_admin_id')}""")
-    if reference:
-        add("s_dialog_info", f"""SELECT DISTINCT hd.hk_message_id, d.message_from, d.message_to,
-                   d.message message, {ts}
-            FROM {p}_h_dialogs_all hd LEFT JOIN {s}_dialogs d ON hd.message_id = d.message_id""")
+    load = f"TIMESTAMP '{load_dt}' AS load_dt, 's3' AS load_src"
+    out = {}
+    for table, source, key, columns in PER_ID:
+        known = f"WHERE NOT EXISTS (SELECT 1 FROM {before}_{source} o WHERE o.{key} = n.{key})" if before else ""
+        out[table] = f"SELECT DISTINCT {columns}, {load} FROM {s}_{source} n {known}"
+    for link, columns in LINK_COLUMNS.items():
+        less = f"EXCEPT {_pairs(link, before)}" if before else ""
+        out[link] = f"SELECT DISTINCT {columns}, {load} FROM ({_pairs(link, s)} {less})"
+    less = f"EXCEPT {_pairs('l_admins', before)}" if before else ""
+    out["s_admins"] = (
+        f"SELECT DISTINCT {hk(hk('g'), hk('u'))} AS hk_l_admin_id, TRUE AS is_admin, r.registration_dt AS admin_from, "
+        f"{load} FROM ({_pairs('l_admins', s)} {less}) JOIN {s}_groups r ON r.id = g")
+    kinds = "'add', 'leave'"
+    if reference and before:
+        out["s_dialog_info"] = f"SELECT DISTINCT {PER_ID[-1][3]}, {load} FROM {s}_dialogs"
+        out["s_auth_history"] = f"""SELECT DISTINCT {AUTH_COLUMNS}, {load} FROM (
+            {_events(s, "'leave'")} UNION ALL
+            SELECT * FROM ({_events(s, "'add'")}) n WHERE NOT EXISTS (
+              SELECT 1 FROM ({_events(before, kinds)}) o WHERE o.u = n.u AND o.g = n.g))"""
     else:
-        add("s_dialog_info", f"""SELECT DISTINCT hd.hk_message_id, d.message_from, d.message_to,
-                   d.message message, {ts}
-            FROM {s}_dialogs d JOIN {p}_h_dialogs_all hd ON hd.message_id = d.message_id
-            WHERE TRUE {_not_in('hd.hk_message_id', prev, 's_dialog_info', 'hk_message_id')}""")
-    events = f"""FROM {s}_group_log gl
-        LEFT JOIN {p}_h_users_all hu ON gl.user_id = hu.user_id
-        LEFT JOIN {p}_h_groups_all hg ON gl.group_id = hg.group_id
-        LEFT JOIN {p}_l_user_group_activity_all lug
-               ON (hg.hk_group_id = lug.hk_group_id) AND (hu.hk_user_id = lug.hk_user_id)"""
-    cols = f"""lug.hk_l_user_group_activity AS hk_l_user_group_activity, gl.user_id_from AS user_id_from,
-               gl.event AS event, gl.event_datetime AS event_dt, {ts}"""
-    if reference and prev:
-        add("s_auth_history", f"""SELECT DISTINCT {cols} {events}
-            WHERE lug.hk_l_user_group_activity IS NOT NULL AND (
-              (lug.hk_l_user_group_activity NOT IN
-                 (SELECT hk_l_user_group_activity FROM {prev}_s_auth_history_all)
-               AND gl.event = 'add') OR gl.event = 'leave')""")
-    else:
-        seen = ""
-        if prev:
-            seen = f"""AND NOT EXISTS (SELECT 1 FROM {prev}_s_auth_history_all h
-                WHERE h.hk_l_user_group_activity = lug.hk_l_user_group_activity
-                  AND h.user_id_from IS NOT DISTINCT FROM gl.user_id_from
-                  AND h.event IS NOT DISTINCT FROM gl.event
-                  AND h.event_dt IS NOT DISTINCT FROM gl.event_datetime)"""
-        add("s_auth_history", f"""SELECT DISTINCT {cols} {events}
-            WHERE lug.hk_l_user_group_activity IS NOT NULL AND gl.event IN ('add', 'leave') {seen}""")
-    return ",\n".join(ctes)
+        less = f"EXCEPT {_events(before, kinds)}" if before else ""
+        out["s_auth_history"] = f"SELECT DISTINCT {AUTH_COLUMNS}, {load} FROM ({_events(s, kinds)} {less})"
+    return ",\n".join(f"{p}_{table} AS ({body})" for table, body in out.items())
 
 
 def _with(*parts: str) -> str:
@@ -171,32 +146,81 @@ def _with(*parts: str) -> str:
 
 
 FIRST = vault_sql("b1", "stg", BATCH_1.load_dt, None)
-SECOND = vault_sql("e1", "early", BATCH_1.load_dt, None) + ",\n" + vault_sql(
-    "e2", "stg", BATCH_2.load_dt, "e1"
-)
-SECOND_REFERENCE = vault_sql("r2", "stg", BATCH_2.load_dt, "e1", reference=True)
-
-FIRST_GROUPS_SQL = """first_groups AS (
-  SELECT hk_group_id, group_id, registration_dt FROM b1_h_groups
-  ORDER BY registration_dt ASC NULLS LAST, group_id ASC NULLS LAST LIMIT 10)"""
-
-SENDERS_SQL = """SELECT lgd.hk_group_id, count(DISTINCT lum.hk_user_id) AS cnt_users_in_group_with_messages
-  FROM b1_l_groups_dialogs lgd LEFT JOIN b1_l_user_message lum ON lgd.hk_message_id = lum.hk_message_id
-  GROUP BY lgd.hk_group_id"""
-
-ADDED_SQL = """SELECT luga.hk_group_id, count(DISTINCT luga.hk_user_id) AS cnt_added_users
-  FROM b1_l_user_group_activity luga
-  WHERE luga.hk_l_user_group_activity IN (
-          SELECT hk_l_user_group_activity FROM b1_s_auth_history WHERE event = 'add')
-    AND luga.hk_group_id IN (SELECT hk_group_id FROM first_groups)
-  GROUP BY luga.hk_group_id"""
-
-CONVERSION_SQL = f"""user_group_messages AS ({SENDERS_SQL}),
-user_group_log AS ({ADDED_SQL})
-SELECT ugl.hk_group_id, ugl.cnt_added_users, ugm.cnt_users_in_group_with_messages,
-       round(ugm.cnt_users_in_group_with_messages / ugl.cnt_added_users * 100, 2) AS group_conversion
-FROM user_group_log ugl LEFT JOIN user_group_messages ugm ON ugl.hk_group_id = ugm.hk_group_id
-ORDER BY ugm.cnt_users_in_group_with_messages / ugl.cnt_added_users DESC"""
+SECOND = vault_sql("e2", "stg", BATCH_2.load_dt, "early")
+SECOND_REFERENCE = vault_sql("r2", "stg", BATCH_2.load_dt, "early", reference=True)
+
+OLDEST_SQL = f"""oldest AS (
+  SELECT id, {hk('id')} AS hk_group_id, registration_dt FROM (
+    SELECT id, registration_dt, row_number() OVER (ORDER BY registration_dt NULLS LAST, id) AS place FROM stg_groups)
+  WHERE place <= 10)"""
+
+# one row per group a message or an added user belongs to, counted over the staged rows
+SENDERS_SQL = f"""SELECT {hk('message_group')} AS hk_group_id,
+    count(DISTINCT message_from) FILTER (message_from IN (SELECT id FROM stg_users)) AS cnt_users_in_group_with_messages
+  FROM stg_dialogs WHERE message_group IN (SELECT id FROM stg_groups) GROUP BY message_group"""
+
+ADDED_SQL = f"""SELECT {hk('group_id')} AS hk_group_id, count(DISTINCT user_id) AS cnt_added_users
+  FROM stg_group_log
+  WHERE event = 'add' AND group_id IN (SELECT id FROM oldest) AND user_id IN (SELECT id FROM stg_users)
+  GROUP BY group_id"""
+
+CONVERSION_SQL = f"""SELECT hk_group_id, any_value(a) AS cnt_added_users, any_value(w) AS cnt_users_in_group_with_messages,
+    round(100 * (any_value(w) / any_value(a)), 2) AS group_conversion
+  FROM (SELECT hk_group_id, cnt_added_users AS a, NULL AS w FROM ({ADDED_SQL})
+        UNION ALL SELECT hk_group_id, NULL, cnt_users_in_group_with_messages FROM ({SENDERS_SQL}))
+  GROUP BY hk_group_id HAVING count(a) > 0"""
+
+# The faults planted for the audits (the same rules as in plans/queries.py).
+FAULTS_SQL = """
+f_users AS (
+  SELECT id, CASE WHEN id % 40 = 0 THEN -age ELSE age END AS age FROM stg_users
+  UNION ALL SELECT id, age FROM stg_users WHERE id % 50 = 0),
+f_groups AS (SELECT id, CASE WHEN id % 7 = 0 THEN admin_id + 1000000 ELSE admin_id END AS admin_id FROM stg_groups),
+f_group_log AS (
+  SELECT group_id, user_id, CASE WHEN group_id % 9 = 0 THEN user_id_from + 1000000 ELSE user_id_from END AS user_id_from
+  FROM stg_group_log),
+f_h_users AS (
+  SELECT hk_user_id, user_id FROM b1_h_users
+  UNION ALL SELECT hk_user_id, user_id + 1000000 FROM b1_h_users WHERE user_id % 60 = 0),
+f_l_user_message AS (
+  SELECT hk_l_user_message, CASE WHEN hk_l_user_message % 11 = 0 THEN hk_user_id + 1 ELSE hk_user_id END AS hk_user_id,
+         CASE WHEN hk_l_user_message % 13 = 0 THEN NULL ELSE hk_message_id END AS hk_message_id, load_dt
+  FROM b1_l_user_message),
+f_s_user_socdem AS (
+  SELECT hk_user_id, CASE WHEN hk_user_id % 17 = 0 THEN -1 ELSE age END AS age,
+         CASE WHEN hk_user_id % 19 = 0 THEN NULL ELSE load_dt END AS load_dt
+  FROM b1_s_user_socdem)"""
+FAULTY = ("stg_users", "stg_groups", "stg_group_log", "b1_h_users", "b1_l_user_message", "b1_s_user_socdem")
+
+# Declared keys and references, child before parent.
+HUB_KEYS = (("h_users", "hk_user_id", "user_id"), ("h_groups", "hk_group_id", "group_id"),
+            ("h_dialogs", "hk_message_id", "message_id"))
+LINK_KEYS = (("l_admins", "hk_l_admin_id", "h_users", "h_groups"),
+             ("l_user_message", "hk_l_user_message", "h_users", "h_dialogs"),
+             ("l_groups_dialogs", "hk_l_groups_dialogs", "h_groups", "h_dialogs"),
+             ("l_user_group_activity", "hk_l_user_group_activity", "h_users", "h_groups"))
+SATELLITE_PARENTS = (("s_user_socdem", "h_users"), ("s_user_chat_info", "h_users"), ("s_group_name", "h_groups"),
+                     ("s_group_private_status", "h_groups"), ("s_admins", "l_admins"), ("s_dialog_info", "h_dialogs"),
+                     ("s_auth_history", "l_user_group_activity"))
+KEY_OF = {t: k for t, k, *_ in (*HUB_KEYS, *LINK_KEYS)}
+
+# Lines spoiled on landing (the same rules as in plans/queries.py), with the reason they are set aside for.
+REJECTS_SQL = """SELECT 'users' AS table_name, 'malformed row' AS reject_reason,
+    concat_ws(',', id, chat_name, coalesce(CAST(registration_dt AS VARCHAR), ''), coalesce(country, ''), 'old') AS raw_line
+  FROM stg_users WHERE id % 50 = 1
+UNION ALL SELECT 'groups', 'is_private: not a boolean',
+    concat_ws(',', id, admin_id, group_name, coalesce(CAST(registration_dt AS VARCHAR), ''), 'maybe')
+  FROM stg_groups WHERE id % 7 = 3
+UNION ALL SELECT 'dialogs', 'malformed row',
+    concat_ws(',', message_id, coalesce(CAST(message_dt AS VARCHAR), ''), message_from)
+  FROM stg_dialogs WHERE message_id % 200 = 8
+UNION ALL SELECT 'dialogs', 'malformed row',
+    concat_ws(',', message_id, coalesce(CAST(message_dt AS VARCHAR), ''), message_from, message_to, message,
+              coalesce(CAST(message_group AS VARCHAR), ''), 'surplus')
+  FROM stg_dialogs WHERE message_id % 200 = 9
+UNION ALL SELECT 'group_log', 'malformed row',
+    concat_ws(',', group_id, user_id, coalesce(CAST(user_id_from AS VARCHAR), ''), event, '1996-13-45 00:00:00')
+  FROM stg_group_log WHERE (group_id + user_id) % 97 = 5"""
 
 TRUNCATE_SQL = f"""WITH long_docs AS (
   SELECT doc_id, string_split(left(text, {TRUNCATE_BYTES}), '') AS chars
@@ -222,56 +246,57 @@ def _audit_row(table: str, constraint: str, column: str, body: str) -> str:
             f"CAST(n_violations AS BIGINT) AS n_violations FROM ({body})")
 
 
-def _dup_body(table: str, key: str) -> str:
-    return (f"SELECT coalesce(sum(n), 0) AS n_checked, count(*) FILTER (WHERE n > 1) AS n_violations "
-            f"FROM (SELECT {key}, count(*) AS n FROM {table} WHERE {key} IS NOT NULL GROUP BY {key})")
-
-
-def _audit_duplicates() -> str:
-    rows = [
-        _audit_row(f"stg_{t}", "primary_key", k, _dup_body(f"stg_{t}", k))
-        for t, k in STAGING_KEYS.items() if k
-    ] + [_audit_row(t, "primary_key", k, _dup_body(f"b1_{t}", k)) for t, k in VAULT_KEYS.items()]
-    for t, spec in HUBS.items():
-        body = (f"SELECT count(*) AS n_checked, count(*) FILTER (WHERE n > 1) AS n_violations FROM "
-                f"(SELECT {spec.key}, count(DISTINCT {spec.key_name}) AS n FROM b1_{t} GROUP BY {spec.key})")
-        rows.append(_audit_row(t, "hash_collision", spec.key, body))
+def _duplicates() -> str:
+    rows = []
+    for table, key in (("stg_users", "id"), ("stg_groups", "id"), ("stg_dialogs", "message_id"),
+                       *((t, k) for t, k in KEY_OF.items())):
+        source = table if table.startswith("stg_") else f"b1_{table}"
+        rows.append(_audit_row(table, "primary_key", key,
+            f"SELECT count({key}) AS n_checked, (SELECT count(*) FROM (SELECT {key} FROM {source} WHERE {key} IS NOT NULL "
+            f"GROUP BY 1 HAVING count(*) > 1)) AS n_violations FROM {source}"))
+    for table, key, name in HUB_KEYS:
+        rows.append(_audit_row(table, "hash_collision", key,
+            f"SELECT count(DISTINCT {key}) AS n_checked, count(DISTINCT {key}) FILTER (low <> high) AS n_violations FROM "
+            f"(SELECT {key}, min({name}) OVER (PARTITION BY {key}) AS low, max({name}) OVER (PARTITION BY {key}) AS high "
+            f"FROM b1_{table})"))
     return "\nUNION ALL\n".join(rows)
 
 
-def _orphan_body(child: str, fk: str, parent: str, pk: str) -> str:
-    return (f"SELECT count(*) AS n_checked, count(*) FILTER (WHERE p.{pk} IS NULL) AS n_violations "
-            f"FROM {child} c LEFT JOIN (SELECT DISTINCT {pk} FROM {parent} WHERE {pk} IS NOT NULL) p "
-            f"ON c.{fk} = p.{pk} WHERE c.{fk} IS NOT NULL")
+def _orphans() -> str:
+    references = [("stg_groups", "admin_id", "stg_users", "id"), ("stg_group_log", "group_id", "stg_groups", "id"),
+                  ("stg_group_log", "user_id", "stg_users", "id"), ("stg_group_log", "user_id_from", "stg_users", "id")]
+    references += [(t, KEY_OF[parent], parent, KEY_OF[parent]) for t, _, *parents in LINK_KEYS for parent in parents]
+    references += [(t, KEY_OF[parent], parent, KEY_OF[parent]) for t, parent in SATELLITE_PARENTS]
+    rows = []
+    for child, column, parent, key in references:
+        c, p = (x if x.startswith("stg_") else f"b1_{x}" for x in (child, parent))
+        rows.append(_audit_row(child, f"foreign_key:{parent}", column,
+            f"SELECT count({column}) AS n_checked, count({column}) FILTER (NOT EXISTS (SELECT 1 FROM {p} p "
+            f"WHERE p.{key} = c.{column})) AS n_violations FROM {c} c"))
+    return "\nUNION ALL\n".join(rows)
 
 
-def _audit_orphans() -> str:
-    rows = [
-        _audit_row(f"stg_{c}", f"foreign_key:stg_{p}", fk, _orphan_body(f"stg_{c}", fk, f"stg_{p}", pk))
-        for c, fk, p, pk in STAGING_FOREIGN_KEYS
-    ] + [
-        _audit_row(c, f"foreign_key:{p}", fk, _orphan_body(f"b1_{c}", fk, f"b1_{p}", pk))
-        for c, fk, p, pk in VAULT_FOREIGN_KEYS
-    ]
-    return "\nUNION ALL\n".join(rows)
+def _ages() -> str:
+    return "\nUNION ALL\n".join(
+        _audit_row(name, "check:age>=0", "age",
+                   f"SELECT count(age) AS n_checked, coalesce(sum(CAST(age < 0 AS INT)), 0) AS n_violations FROM {source}")
+        for name, source in (("stg_users", "stg_users"), ("s_user_socdem", "b1_s_user_socdem")))
 
 
-def _audit_age() -> str:
-    body = "SELECT count(age) AS n_checked, count(*) FILTER (WHERE age < 0) AS n_violations FROM {}"
-    return "\nUNION ALL\n".join([
-        _audit_row("stg_users", "check:age>=0", "age", body.format("stg_users")),
-        _audit_row("s_user_socdem", "check:age>=0", "age", body.format("b1_s_user_socdem")),
-    ])
+def _nulls() -> str:
+    columns = [(t, [k]) for t, k, _ in HUB_KEYS]
+    columns += [(t, [k, *(KEY_OF[p] for p in parents), "load_dt"]) for t, k, *parents in LINK_KEYS]
+    columns += [(t, [KEY_OF[p], "load_dt"]) for t, p in SATELLITE_PARENTS]
+    return "\nUNION ALL\n".join(
+        _audit_row(t, "not_null", c, f"SELECT count(*) AS n_checked, count(*) - count({c}) AS n_violations FROM b1_{t}")
+        for t, cs in columns for c in cs)
 
 
-def _audit_not_null() -> str:
-    rows = []
-    for t, cols in VAULT_NOT_NULL.items():
-        for c in cols:
-            body = (f"SELECT count(*) AS n_checked, count(*) FILTER (WHERE {c} IS NULL) AS n_violations "
-                    f"FROM b1_{t}")
-            rows.append(_audit_row(t, "not_null", c, body))
-    return "\nUNION ALL\n".join(rows)
+def _planted(statement: str) -> str:
+    """An audit over the tables with planted faults."""
+    for name in FAULTY:
+        statement = re.sub(rf"FROM {name}\b", f"FROM f_{name.removeprefix('stg_').removeprefix('b1_')}", statement)
+    return statement
 
 
 def _load_counts() -> str:
@@ -291,8 +316,10 @@ def oracle_sql() -> dict[str, str]:
     q["load_counts"] = first + _load_counts()
     as_of = "(SELECT max(message_dt) FROM stg_dialogs)"
     q["calendar_bucket"] = base + (
-        f"SELECT {calendar_bucket_sql('message_dt', as_of)} AS bucket, count(*) AS n_messages "
-        "FROM stg_dialogs GROUP BY 1")
+        "SELECT CAST(CASE WHEN date_diff('year', d, seen) >= 2 THEN date_trunc('year', d) "
+        "WHEN date_diff('month', d, seen) >= 3 THEN date_trunc('month', d) ELSE d END AS DATE) AS bucket, "
+        f"count(*) AS n_messages FROM (SELECT CAST(message_dt AS DATE) AS d, CAST({as_of} AS DATE) AS seen "
+        "FROM stg_dialogs) GROUP BY 1")
     for table, name in QUERY_NAMES.items():
         q[name] = first + f"SELECT * FROM b1_{table}"
     second = _with(STAGING_SQL, EARLY_STAGING_SQL, SECOND)
@@ -301,17 +328,21 @@ def oracle_sql() -> dict[str, str]:
     second_ref = _with(STAGING_SQL, EARLY_STAGING_SQL, SECOND, SECOND_REFERENCE)
     q["sat_dialog_info_second_load_reference"] = second_ref + "SELECT * FROM r2_s_dialog_info"
     q["sat_auth_history_second_load_reference"] = second_ref + "SELECT * FROM r2_s_auth_history"
-    marts = _with(STAGING_SQL, FIRST, FIRST_GROUPS_SQL)
-    q["first_groups_by_registration"] = marts + "SELECT * FROM first_groups"
-    q["senders_per_group"] = first + SENDERS_SQL
-    q["users_added_per_group"] = marts + ADDED_SQL
-    q["group_conversion"] = marts.rstrip("\n") + ",\n" + CONVERSION_SQL
-    q["group_conversion_single_plan"] = q["group_conversion"]
-    q["group_conversion_from_csv"] = q["group_conversion"]
+    oldest = _with(STAGING_SQL, OLDEST_SQL)
+    q["first_groups_by_registration"] = oldest + "SELECT hk_group_id, id AS group_id, registration_dt FROM oldest"
+    q["senders_per_group"] = base + SENDERS_SQL
+    q["users_added_per_group"] = oldest + ADDED_SQL
+    q["group_conversion"] = oldest + CONVERSION_SQL
+    for name in ("single_plan", "from_csv", "segmented"):
+        q[f"group_conversion_{name}"] = q["group_conversion"]
+    q["stg_rejects"] = base + REJECTS_SQL
+    for table in SEGMENTED:
+        q[f"{QUERY_NAMES[table]}_segmented_second_load"] = second + f"SELECT * FROM e2_{table}"
     for t in ("users", "groups", "dialogs", "group_log"):
         q[f"stg_{t}_from_csv"] = q[f"stg_{t}"]
-    q["audit_duplicate_keys"] = first + _audit_duplicates()
-    q["audit_orphans"] = first + _audit_orphans()
-    q["audit_check_age"] = first + _audit_age()
-    q["audit_not_null"] = first + _audit_not_null()
+    faulty = _with(STAGING_SQL, FIRST, FAULTS_SQL)
+    for name, body in (("duplicate_keys", _duplicates()), ("orphans", _orphans()), ("check_age", _ages()),
+                       ("not_null", _nulls())):
+        q[f"audit_{name}"] = first + body
+        q[f"audit_{name}_planted"] = faulty + _planted(body)
     return q

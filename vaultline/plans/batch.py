@@ -102,8 +102,10 @@ def load_vault(
             rows = model.hub_satellite_rows(spec, staging[hub.source], load_cols)
             save(name, load_satellite(rows, store.existing(name, batch), [hub.key]))
         elif name == "s_admins":
-            rows = model.admin_rows(store.table("l_admins"), store.table("h_groups"), load_cols)
-            save(name, load_satellite(rows, store.existing(name, batch), ["hk_l_admin_id"]))
+            # links without a row come first: only theirs are joined with the hub
+            links = store.table("l_admins").select("hk_l_admin_id", "hk_group_id").distinct()
+            links = load_satellite(links, store.existing(name, batch), ["hk_l_admin_id"])
+            save(name, model.admin_rows(links, store.table("h_groups"), load_cols).distinct())
         elif name == "s_dialog_info":
             if mode == "reference":
                 rows = model.dialog_rows_from_hub(store.table("h_dialogs"), staging["dialogs"], load_cols)

@@ -10,10 +10,13 @@ and is built once per session and data folder, then shared by the queries.
 Scenarios: ``first`` loads the whole source as batch 1 into an empty vault;
 ``csv`` does the same after writing the source out as landed CSV files, so
 the CSV scan and reject split are on the path;
+``rejects`` lands it with some lines spoiled by rule;
 ``second`` loads the source as it stood before ``SECOND_LOAD_CUTOFF`` (every
-staged row dated earlier) as batch 1 and then the whole source as batch 2,
-and ``*_second_load`` queries return what batch 2 appends (``reference``
-repeats this with the reference rerun behaviour).
+staged row dated earlier, less every ``LATE_GROUPS``-th group and its rows) as
+batch 1 and then the whole source as batch 2, and ``*_second_load`` queries
+return what batch 2 appends (``reference`` repeats this with the reference
+rerun behaviour); ``segmented`` does it in a segmented vault, folds the day and
+loads batch 2 once more over the folded history.
 """
 
 from __future__ import annotations
@@ -23,26 +26,31 @@ import threading
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.functions.calendar import calendar_bucket
 from vaultline.functions.text import truncate_utf8_bytes
 from vaultline.operators import audits
+from vaultline.operators.segments import SegmentedVault
 from vaultline.operators.store import Batch, MemoryVault, ParquetVault
 from vaultline.plans import marts, model
 from vaultline.plans.batch import load_vault
-from vaultline.plans.pipeline import run_batch
+from vaultline.plans.pipeline import read_reports, run_batch
 from vaultline.schemas import STAGING, STAGING_DATE_COLUMN
 from vaultline.session import checkpoint_dir
 from vaultline.sources.adapter import staging_from_driver_tables
-from vaultline.sources.staging import read_staging
+from vaultline.sources.staging import read_rejects, read_staging
 
 # Fixed values of the query suite (the oracle SQL uses the same literals).
 BATCH_1 = Batch(1, "2024-06-07 12:00:00")
 BATCH_2 = Batch(2, "2024-06-07 13:00:00")
 SECOND_LOAD_CUTOFF = "1998-01-01 00:00:00"
+LATE_GROUPS = 10  # groups of these ids, and what refers to them, come with the second load
+SEGMENTS = 8
 TRUNCATE_BYTES = 1000  # declared length of a message
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,11 +107,15 @@ def _find_work_root(spark: SparkSession) -> str:
 
 
 def staging_before(staging: dict[str, DataFrame], cutoff: str) -> dict[str, DataFrame]:
-    """The source as it stood at ``cutoff``: rows dated before it (undated rows not yet)."""
+    """The source as it stood at ``cutoff``: rows dated before it (undated rows not yet), without the late groups."""
+    group = {"groups": "id", "dialogs": "message_group", "group_log": "group_id"}
     out = {}
     for name, df in staging.items():
         date_col = STAGING_DATE_COLUMN[name] or "registration_dt"
-        out[name] = df.where(F.col(date_col) < F.lit(cutoff).cast("timestamp_ntz"))
+        df = df.where(F.col(date_col) < F.lit(cutoff).cast("timestamp_ntz"))
+        if name in group:
+            df = df.where(F.coalesce(F.col(group[name]) % LATE_GROUPS, F.lit(1)) != 0)
+        out[name] = df
     return out
 
 
@@ -133,6 +145,40 @@ def land_csv(source: dict[str, DataFrame], folder: str) -> dict[str, str]:
     return paths
 
 
+def _spoiled(name: str, df: DataFrame) -> DataFrame:
+    """Landed lines of a staging input as ``value``, some of them spoiled (fixed rules of the query suite)."""
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+
+    def line(*values) -> Column:
+        return F.concat_ws(",", *values)
+
+    spoiled = {
+        "users": F.when(F.col("id") % 50 == 1, line(*texts[:4], F.lit("old"))),  # text in a number
+        "groups": F.when(F.col("id") % 7 == 3, line(*texts[:4], F.lit("maybe"))),  # no boolean
+        "dialogs": F.when(F.col("message_id") % 200 == 8, line(*texts[:3]))  # too few fields, too many
+        .when(F.col("message_id") % 200 == 9, line(*texts, F.lit("surplus"))),
+        "group_log": F.when((F.col("group_id") + F.col("user_id")) % 97 == 5,
+                            line(*texts[:4], F.lit("1996-13-45 00:00:00"))),  # no such day
+    }[name]
+    return df.select(F.coalesce(spoiled, line(*texts)).alias("value"))
+
+
+def land_lines(source: dict[str, DataFrame], folder: str) -> dict[str, str]:
+    """Write staging inputs as landed CSV files, each file with a header line, with spoiled lines."""
+    paths = {}
+    for name, df in source.items():
+        paths[name] = f"{folder}/{name}"
+        header = ",".join(df.columns)
+
+        def headed(batches, header=header):
+            yield pa.RecordBatch.from_pydict({"value": [header]})
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"value": batch.column(0)})
+
+        _spoiled(name, df).mapInArrow(headed, "value string").write.text(paths[name])
+    return paths
+
+
 def _build(spark: SparkSession, sf_dir: str, scenario: str, out: Loaded) -> None:
     source = staging_from_driver_tables(spark, sf_dir)
     mode = "reference" if scenario == "second_reference" else "idempotent"
@@ -141,6 +187,17 @@ def _build(spark: SparkSession, sf_dir: str, scenario: str, out: Loaded) -> None
         landing = out.staging_root.rsplit("/", 1)[0] + "/landing"
         run_batch(spark, BATCH_1, staging_root=out.staging_root, vault_root=out.vault_root,
                   csv_paths=land_csv(source, landing), mode=mode)
+    elif scenario == "rejects":
+        landing = out.staging_root.rsplit("/", 1)[0] + "/landing"
+        run_batch(spark, BATCH_1, staging_root=out.staging_root, vault_root=out.vault_root,
+                  csv_paths=land_lines(source, landing), tables=("h_users",))
+    elif scenario == "segmented":
+        for batch, frames in ((BATCH_1, staging_before(source, SECOND_LOAD_CUTOFF)), (BATCH_2, source)):
+            run_batch(spark, batch, staging_root=out.staging_root, vault_root=out.vault_root, frames=frames,
+                      segments=SEGMENTS)
+        vault = SegmentedVault(spark, out.vault_root, SEGMENTS)
+        vault.fold("2024-06-08")
+        load_vault(out.staging(), vault, BATCH_2)
     elif scenario == "first":
         run_batch(spark, BATCH_1, staging_root=out.staging_root, vault_root=out.vault_root,
                   frames=source, mode=mode)
@@ -182,21 +239,18 @@ def varchar_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per staging table and rows each vault table received in a first load."""
-    run = loaded(spark, sf_dir)
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(f"stg_{name}").alias("table_name"), "n_rows")
-        for name, df in run.staging().items()
-    ] + [
-        run.vault.batch_rows(name, BATCH_1)
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(name).alias("table_name"), "n_rows")
-        for name in model.LOAD_ORDER
-    ]
-    out = counts[0]
-    for df in counts[1:]:
-        out = out.unionByName(df)
-    return out
+    """Rows each staging table and each vault table received in a first load, as observed while they were written."""
+    reports = read_reports(spark, loaded(spark, sf_dir).vault_root)
+    return (reports.where((F.col("batch_id") == BATCH_1.batch_id) & F.col("metric").isin("loaded", "appended"))
+            .select("table_name", "n_rows"))
+
+
+def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line set aside while the spoiled source was staged: table, reason, the line itself."""
+    run = loaded(spark, sf_dir, "rejects")
+    frames = [read_rejects(spark, run.staging_root, name)
+              .select(F.lit(name).alias("table_name"), "reject_reason", "raw_line") for name in STAGING]
+    return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 def calendar_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,6 +293,52 @@ def _audit(fn) -> Query:
     return run
 
 
+def with_faults(staging: dict[str, DataFrame], tables) -> tuple[dict[str, DataFrame], Callable[[str], DataFrame]]:
+    """Staging and vault tables with faults planted by rule, for the audits to find."""
+    far = 1_000_000  # no such member
+    users, groups, log = staging["users"], staging["groups"], staging["group_log"]
+    faulty = dict(
+        staging,
+        users=users.withColumn("age", F.when(F.col("id") % 40 == 0, -F.col("age")).otherwise(F.col("age")))
+        .unionByName(users.where("id % 50 = 0")),
+        groups=groups.withColumn("admin_id", F.col("admin_id") + F.when(F.col("id") % 7 == 0, far).otherwise(0)),
+        group_log=log.withColumn("user_id_from",
+                                 F.col("user_id_from") + F.when(F.col("group_id") % 9 == 0, far).otherwise(0)))
+
+    def table(name: str) -> DataFrame:
+        df = tables(name)
+        if name == "h_users":  # one key for two business keys
+            return df.unionByName(df.where("user_id % 60 = 0").withColumn("user_id", F.col("user_id") + far))
+        if name == "l_user_message":
+            key = F.col("hk_l_user_message")
+            return df.withColumn("hk_user_id", F.col("hk_user_id") + F.when(key % 11 == 0, 1).otherwise(0)).withColumn(
+                "hk_message_id", F.when(key % 13 != 0, F.col("hk_message_id")))
+        if name == "s_user_socdem":
+            key = F.col("hk_user_id")
+            return df.withColumn("age", F.when(key % 17 == 0, -1).otherwise(F.col("age"))).withColumn(
+                "load_dt", F.when(key % 19 != 0, F.col("load_dt")))
+        return df
+
+    return faulty, table
+
+
+def _planted_audit(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        run_ = loaded(spark, sf_dir)
+        return fn(*with_faults(run_.staging(), run_.vault.table))
+
+    return run
+
+
+# Tables whose second load is also registered over the segmented vault.
+SEGMENTED = ("h_users", "h_groups", "h_dialogs", "l_user_group_activity", "s_dialog_info", "s_auth_history")
+
+
+def _segmented_query(table: str) -> Query:
+    return lambda spark, sf_dir: SegmentedVault(
+        spark, loaded(spark, sf_dir, "segmented").vault_root, SEGMENTS).batch_rows(table, BATCH_2)
+
+
 QUERY_NAMES = {
     "h_users": "hub_users",
     "h_groups": "hub_groups",
@@ -284,14 +384,19 @@ def all_queries() -> dict[str, Query]:
             F.broadcast(marts.first_groups_by_registration(t("h_groups"))),  # top-10 bound
         )
     )
-    q["group_conversion"] = _mart(marts.group_conversion)
+    q["group_conversion"] = _mart(lambda t: marts.group_conversion(t, broadcast_rows=marts.BROADCAST_ROWS))
     q["group_conversion_single_plan"] = group_conversion_single_plan
     for name in ("users", "groups", "dialogs", "group_log"):
         q[f"stg_{name}_from_csv"] = _csv_staging_query(name)
     q["group_conversion_from_csv"] = lambda spark, sf_dir: marts.group_conversion(
         loaded(spark, sf_dir, "csv").vault.table)
-    q["audit_duplicate_keys"] = _audit(audits.duplicate_keys)
-    q["audit_orphans"] = _audit(audits.orphans)
-    q["audit_check_age"] = _audit(audits.check_age)
-    q["audit_not_null"] = _audit(audits.not_null)
+    for name, fn in (("duplicate_keys", audits.duplicate_keys), ("orphans", audits.orphans),
+                     ("check_age", audits.check_age), ("not_null", audits.not_null)):
+        q[f"audit_{name}"] = _audit(fn)
+        q[f"audit_{name}_planted"] = _planted_audit(fn)
+    q["stg_rejects"] = rejects
+    for table in SEGMENTED:
+        q[f"{QUERY_NAMES[table]}_segmented_second_load"] = _segmented_query(table)
+    q["group_conversion_segmented"] = lambda spark, sf_dir: marts.group_conversion(
+        SegmentedVault(spark, loaded(spark, sf_dir, "segmented").vault_root, SEGMENTS).table)
     return q

@@ -61,6 +61,14 @@ STAGING_DATE_COLUMN: dict[str, str | None] = {
     "group_log": "event_datetime",
 }
 
+# Column each staging table is sorted on in its files.
+STAGING_SORT: dict[str, str] = {
+    "users": "id",
+    "groups": "id",
+    "dialogs": "message_id",
+    "group_log": "event_datetime",
+}
+
 # Primary keys of the staging tables (group_log has none).
 STAGING_KEYS: dict[str, str | None] = {
     "users": "id",

@@ -22,7 +22,7 @@ from pyspark.sql.types import BooleanType, DateType, StringType, StructField, St
 from vaultline.functions.calendar import calendar_bucket
 from vaultline.functions.text import truncate_utf8_bytes
 from vaultline.operators.store import observed
-from vaultline.schemas import BYTE_LIMITS, STAGING, STAGING_DATE_COLUMN
+from vaultline.schemas import BYTE_LIMITS, STAGING, STAGING_DATE_COLUMN, STAGING_SORT
 
 REJECTED_LINE = "_rejected_line"
 REJECT_REASON = "reject_reason"
@@ -138,6 +138,7 @@ def refresh_staging(parsed: DataFrame, table: str, staging_root: str, as_of: str
     )
     (
         out.hint("rebalance", *partitions)
+        .sortWithinPartitions(*partitions, STAGING_SORT[table])  # row groups then hold ranges a reader can skip
         .write.mode("overwrite")
         .partitionBy(*partitions)
         .parquet(f"{staging_root.rstrip('/')}/{table}")
