@@ -11,8 +11,11 @@ arguments, so a failed lookup can never masquerade as a valid key.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DataType, LongType
 
 # Separator between hashed parts and number of hex digits kept.
 KEY_SEPARATOR = "|"
@@ -54,3 +57,41 @@ def hash_key_sql(*exprs: str) -> str:
         f"CAST('0x' || substr(md5(concat_ws('{KEY_SEPARATOR}', {parts})), 1, {KEY_HEX_DIGITS}) "
         "AS BIGINT)"
     )
+
+
+def wide_key(*cols: str | Column, of_keys: bool = False) -> Column:
+    """The whole MD5 as 16 bytes: 128 bits, enough for any number of members.
+
+    The text hashed is that of ``hash_key``; ``of_keys`` hashes wide keys, as their hex digits.
+    """
+    if not cols:
+        raise ValueError("wide_key needs at least one column")
+    parts: list[Column] = []
+    for c in cols:
+        if parts:
+            parts.append(F.lit(KEY_SEPARATOR))
+        value = F.col(c) if isinstance(c, str) else c
+        parts.append(F.lower(F.hex(value)) if of_keys else value.cast("string"))
+    return F.unhex(F.md5(F.concat(*parts)))
+
+
+@dataclass(frozen=True)
+class KeyKind:
+    """How a vault makes its surrogate keys: 60 bits in a ``bigint``, or 128 bits in 16 bytes."""
+
+    wide: bool = False
+
+    @property
+    def type(self) -> DataType:
+        return BinaryType() if self.wide else LongType()
+
+    def member(self, *cols: str | Column) -> Column:
+        """Key of a hub member from its business key."""
+        return wide_key(*cols) if self.wide else hash_key(*cols)
+
+    def pair(self, *cols: str | Column) -> Column:
+        """Key of a link from its members' keys."""
+        return wide_key(*cols, of_keys=True) if self.wide else hash_key(*cols)
+
+
+NARROW, WIDE = KeyKind(False), KeyKind(True)

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from vaultline.functions.keys import hash_key
+from vaultline.functions.keys import NARROW, KeyKind
 from vaultline.operators.anti_join import keep_new
 from vaultline.operators.store import Batch
 
@@ -84,7 +84,7 @@ def _observed(df: DataFrame, bad: Column, track: bool) -> tuple[DataFrame, Obser
 
 
 def load_hub(spec: HubSpec, source: DataFrame, existing: DataFrame, batch: Batch,
-             track: bool = False) -> LoadResult:
+             track: bool = False, keys: KeyKind = NARROW) -> LoadResult:
     bk = F.col(spec.business_key)
     counted, obs = _observed(source, bk.isNull(), track)
     # dedupe first, hash after: fewer rows to hash, and the hashing runs after
@@ -100,7 +100,7 @@ def load_hub(spec: HubSpec, source: DataFrame, existing: DataFrame, batch: Batch
     # on either side of the check (the history is only scanned for its ids).
     kept = keep_new(deduped, existing, [spec.key_name])
     new = kept.select(
-        hash_key(spec.key_name).alias(spec.key),
+        keys.member(spec.key_name).alias(spec.key),
         spec.key_name,
         *spec.attributes,
         *batch.load_columns(),
@@ -112,7 +112,7 @@ def load_hub(spec: HubSpec, source: DataFrame, existing: DataFrame, batch: Batch
 
 
 def resolve(df: DataFrame, lookups: tuple[Lookup, ...], hubs: dict[str, HubSpec],
-            hub_tables) -> tuple[DataFrame, Column, Column]:
+            hub_tables, keys: KeyKind = NARROW) -> tuple[DataFrame, Column, Column]:
     """Add the hub key of every lookup; return (frame, all-resolved flag, reason).
 
     A derived lookup hashes the value; any other lookup is a left join with the
@@ -127,7 +127,7 @@ def resolve(df: DataFrame, lookups: tuple[Lookup, ...], hubs: dict[str, HubSpec]
         spec = hubs[lk.hub]
         value = F.col(lk.column)
         if lk.derived:
-            df = df.withColumn(spec.key, hash_key(value))
+            df = df.withColumn(spec.key, keys.member(value))
             reasons.append(F.when(value.isNull(), F.lit(f"NULL {lk.column}")))
             ok = ok & F.col(spec.key).isNotNull()
             continue
@@ -145,7 +145,7 @@ def resolve(df: DataFrame, lookups: tuple[Lookup, ...], hubs: dict[str, HubSpec]
 
 
 def load_link(spec: LinkSpec, source: DataFrame, existing: DataFrame, batch: Batch,
-              hubs: dict[str, HubSpec], hub_tables, track: bool = False) -> LoadResult:
+              hubs: dict[str, HubSpec], hub_tables, track: bool = False, keys: KeyKind = NARROW) -> LoadResult:
     cols = [lk.column for lk in spec.lookups]
     staged = source.select(*cols)
     for lk in spec.lookups:
@@ -156,7 +156,7 @@ def load_link(spec: LinkSpec, source: DataFrame, existing: DataFrame, batch: Bat
         # the lookups.  Rows with a derived member carry a key of their own
         # table, so there is nothing to gain there.
         staged = staged.distinct()
-    looked_up, ok, reason = resolve(staged, spec.lookups, hubs, hub_tables)
+    looked_up, ok, reason = resolve(staged, spec.lookups, hubs, hub_tables, keys)
     # One row per combination of referenced members.  The shuffle is asked for
     # by all member columns: left to itself the aggregate would keep the
     # lookup's partitioning by one member, which no longer lets a hot one split.
@@ -168,7 +168,7 @@ def load_link(spec: LinkSpec, source: DataFrame, existing: DataFrame, batch: Bat
     members = counted.where(ok).select(*key_cols)
     kept = keep_new(members, existing, key_cols)
     new = kept.select(
-        hash_key(*spec.hash_order).alias(spec.key), *key_cols, *batch.load_columns()
+        keys.pair(*spec.hash_order).alias(spec.key), *key_cols, *batch.load_columns()
     )
     bad = quarantine_rows(resolved.where(~ok), spec.table, reason, cols)
     return LoadResult(new, bad, obs)

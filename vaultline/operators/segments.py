@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from vaultline.functions.calendar import calendar_bucket
+from vaultline.functions.keys import NARROW, KeyKind
 from vaultline.operators.store import BATCH_ID, Batch, _empty, observed, path_exists, schema_of
 
 # The columns each table's "already loaded" check compares: its segmentation.
@@ -112,6 +113,7 @@ class SegmentedVault:
     root: str
     segments: int = 64  # hash segments per table; fixed for the life of a vault
     prune: bool = True
+    keys: KeyKind = NARROW  # fixed for the life of a vault
     materialized = True
     _committed: list[Part] | None = field(default=None, repr=False)
     _pending: list[Part] = field(default_factory=list, repr=False)
@@ -166,7 +168,7 @@ class SegmentedVault:
         return f"{self.root.rstrip('/')}/{name}"
 
     def _schema(self, name: str) -> StructType:
-        return StructType([*schema_of(name).fields, StructField(BATCH_ID, LongType(), True)])
+        return StructType([*schema_of(name, self.keys).fields, StructField(BATCH_ID, LongType(), True)])
 
     def visible(self, name: str) -> list[Part]:
         """The parts this instance reads: committed ones, and its own load's in place of that batch's."""
@@ -199,7 +201,7 @@ class SegmentedVault:
 
     def segmented(self, name: str, parts: list[Part], batch: Batch | None = None) -> DataFrame:
         """Rows of ``parts``, without those of ``batch``, read as hash segments: a join on them needs no exchange."""
-        fields = schema_of(name).fieldNames()
+        fields = schema_of(name, self.keys).fieldNames()
         without = batch.batch_id if batch else None
         parts = [p for p in parts if set(p.batch_ids) - {*p.masked, without}]
         if not parts or name not in CHECK_KEYS:
@@ -215,10 +217,10 @@ class SegmentedVault:
         return self._unmasked(df, parts, without).select(*fields)
 
     def empty(self, name: str) -> DataFrame:
-        return _empty(self.spark, schema_of(name))
+        return _empty(self.spark, schema_of(name, self.keys))
 
     def table(self, name: str) -> DataFrame:
-        return self._plain(name, self.visible(name)).select(*schema_of(name).fieldNames())
+        return self._plain(name, self.visible(name)).select(*schema_of(name, self.keys).fieldNames())
 
     def existing(self, name: str, batch: Batch) -> History:
         return History(self, name, [p for p in self.visible(name) if set(p.batch_ids) - {*p.masked, batch.batch_id}], batch)
@@ -226,7 +228,7 @@ class SegmentedVault:
     def batch_rows(self, name: str, batch: Batch) -> DataFrame:
         parts = [p for p in self.visible(name) if batch.batch_id in p.batch_ids]
         return (self._plain(name, parts).where(F.col(BATCH_ID) == batch.batch_id)
-                .select(*schema_of(name).fieldNames()))
+                .select(*schema_of(name, self.keys).fieldNames()))
 
     # -- pruning ----------------------------------------------------------------------------
 
@@ -238,7 +240,7 @@ class SegmentedVault:
         low, high = keys.agg(F.min(check[0]), F.max(check[0])).first()
         if low is None:
             return []
-        near = [p for p in parts if p.low is None or (p.low <= high and p.high >= low)]
+        near = [p for p in parts if p.low is None or (p.low <= high and p.high >= low)]  # wide keys: all
         told = [p for p in near if p.words]
         if not told:
             return near
@@ -271,7 +273,7 @@ class SegmentedVault:
         """Rows (with batch_id) as one part, segmented; returns their count and the range of the first check key."""
         keys, target, obs = CHECK_KEYS.get(name), f"{self._path(name)}/part={part}", Observation()
         measures = [F.count(F.lit(1)).alias("rows")]
-        if keys:
+        if keys and isinstance(rows.schema[keys[0]].dataType, LongType):  # wide keys have no range worth keeping
             measures += [F.min(keys[0]).alias("low"), F.max(keys[0]).alias("high")]
         out = rows.observe(obs, *measures)
         if keys:
@@ -291,7 +293,7 @@ class SegmentedVault:
     def append(self, name: str, rows: DataFrame, batch: Batch) -> int:
         """Write the batch's rows as a part that only this instance sees until ``commit``."""
         part = f"b{batch.batch_id}-{uuid.uuid4().hex[:12]}"
-        out = rows.select(*schema_of(name).fieldNames(), F.lit(batch.batch_id).cast("long").alias(BATCH_ID))
+        out = rows.select(*schema_of(name, self.keys).fieldNames(), F.lit(batch.batch_id).cast("long").alias(BATCH_ID))
         n, low, high = self._write(name, out, part)
         words = self._write_filter(name, part, n) if self.prune and n and name in CHECK_KEYS else 0
         made = Part(name, part, (batch.batch_id,), (), date.fromisoformat(batch.load_dt[:10]), n, low, high, words)

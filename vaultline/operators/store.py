@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
+from vaultline.functions.keys import NARROW, KeyKind
 from vaultline.schemas import VAULT, VAULT_SEGMENT
 
 BATCH_ID = "batch_id"
@@ -59,10 +60,11 @@ def observed(obs: Observation | None, name: str) -> int | None:
         return None
 
 
-def schema_of(name: str) -> StructType:
-    """Schema of a vault table, or of a quarantine table ``q_<table>``."""
+def schema_of(name: str, keys: KeyKind = NARROW) -> StructType:
+    """Schema of a vault table, or of a quarantine table ``q_<table>``; surrogate keys are columns ``hk_*``."""
     if name in VAULT:
-        return VAULT[name]
+        return StructType([StructField(f.name, keys.type, f.nullable) if f.name.startswith("hk_") else f
+                           for f in VAULT[name].fields])
     if name.startswith("q_") and name[2:] in VAULT:
         return QUARANTINE
     raise KeyError(name)
@@ -90,6 +92,7 @@ class MemoryVault:
 
     spark: SparkSession
     parts: dict[str, list[tuple[int, DataFrame]]] = field(default_factory=dict)
+    keys: KeyKind = NARROW
     materialized = False  # appends only record plans
     _empties: dict = field(default_factory=dict, repr=False)
 
@@ -113,12 +116,12 @@ class MemoryVault:
     def empty(self, name: str) -> DataFrame:
         key = f"empty:{name}"
         if key not in self._empties:
-            self._empties[key] = _empty(self.spark, schema_of(name))
+            self._empties[key] = _empty(self.spark, schema_of(name, self.keys))
         return self._empties[key]
 
     def append(self, name: str, rows: DataFrame, batch: Batch) -> int | None:
         kept = [(b, df) for b, df in self.parts.get(name, []) if b != batch.batch_id]
-        self.parts[name] = kept + [(batch.batch_id, rows.select(*schema_of(name).fieldNames()))]
+        self.parts[name] = kept + [(batch.batch_id, rows.select(*schema_of(name, self.keys).fieldNames()))]
         return None
 
 
@@ -139,11 +142,12 @@ class ParquetVault:
     # Keep each table's file listing until this instance appends to it.  Only
     # safe while no other writer touches the vault (one run, a finished vault).
     cache_reads: bool = False
+    keys: KeyKind = NARROW  # fixed for the life of a vault
     materialized = True  # every append is a write job
     _frames: dict = field(default_factory=dict, repr=False)
 
     def empty(self, name: str) -> DataFrame:
-        return _empty(self.spark, schema_of(name))
+        return _empty(self.spark, schema_of(name, self.keys))
 
     def _path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -153,7 +157,7 @@ class ParquetVault:
         cached = self._frames.get(name)
         if cached is not None:
             return cached
-        schema = StructType(list(schema_of(name).fields) + [StructField(BATCH_ID, LongType(), True)])
+        schema = StructType(list(schema_of(name, self.keys).fields) + [StructField(BATCH_ID, LongType(), True)])
         if not path_exists(self.spark, self._path(name)):
             return _empty(self.spark, schema)
         df = self.spark.read.schema(schema).parquet(self._path(name))
@@ -162,15 +166,15 @@ class ParquetVault:
         return df
 
     def table(self, name: str) -> DataFrame:
-        return self._all(name).select(*schema_of(name).fieldNames())
+        return self._all(name).select(*schema_of(name, self.keys).fieldNames())
 
     def existing(self, name: str, batch: Batch) -> DataFrame:
         df = self._all(name).where(F.col(BATCH_ID) != F.lit(batch.batch_id))
-        return df.select(*schema_of(name).fieldNames())
+        return df.select(*schema_of(name, self.keys).fieldNames())
 
     def batch_rows(self, name: str, batch: Batch) -> DataFrame:
         df = self._all(name).where(F.col(BATCH_ID) == F.lit(batch.batch_id))
-        return df.select(*schema_of(name).fieldNames())
+        return df.select(*schema_of(name, self.keys).fieldNames())
 
     def clear(self, name: str, batch: Batch) -> int:
         """Make the batch's part of ``name`` empty (a previous attempt may have written it)."""
@@ -181,7 +185,7 @@ class ParquetVault:
     def append(self, name: str, rows: DataFrame, batch: Batch) -> int:
         """Write the batch's rows (replacing a previous attempt) and return their count."""
         obs = Observation()
-        out = rows.select(*schema_of(name).fieldNames()).observe(obs, F.count(F.lit(1)).alias("rows"))
+        out = rows.select(*schema_of(name, self.keys).fieldNames()).observe(obs, F.count(F.lit(1)).alias("rows"))
         segment = VAULT_SEGMENT.get(name)
         if self.files_per_batch:
             out = (out.repartition(self.files_per_batch, segment) if segment
@@ -197,5 +201,5 @@ class ParquetVault:
         self._frames.pop(name, None)
         n = observed(obs, "rows")
         if n is None:  # the written files' row counts live in their footers
-            n = self.spark.read.schema(schema_of(name)).parquet(target).count()
+            n = self.spark.read.schema(schema_of(name, self.keys)).parquet(target).count()
         return n

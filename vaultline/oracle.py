@@ -19,6 +19,7 @@ from vaultline.plans.queries import (
     SECOND_LOAD_CUTOFF,
     SEGMENTED,
     TRUNCATE_BYTES,
+    WIDE_TABLES,
 )
 
 STAGING_SQL = """
@@ -336,6 +337,14 @@ def oracle_sql() -> dict[str, str]:
     for name in ("single_plan", "from_csv", "segmented"):
         q[f"group_conversion_{name}"] = q["group_conversion"]
     q["stg_rejects"] = base + REJECTS_SQL
+    wide = lambda statement: re.sub(  # noqa: E731  the whole digest in place of its first 60 bits
+        r"CAST\('0x' \|\| left\(md5\((.*?)\), 15\) AS BIGINT\)", r"md5(\1)", statement)
+    for table in WIDE_TABLES:
+        statement = first + f"SELECT * FROM b1_{table}"
+        while wide(statement) != statement:
+            statement = wide(statement)
+        q[f"{QUERY_NAMES[table]}_wide"] = statement
+    q["group_conversion_wide"] = wide(q["group_conversion"])
     for table in SEGMENTED:
         q[f"{QUERY_NAMES[table]}_segmented_second_load"] = second + f"SELECT * FROM e2_{table}"
     for t in ("users", "groups", "dialogs", "group_log"):

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultline.functions.keys import NARROW
 from vaultline.operators.loaders import load_hub, load_link, load_satellite, quarantine_rows
 from vaultline.operators.segments import SegmentedVault
 from vaultline.operators.store import Batch, observed
@@ -67,6 +68,7 @@ def load_vault(
     report = VaultLoadReport(batch)
 
     track = getattr(store, "materialized", False)
+    keys = getattr(store, "keys", NARROW)
 
     def save(name: str, rows: DataFrame, quarantine: DataFrame | None = None,
              quarantined=None) -> None:
@@ -89,17 +91,17 @@ def load_vault(
         if name in model.HUBS:
             spec = model.HUBS[name]
             res = load_hub(spec, staging[spec.source], store.existing(name, batch), batch,
-                           track=track)
+                           track=track, keys=keys)
             save(name, res.rows, res.quarantine, res.quarantined)
         elif name in model.LINKS:
             spec = model.LINKS[name]
             res = load_link(spec, staging[spec.source], store.existing(name, batch), batch,
-                            model.HUBS, store.table, track=track)
+                            model.HUBS, store.table, track=track, keys=keys)
             save(name, res.rows, res.quarantine, res.quarantined)
         elif name in model.HUB_SATELLITES:
             spec = model.HUB_SATELLITES[name]
             hub = model.HUBS[spec.hub]
-            rows = model.hub_satellite_rows(spec, staging[hub.source], load_cols)
+            rows = model.hub_satellite_rows(spec, staging[hub.source], load_cols, keys)
             save(name, load_satellite(rows, store.existing(name, batch), [hub.key]))
         elif name == "s_admins":
             # links without a row come first: only theirs are joined with the hub
@@ -111,7 +113,7 @@ def load_vault(
                 rows = model.dialog_rows_from_hub(store.table("h_dialogs"), staging["dialogs"], load_cols)
                 save(name, load_satellite(rows, store.existing(name, batch), None))
             else:
-                rows = model.dialog_rows_from_staging(staging["dialogs"], load_cols)
+                rows = model.dialog_rows_from_staging(staging["dialogs"], load_cols, keys)
                 save(name, load_satellite(rows, store.existing(name, batch), ["hk_message_id"]))
         elif name == "s_auth_history":
             if track and report.quarantined.get("l_user_group_activity") == 0:
@@ -122,7 +124,7 @@ def load_vault(
                 )
             else:
                 unresolved = _unresolved_pairs(store, batch)
-            rows, orphans = model.auth_rows(staging["group_log"], unresolved, load_cols)
+            rows, orphans = model.auth_rows(staging["group_log"], unresolved, load_cols, keys)
             existing = store.existing(name, batch)
             key = "hk_l_user_group_activity"
             if mode == "reference":

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.functions.keys import hash_key
+from vaultline.functions.keys import NARROW, KeyKind
 from vaultline.operators.loaders import HubSpec, LinkSpec, Lookup
 
 HUBS: dict[str, HubSpec] = {
@@ -107,7 +107,8 @@ def load_closure(targets) -> tuple[str, ...]:
     return tuple(t for t in LOAD_ORDER if t in needed)
 
 
-def hub_satellite_rows(spec: HubSatelliteSpec, staging: DataFrame, load_columns) -> DataFrame:
+def hub_satellite_rows(spec: HubSatelliteSpec, staging: DataFrame, load_columns,
+                       keys: KeyKind = NARROW) -> DataFrame:
     """Hub key (the hash of the staged business key: the hub was just loaded
     from this table) with the attributes."""
     hub = HUBS[spec.hub]
@@ -116,7 +117,7 @@ def hub_satellite_rows(spec: HubSatelliteSpec, staging: DataFrame, load_columns)
         staging.where(bk.isNotNull())
         .select(bk.alias("__bk"), *spec.attributes)
         .distinct()
-        .select(hash_key("__bk").alias(hub.key), *spec.attributes, *load_columns)
+        .select(keys.member("__bk").alias(hub.key), *spec.attributes, *load_columns)
     )
 
 
@@ -131,12 +132,12 @@ def admin_rows(l_admins: DataFrame, h_groups: DataFrame, load_columns) -> DataFr
     )
 
 
-def dialog_rows_from_staging(dialogs: DataFrame, load_columns) -> DataFrame:
+def dialog_rows_from_staging(dialogs: DataFrame, load_columns, keys: KeyKind = NARROW) -> DataFrame:
     return (
         dialogs.where(F.col("message_id").isNotNull())
         .select("message_id", "message_from", "message_to", "message")
         .distinct()
-        .select(hash_key("message_id").alias("hk_message_id"),
+        .select(keys.member("message_id").alias("hk_message_id"),
                 "message_from", "message_to", "message", *load_columns)
     )
 
@@ -151,7 +152,8 @@ def dialog_rows_from_hub(h_dialogs: DataFrame, dialogs: DataFrame, load_columns)
     )
 
 
-def auth_rows(group_log: DataFrame, unresolved: DataFrame, load_columns) -> tuple[DataFrame, DataFrame]:
+def auth_rows(group_log: DataFrame, unresolved: DataFrame, load_columns,
+              keys: KeyKind = NARROW) -> tuple[DataFrame, DataFrame]:
     """Add/leave events keyed by their activity link; events of unresolved pairs apart.
 
     The link key is computed from the member keys (a link exists for every
@@ -168,7 +170,7 @@ def auth_rows(group_log: DataFrame, unresolved: DataFrame, load_columns) -> tupl
         placed.select("user_id", "group_id", "user_id_from", "event", "event_datetime")
         .distinct()
         .select(
-            hash_key(hash_key("user_id"), hash_key("group_id")).alias("hk_l_user_group_activity"),
+            keys.pair(keys.member("user_id"), keys.member("group_id")).alias("hk_l_user_group_activity"),
             "user_id_from", "event", F.col("event_datetime").alias("event_dt"), *load_columns,
         )
     )

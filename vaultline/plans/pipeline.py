@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaultline.functions.keys import NARROW, KeyKind
 from vaultline.operators.segments import SegmentedVault
 from vaultline.operators.store import Batch, ParquetVault
 from vaultline.plans import model
@@ -72,10 +73,12 @@ def run_batch(
     dialect: str = "default",
     tables: tuple[str, ...] = model.LOAD_ORDER,
     segments: int | None = None,
+    keys: KeyKind = NARROW,
 ) -> RunReport:
     """Stage the four inputs (landed CSV files, or typed frames) and load the vault.
 
     ``segments``: the vault is a ``SegmentedVault`` with so many hash segments.
+    ``keys``: the vault's surrogate keys, ``NARROW`` (60 bits) or ``WIDE`` (128 bits).
     """
     if (csv_paths is None) == (frames is None):
         raise ValueError("give exactly one of csv_paths or frames")
@@ -92,8 +95,8 @@ def run_batch(
         for future in [pool.submit(stage, name) for name in STAGING]:
             future.result()
     staging = {name: read_staging(spark, staging_root, name) for name in STAGING}
-    store = (SegmentedVault(spark, vault_root, segments) if segments
-             else ParquetVault(spark, vault_root, cache_reads=True))
+    store = (SegmentedVault(spark, vault_root, segments, keys=keys) if segments
+             else ParquetVault(spark, vault_root, cache_reads=True, keys=keys))
     report.vault = load_vault(staging, store, batch, mode=mode, strict=strict, tables=tables)
     write_report(spark, report, vault_root)
     return report

@@ -16,7 +16,8 @@ staged row dated earlier, less every ``LATE_GROUPS``-th group and its rows) as
 batch 1 and then the whole source as batch 2, and ``*_second_load`` queries
 return what batch 2 appends (``reference`` repeats this with the reference
 rerun behaviour); ``segmented`` does it in a segmented vault, folds the day and
-loads batch 2 once more over the folded history.
+loads batch 2 once more over the folded history; ``wide`` is ``first`` with
+128-bit keys.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.functions.calendar import calendar_bucket
+from vaultline.functions.keys import WIDE
 from vaultline.functions.text import truncate_utf8_bytes
 from vaultline.operators import audits
 from vaultline.operators.segments import SegmentedVault
@@ -198,6 +200,8 @@ def _build(spark: SparkSession, sf_dir: str, scenario: str, out: Loaded) -> None
         vault = SegmentedVault(spark, out.vault_root, SEGMENTS)
         vault.fold("2024-06-08")
         load_vault(out.staging(), vault, BATCH_2)
+    elif scenario == "wide":
+        run_batch(spark, BATCH_1, staging_root=out.staging_root, vault_root=out.vault_root, frames=source, keys=WIDE)
     elif scenario == "first":
         run_batch(spark, BATCH_1, staging_root=out.staging_root, vault_root=out.vault_root,
                   frames=source, mode=mode)
@@ -339,6 +343,23 @@ def _segmented_query(table: str) -> Query:
         spark, loaded(spark, sf_dir, "segmented").vault_root, SEGMENTS).batch_rows(table, BATCH_2)
 
 
+def _hex_keys(df: DataFrame) -> DataFrame:
+    """Wide keys as hex digits."""
+    return df.withColumns({c: F.lower(F.hex(c)) for c in df.columns if c.startswith("hk_")})
+
+
+# Tables also registered with wide keys.
+WIDE_TABLES = ("h_dialogs", "l_user_group_activity", "s_dialog_info", "s_auth_history")
+
+
+def _wide(spark: SparkSession, sf_dir: str) -> ParquetVault:
+    return ParquetVault(spark, loaded(spark, sf_dir, "wide").vault_root, cache_reads=True, keys=WIDE)
+
+
+def _wide_query(table: str) -> Query:
+    return lambda spark, sf_dir: _hex_keys(_wide(spark, sf_dir).table(table))
+
+
 QUERY_NAMES = {
     "h_users": "hub_users",
     "h_groups": "hub_groups",
@@ -397,6 +418,9 @@ def all_queries() -> dict[str, Query]:
     q["stg_rejects"] = rejects
     for table in SEGMENTED:
         q[f"{QUERY_NAMES[table]}_segmented_second_load"] = _segmented_query(table)
+    for table in WIDE_TABLES:
+        q[f"{QUERY_NAMES[table]}_wide"] = _wide_query(table)
+    q["group_conversion_wide"] = lambda spark, sf_dir: _hex_keys(marts.group_conversion(_wide(spark, sf_dir).table))
     q["group_conversion_segmented"] = lambda spark, sf_dir: marts.group_conversion(
         SegmentedVault(spark, loaded(spark, sf_dir, "segmented").vault_root, SEGMENTS).table)
     return q
