@@ -12,12 +12,18 @@ smoothed by a Gaussian over its neighbours; lines above a threshold from the
 ratios' spread are content.  Regions compete by their content: where articles
 and main elements together have at least as much as the body outside them, all
 of them with content are selected, else the body is; of the other side, regions
-with at least ``_SHARE`` of the largest one's content are selected too.  All
-lines of selected regions that are not boilerplate are the main text, in page
-order: a short paragraph between long ones stays.
+with at least ``_SHARE`` of the largest one's content are selected too.  Outside
+articles the ratio also selects inside a region: neighbouring lines that are
+links for the most part make a block, and a block whose ratio is under the
+threshold, a menu without a name, goes.  All other lines of selected regions
+that are not boilerplate are the main text, in page order: a short paragraph
+between long ones stays.  ``menu`` and ``comments`` as a part of a longer class
+name or id mark boilerplate, too, where the element holds no article.
 
-Defined results: a null or empty page has an empty text; repeated rows give repeated results; an empty table gives an empty
-result; columns other than those named are not read.
+Defined results: a null or empty page has an empty text; pages of any length are
+read whole; regions of equal content are all selected; repeated rows give
+repeated results; an empty table gives an empty result; columns other than
+those named are not read.
 """
 
 from __future__ import annotations
@@ -50,7 +56,11 @@ BOILERPLATE_NAMES = frozenset(
 COMMENT_NAMES = frozenset("comment comments comment-list comment-section comments-section comments-area comment-body "
                           "comment-form comment-respond disqus disqus-thread replies".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
+# Parts of longer names that mark boilerplate, and parts before them that take that back.
+MENU_PARTS, COMMENT_PARTS = frozenset({"menu"}), frozenset({"comment", "comments"})
+WITHOUT = frozenset({"no", "without", "hide", "has", "with"})
 _SHARE = 0.2
+_LINKED = 0.5  # share of a line's characters in links from which it counts as links
 # Fixed values, from HTML's rules: start tags that close an open p or the elements of their own kind, and what bounds that.
 CELLS = frozenset({"td", "th", "caption"})
 ROWS = CELLS | {"tr"}
@@ -67,13 +77,16 @@ PAGE_PARTS = REGIONS | ASIDES | {"form", "body", "html", "section"}
 
 
 class LineParser(HTMLParser):
-    """Collects lines as (text, tags, region, mark) and marks as [mark around it, kind, holds an article, holds a main]."""
+    """Collects lines as (text, tags, region, mark, linked) and marks as [mark around it, kind, holds an article, holds a main].
+
+    ``linked``: whether most of the line is links and it lies in no article.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int]] = []
+        self.lines: list[tuple[str, int, int, int, bool]] = []
         self.text: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = 0
         self.region = self.region_count = 0
         self.mark = -1  # the innermost open element that may be boilerplate
         self.marks: list[list] = []
@@ -84,8 +97,9 @@ class LineParser(HTMLParser):
     def end_line(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            self.lines.append((text, self.tags, self.region, self.mark))
-        self.text, self.tags = [], 0
+            links = self.linked > _LINKED * len(text) and not self.places.get("article")
+            self.lines.append((text, self.tags, self.region, self.mark, links))
+        self.text, self.tags, self.linked = [], 0, 0
 
     def last(self, tags) -> int:
         return max((p[-1] for t in tags if (p := self.places.get(t))), default=-1)
@@ -119,10 +133,12 @@ class LineParser(HTMLParser):
         if tag in ("html", "body") or tag in REGIONS:
             return ""
         words = {w.lower().replace("_", "-") for a in ("class", "id") for w in (names.get(a) or "").split()}
-        if words & COMMENT_NAMES:
+        parts = {b for w in words for a, b in zip(["", *w.split("-")], w.split("-")) if a not in WITHOUT}
+        if words & COMMENT_NAMES or parts & COMMENT_PARTS:
             return "comments"
         role = (names.get("role") or "").lower()
-        return "loose" if tag == "form" or words & BOILERPLATE_NAMES or role in BOILERPLATE_ROLES else ""
+        loose = words & BOILERPLATE_NAMES or parts & MENU_PARTS
+        return "loose" if tag == "form" or loose or role in BOILERPLATE_ROLES else ""
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag in BLOCKS or tag in BOILERPLATE:
@@ -183,6 +199,8 @@ class LineParser(HTMLParser):
             self.close_from(len(self.open) - 1)
         if at not in ("script", "style"):
             self.text.append(data)
+            if self.places.get("a"):
+                self.linked += len(data.strip())
 
     def skipped(self) -> list[bool]:
         """Per line whether it is boilerplate."""
@@ -191,10 +209,10 @@ class LineParser(HTMLParser):
             stays = kind != "inert" and (main or (kind == "loose" and article))
             dead.append(not stays)
         sizes = [0] * len(self.marks)
-        for text, _, _, mark in self.lines:
+        for text, _, _, mark, _ in self.lines:
             if mark >= 0:
                 sizes[mark] += len(text)
-        total = sum(len(text) for text, _, _, mark in self.lines if mark < 0)
+        total = sum(len(text) for text, _, _, mark, _ in self.lines if mark < 0)
         for m in range(len(self.marks) - 1, -1, -1):
             around, kind = self.marks[m][:2]
             if kind == "inert":
@@ -211,12 +229,12 @@ class LineParser(HTMLParser):
             return out
 
         within = inside(dead)
-        named = sum(len(text) for text, _, region, mark in self.lines if region and (mark < 0 or not within[mark]))
+        named = sum(len(text) for text, _, region, mark, _ in self.lines if region and (mark < 0 or not within[mark]))
         for m, (_, kind, _, _) in enumerate(self.marks):
             if dead[m] and kind in ("loose", "comments") and 2 * sizes[m] > total and 4 * named < sizes[m]:
                 dead[m] = False
         within = inside(dead)
-        return [mark >= 0 and within[mark] for *_, mark in self.lines]
+        return [mark >= 0 and within[mark] for *_, mark, _ in self.lines]
 
 
 def smooth(ratios: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndarray:
@@ -225,6 +243,20 @@ def smooth(ratios: np.ndarray, radius: int = 2, sigma: float = 1.0) -> np.ndarra
     return np.convolve(padded, kernel / kernel.sum(), mode="valid")
 
 
+def without_menus(lines: list[tuple], linked: list[bool], threshold: float) -> list[tuple]:
+    """``lines``, blocks of links whose ratio is under the threshold skipped."""
+    out, at = list(lines), 0
+    while at < len(lines):
+        end = at
+        while end < len(lines) and linked[end] and not lines[end][3] and lines[end][2] == lines[at][2]:
+            end += 1
+        chars, tags = sum(len(line[0]) for line in lines[at:end]), sum(line[1] for line in lines[at:end])
+        if chars / max(1, tags) < threshold:
+            out[at:end] = [(*line[:3], True) for line in lines[at:end]]
+        at = max(end, at + 1)
+    return out
+
+
 def main_text(html: str | None, spread: float = 0.5) -> str:
     if not html:
         return ""
@@ -236,7 +268,9 @@ def main_text(html: str | None, spread: float = 0.5) -> str:
     if not lines:
         return ""
     ratios = smooth(np.array([0.0 if skip else len(text) / max(1, tags) for text, tags, _, skip in lines]))
-    content = ratios >= min(spread * ratios.std(), ratios.max())
+    threshold = min(spread * ratios.std(), ratios.max())
+    content = ratios >= threshold
+    lines = without_menus(lines, [line[4] for line in parser.lines], threshold)
     weight: dict[int, float] = {}
     for (text, _, region, skip), inside in zip(lines, content):
         if not skip:

@@ -173,7 +173,7 @@ def find(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """doc_id, a count per base kind, base_sha256, spans and the scored findings of every row."""
+    """doc_id, a count per base kind, base_sha256, spans, scores (one per span, as context adjusted it) and findings."""
     found = find(docs, ["doc_id"])
 
     def digest(keep) -> Column:
@@ -186,4 +186,6 @@ def personal_data(docs: DataFrame) -> DataFrame:
     counts = [count(kind) for kind in BASE]
     return found.select("doc_id", *counts,
                         F.sha2(digest(lambda s: s["kind"].isin(*BASE)), 256).alias("base_sha256"),
-                        digest(lambda s: F.lit(True)).alias("spans"), "findings")
+                        digest(lambda s: F.lit(True)).alias("spans"),
+                        F.array_join(F.transform("findings", lambda s: s["score"].cast("string")), ",").alias("scores"),
+                        "findings")
