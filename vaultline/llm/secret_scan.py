@@ -5,10 +5,14 @@ runs.  Features: length, character classes and transitions between them,
 repetition and entropy, likelihood of letter pairs, dictionary coverage, path
 and URL marks, and the words next to the candidate.
 
+Words and letter pairs are counted over the whole texts of all rows; a word is
+a run of 2 to 40 letters.  The ``dictionary_words`` most frequent words of four
+letters or more are the dictionary, the ``letter_pairs`` most frequent pairs
+give the likelihood; these two bounded tables alone reach the driver.
+
 The forest is fitted on a bounded, balanced set of labelled findings
 (``labelled_findings``): secrets and look-alikes made by rule from a seed and
-set in sentences cut from the corpus's own words, of which at most
-``context_rows`` documents are read.  Judging covers every whole text.
+set in sentences of the dictionary's words.  Judging covers every whole text.
 
 Candidates have no upper length.  A value assigned inside another value is
 proposed as well, up to the next such assignment and up to the next ``&``.
@@ -27,13 +31,14 @@ import re
 import string
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import fresh, quoted
+from vaultline.llm.common import fresh, quoted, stored
 from vaultline.llm.trees import RandomForest
 
 MARK = "[SECRET]"
@@ -53,9 +58,45 @@ NAMES = re.compile(r"(?i)passw|pwd|secret|token|api[_-]?key|access[_-]?key|auth|
 DENIALS = re.compile(r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|todo|fake|redacted|test[_-]?only")
 _CONTEXT = 40
 _SYMBOLS = 64  # of base64: a longer value cannot have more entropy a character
-# Fixed value: parts of ordinary words for dictionary coverage.
-WORD_PARTS = re.compile(r"(?i)the|and|ing|tion|ent|for|with|that|this|from|test|name|user|file|path|data|value|string|list|page"
-                        r"|index|main|data|der|die|und|sch|ein|que|les|des|con|para|los|las|est|pass|word|change|example")
+_LETTERS = re.compile(r"[^\W\d_]+")
+_LEAST_WORD, _MOST_WORD = 4, 20  # letters of a dictionary word
+
+
+@dataclass(frozen=True)
+class Speech:
+    """What the corpus's words look like: its dictionary, and the log-likelihood of letter pairs."""
+
+    words: frozenset[str] = frozenset()
+    pairs: dict[str, float] = field(default_factory=dict)
+    unseen: float = -12.0
+
+    def covered(self, value: str) -> int:
+        """Characters of ``value`` inside dictionary words, the longest first."""
+        total = 0
+        for m in _LETTERS.finditer(value.lower()):
+            run, at = m.group(), 0
+            while at + _LEAST_WORD <= len(run):
+                size = next((n for n in range(min(_MOST_WORD, len(run) - at), _LEAST_WORD - 1, -1)
+                             if run[at:at + n] in self.words), 0)
+                total += size
+                at += size or 1
+        return total
+
+    def likelihood(self, value: str) -> float:
+        """Mean log-likelihood of the letter pairs of ``value``; that of an unseen pair where it has none."""
+        found = [self.pairs.get(run[i:i + 2], self.unseen) for run in _LETTERS.findall(value.lower())
+                 for i in range(len(run) - 1)]
+        return sum(found) / len(found) if found else self.unseen
+
+
+@dataclass(frozen=True)
+class Model:
+    forest: RandomForest
+    speech: Speech
+
+    def probability(self, found: list[tuple[str, int, int]]) -> list[float]:
+        x = [features(t, a, b, self.speech) for t, a, b in found]
+        return self.forest.probability(np.array(x)).tolist() if x else []
 
 
 def _private_keys(text: str) -> list[tuple[int, int]]:
@@ -95,7 +136,7 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     return [(a, b, found[a, b]) for a, b in sorted(found, key=lambda s: (s[0], -s[1]))]
 
 
-def features(text: str, start: int, end: int) -> list[float]:
+def features(text: str, start: int, end: int, speech: Speech = Speech()) -> list[float]:
     value = text[start:end]
     before, after = text[max(0, start - _CONTEXT):start], text[end:end + _CONTEXT]
     n = len(value)
@@ -104,13 +145,13 @@ def features(text: str, start: int, end: int) -> list[float]:
     counts = Counter(value)
     entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
     letters = sum(c in "lu" for c in classes)
-    covered = sum(len(m.group()) for m in WORD_PARTS.finditer(value))
     vowels = sum(c in "aeiouAEIOU" for c in value)
     hexadecimal = sum(c in string.hexdigits for c in value)
     return [
         n, moves / max(1, n - 1), entropy, entropy / max(1.0, math.log2(min(n, _SYMBOLS))),
         classes.count("d") / n, classes.count("u") / n, classes.count("s") / n, letters / n,
-        vowels / max(1, letters), hexadecimal / n, covered / n,
+        vowels / max(1, letters), hexadecimal / n, speech.covered(value) / n,
+        speech.likelihood(value),
         max(counts.values()) / n, sum(a == b for a, b in zip(value, value[1:])) / max(1, n - 1),
         value.count("/") + value.count("\\"), value.count("."), value.count("-") + value.count("_"),
         float("://" in before[-12:] + value), float("@" in value),
@@ -182,21 +223,34 @@ def labelled_findings(words: list[str], rows: int = 3000, seed: int = 5) -> list
     return out
 
 
-def fit(docs: DataFrame, context_rows: int = 500, rows: int = 3000) -> RandomForest:
-    """The forest, fitted on ``rows`` labelled findings set in words of at most ``context_rows`` documents."""
-    spoken = docs.where("text is not null").select(
-        F.substring("text", 1, 400).alias("t")).limit(context_rows).collect()
-    words = sorted({w for r in spoken for w in re.findall(r"[^\W\d_]{2,20}", r["t"])})
-    findings = labelled_findings(words, rows)
-    x = np.array([features(t, a, b) for t, a, b, _ in findings])
-    return RandomForest(x, np.array([f[3] for f in findings]))
+def learn_speech(docs: DataFrame, dictionary_words: int = 5000, letter_pairs: int = 4000) -> Speech:
+    """Dictionary and letter pairs, counted over the whole texts of all rows."""
+    words = F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")
+    counts = stored(docs.where("text is not null").select(words).where(F.length("word").between(2, 40))
+                    .groupBy("word").agg(F.count("*").alias("n")))
+    common = (counts.where(F.length("word").between(_LEAST_WORD, _MOST_WORD)).orderBy(F.desc("n"), "word")
+              .limit(dictionary_words).collect())
+    places = F.sequence(F.lit(1), F.length("word") - 1)
+    pair = F.explode(F.transform(places, lambda i: F.substr("word", i, F.lit(2)))).alias("pair")
+    pairs = (counts.select("n", pair).groupBy("pair").agg(F.sum("n").alias("n"))
+             .orderBy(F.desc("n"), "pair").limit(letter_pairs).collect())
+    total = sum(r["n"] for r in pairs) + len(pairs) + 1
+    return Speech(frozenset(r["word"] for r in common),
+                  {r["pair"]: math.log((r["n"] + 1) / total) for r in pairs}, math.log(1 / total))
+
+
+def fit(docs: DataFrame, rows: int = 3000, dictionary_words: int = 5000, letter_pairs: int = 4000) -> Model:
+    """The forest, fitted on ``rows`` labelled findings set in words of the dictionary, with the corpus's speech."""
+    speech = learn_speech(docs, dictionary_words, letter_pairs)
+    findings = labelled_findings(sorted(speech.words), rows)
+    x = np.array([features(t, a, b, speech) for t, a, b, _ in findings])
+    return Model(RandomForest(x, np.array([f[3] for f in findings])), speech)
 
 
-def judge(texts: list[str | None], forest: RandomForest, threshold: float = 0.5) -> list[list[tuple]]:
+def judge(texts: list[str | None], model: Model, threshold: float = 0.5) -> list[list[tuple]]:
     """Per text its candidates as (start, end, kind, score, is secret); overlapping secrets are one."""
     spans = [candidates(t) if t else [] for t in texts]
-    x = [features(t, a, b) for t, s in zip(texts, spans) for a, b, _ in s]
-    scores = iter(forest.probability(np.array(x)).tolist() if x else [])
+    scores = iter(model.probability([(t, a, b) for t, s in zip(texts, spans) for a, b, _ in s]))
     out = []
     for s in spans:
         judged, last = [], -1
@@ -214,16 +268,16 @@ def judge(texts: list[str | None], forest: RandomForest, threshold: float = 0.5)
     return out
 
 
-def scan(docs: DataFrame, forest: RandomForest | None = None, threshold: float = 0.5) -> DataFrame:
+def scan(docs: DataFrame, model: Model | None = None, threshold: float = 0.5) -> DataFrame:
     """doc_id, n_candidates, n_secrets, spans (``kind:start:end`` of secrets, comma-joined), max_score."""
-    forest = forest or fit(docs)
+    model = model or fit(docs)
     schema = docs.select("doc_id").schema
     for name, kind in (("n_candidates", "long"), ("n_secrets", "long"), ("spans", "string"), ("max_score", "double")):
         schema = schema.add(name, kind)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            judged = judge(list(batch["text"]), forest, threshold)
+            judged = judge(list(batch["text"]), model, threshold)
             out = batch[["doc_id"]].copy()
             out["n_candidates"] = [len(j) for j in judged]
             out["n_secrets"] = [sum(c[4] for c in j) for j in judged]
@@ -234,14 +288,14 @@ def scan(docs: DataFrame, forest: RandomForest | None = None, threshold: float =
     return docs.select("doc_id", "text").mapInPandas(run, schema)
 
 
-def redact(docs: DataFrame, forest: RandomForest | None = None, threshold: float = 0.5) -> DataFrame:
+def redact(docs: DataFrame, model: Model | None = None, threshold: float = 0.5) -> DataFrame:
     """``docs`` with every secret of ``text`` replaced by ``[SECRET]`` and ``n_chars`` made to fit."""
-    forest = forest or fit(docs)
+    model = model or fit(docs)
 
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             texts = []
-            for text, found in zip(batch, judge(list(batch), forest, threshold)):
+            for text, found in zip(batch, judge(list(batch), model, threshold)):
                 for start, end, _, _, secret in reversed(found):
                     if secret:
                         text = text[:start] + MARK + text[end:]
