@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vaultline.llm import (ann_forest, bpe, conversation_repair, exact_topk, html_extract, langid, mixing, piece_bpe,
                            pii, prefix_trie, secret_scan, simhash, url_filter)
 from vaultline.llm.common import table
+from vaultline.llm.statements import OP7_SQL, OP11_SQL, OP13_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,4 +77,5 @@ FROM c
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": OP4_SQL}
+    return {"op4_mixing": OP4_SQL, "op7_exact_topk": OP7_SQL, "op11_conversation_repair": OP11_SQL,
+            "op13_prefix_trie": OP13_SQL}
