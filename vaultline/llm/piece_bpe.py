@@ -9,7 +9,7 @@ over.  Characters that are no piece become the ids of their UTF-8 bytes.
 
 No piece of such a vocabulary runs from a letter into a following blank (this
 is checked on loading), so no merge crosses that border: the agenda works word
-by word, and a task keeps the ids of a bounded number of recent words.
+by word, and a worker keeps the ids of a bounded number of recent words.
 
 Work runs over Arrow batches.  Each batch is compared with the sentencepiece
 library, ids and decoded text, and a difference stops the job.
@@ -31,14 +31,17 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType
 
 BLANK = "▁"
-_CACHED_WORDS = 50_000  # words whose ids a task keeps, in each of two generations
+_CACHED_WORDS = 200_000  # words whose ids a worker keeps, in each of two generations
 _CACHED_CHARS = 48
+_SHORT = 64  # symbols up to which a list is a quicker agenda than a heap
+_NO_PIECE = 1 << 30  # rank of a pair that is no piece
 # Fixed values of the model file: field numbers and piece kinds.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -112,6 +115,7 @@ class PieceBpe:
                 self.surface.append(byte)
             else:
                 self.surface.append({CONTROL: "", UNKNOWN: _UNKNOWN_SURFACE}.get(kind, piece.replace(BLANK, " ")))
+        self.names = [str(i) for i in range(len(pieces))]
         self.controls = {i for i, (_, _, kind) in enumerate(pieces) if kind == CONTROL}
         self.words = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
         self._cache: dict[str, tuple[int, ...]] = {}
@@ -119,6 +123,24 @@ class PieceBpe:
 
     def _merge(self, word: str) -> tuple[int, ...]:
         """Ids of ``word`` by the agenda."""
+        return self._ids_of(self._merged_short(word) if len(word) <= _SHORT else self._merged_long(word))
+
+    def _merged_short(self, word: str) -> list[str]:
+        """Symbols after all merges; the agenda is a list of the pairs' ranks in order of place."""
+        symbols, rank = list(word), self.rank.get
+        agenda = [rank(a + b, _NO_PIECE) for a, b in zip(symbols, word[1:])]
+        while agenda and (best := min(agenda)) < _NO_PIECE:
+            at = agenda.index(best)  # the leftmost
+            joined = symbols[at] = symbols[at] + symbols.pop(at + 1)
+            del agenda[at]
+            if at:
+                agenda[at - 1] = rank(symbols[at - 1] + joined, _NO_PIECE)
+            if at < len(agenda):
+                agenda[at] = rank(joined + symbols[at + 1], _NO_PIECE)
+        return symbols
+
+    def _merged_long(self, word: str) -> list[str]:
+        """The same with the agenda as a heap."""
         rank, size = self.rank, len(word)
         symbols: list[str] = list(word)
         before, after = list(range(-1, size - 1)), list(range(1, size + 1))
@@ -146,15 +168,14 @@ class PieceBpe:
                 score = rank.get(symbols[leader] + joined)
                 if score is not None:
                     heapq.heappush(agenda, (score, leader, left, len(symbols[leader]) + length))
-        out: list[int] = []
-        for symbol in symbols:
-            if symbol:
-                known = self.ids.get(symbol)
-                if known is not None:
-                    out.append(known)
-                else:
-                    out.extend(self.byte_ids[b] for b in symbol.encode())
-        return tuple(out)
+        return [symbol for symbol in symbols if symbol]
+
+    def _ids_of(self, symbols: list[str]) -> tuple[int, ...]:
+        found = tuple(map(self.ids.get, symbols))
+        if None not in found:
+            return found
+        return tuple(i for symbol, known in zip(symbols, found)
+                     for i in ([known] if known is not None else [self.byte_ids[b] for b in symbol.encode()]))
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
@@ -216,6 +237,12 @@ def _text_of(data: bytearray) -> str:
         return "".join(out)
 
 
+@lru_cache(maxsize=1)
+def loaded(path: str) -> PieceBpe:
+    """The model of ``path``: one per worker, so that tasks share the words it has met."""
+    return PieceBpe(path)
+
+
 def default_model() -> str:
     import public_tokenizers
 
@@ -238,7 +265,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, keep_ids: bool =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
 
-        ours = PieceBpe(path)  # freed with the task
+        ours = loaded(path)
         theirs = sentencepiece.SentencePieceProcessor(model_file=path) if check else None
 
         def row(text: str, doc_id) -> tuple:
@@ -246,10 +273,11 @@ def encode_documents(docs: DataFrame, path: str | None = None, keep_ids: bool =
             decoded = ours.decode(ids)
             if theirs is not None and (theirs.encode(text) != ids or theirs.decode(ids) != decoded):
                 raise ValueError(f"document {doc_id} is encoded otherwise than by the library")
-            found = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+            found = (len(ids), hashlib.sha256(",".join([names[i] for i in ids]).encode()).hexdigest(),
                      hashlib.sha256(decoded.encode()).hexdigest())
             return found + (ids,) if keep_ids else found
 
+        names = ours.names
         kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32())]
         for batch in batches:
             rows = [row(t.as_py() or "", i) for t, i in zip(batch.column("text"), batch.column("doc_id"))]
