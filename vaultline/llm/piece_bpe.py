@@ -12,11 +12,12 @@ is checked on loading), so no merge crosses that border: the agenda works word
 by word, and a worker keeps the ids of a bounded number of recent words.
 
 Work runs over Arrow batches.  Each batch is compared with the sentencepiece
-library, ids and decoded text, and a difference stops the job.
+library: the ids of every word the worker has not met, and the decoding of
+every text; a difference stops the job.
 
 Models that need more than this raise ``ValueError``: other model types,
-normalisation rules other than identity, removal of extra blanks, blanks as
-suffixes, user-defined or unused pieces, no byte fallback.
+normalisation rules other than identity, no blank in front, removal of extra
+blanks, blanks as suffixes, user-defined or unused pieces, no byte fallback.
 
 Defined results: a null text is encoded as the empty one, which has no ids;
 texts of any length are encoded whole; ties go to the leftmost pair; repeated
@@ -90,9 +91,9 @@ class PieceBpe:
         rules = _settings(next((v for f, v in model if f == NORMALIZER), b""), {2: b"", 3: 1, 4: 1, 5: 1})
         if trainer[3] != _MERGE_TYPE or trainer[24] or not trainer[35]:
             raise ValueError("only merge-type models with byte fallback and blanks as prefixes are read")
-        if rules[2] or rules[4] or not rules[5]:
-            raise ValueError("only identity normalisation that keeps blanks is read")
-        self.prefix = BLANK if rules[3] else ""
+        if rules[2] or rules[4] or not (rules[5] and rules[3]):
+            raise ValueError("only identity normalisation that keeps blanks and puts one in front is read")
+        self.prefix = BLANK
         pieces = []
         for field, value in model:
             if field == PIECES:
@@ -120,6 +121,16 @@ class PieceBpe:
         self.words = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
         self._cache: dict[str, tuple[int, ...]] = {}
         self._older: dict[str, tuple[int, ...]] = {}
+        self.merged: list[tuple[str, tuple[int, ...]]] = []  # words merged since ``differing`` last looked
+
+    def differing(self, library) -> str | None:
+        """A word that the library encodes otherwise, among those merged since the last call."""
+        merged, self.merged = self.merged, []
+        cut = len(self.prefix)  # every word starts with the blank that the library puts in front
+        theirs = library.encode([word[cut:] for word, _ in merged], num_threads=1) if merged else []
+        alone = [library.piece_to_id(BLANK)]  # of one blank nothing is left to encode
+        return next((word for (word, ids), found in zip(merged, theirs)
+                     if list(ids) != (found if len(word) > cut else alone)), None)
 
     def _merge(self, word: str) -> tuple[int, ...]:
         """Ids of ``word`` by the agenda."""
@@ -188,6 +199,7 @@ class PieceBpe:
                 ids = self._older.get(word)
                 if ids is None:
                     ids = self._merge(word)
+                    self.merged.append((word, ids))
                 if len(word) <= _CACHED_CHARS:
                     if len(cache) >= _CACHED_WORDS:  # words not met since the last change go
                         self._older, self._cache = cache, {}
@@ -271,8 +283,8 @@ def encode_documents(docs: DataFrame, path: str | None = None, keep_ids: bool =
         def row(text: str, doc_id) -> tuple:
             ids = ours.encode(text)
             decoded = ours.decode(ids)
-            if theirs is not None and (theirs.encode(text) != ids or theirs.decode(ids) != decoded):
-                raise ValueError(f"document {doc_id} is encoded otherwise than by the library")
+            if theirs is not None and theirs.decode(ids) != decoded:
+                raise ValueError(f"document {doc_id} is decoded otherwise than by the library")
             found = (len(ids), hashlib.sha256(",".join([names[i] for i in ids]).encode()).hexdigest(),
                      hashlib.sha256(decoded.encode()).hexdigest())
             return found + (ids,) if keep_ids else found
@@ -281,6 +293,9 @@ def encode_documents(docs: DataFrame, path: str | None = None, keep_ids: bool =
         kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32())]
         for batch in batches:
             rows = [row(t.as_py() or "", i) for t, i in zip(batch.column("text"), batch.column("doc_id"))]
+            if theirs is not None and (word := ours.differing(theirs)) is not None:
+                raise ValueError(f"{word!r} is encoded otherwise than by the library")
+            ours.merged.clear()
             columns = [pa.array([r[n] for r in rows], kinds[n]) for n in range(len(schema.fields) - 1)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], [f.name for f in schema.fields])
 
