@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from vaultline.llm.common import stored
 from vaultline.llm.sequence import batch_of, in_order, part, piece, rows_of
 
-TASK_NODES = 512  # components up to this size are finished inside a task
+TASK_NODES = 256  # components up to this size are finished inside a task
 
 
 def numbered(conversations: DataFrame) -> DataFrame:
