@@ -22,6 +22,7 @@ import hashlib
 import json
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql.types import ArrayType, IntegerType
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies (white space by Unicode property).
 PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
             r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-_CACHE = 100_000  # pre-tokens whose ids a task keeps, in each of two generations
+_CACHE = 150_000  # pre-tokens whose ids a task keeps, in each of two generations
 _FITS_SLOTS = 1 << 17  # answers about pairs that a task keeps
 _CACHED_CHARS = 64
 
@@ -109,9 +110,14 @@ class Bpe:
         # one answer per slot, the latest: key of the pair, and whether it is compatible
         self._asked = array("q", [-1]) * _FITS_SLOTS
         self._fits = bytearray(_FITS_SLOTS)
+        self.names = {i: str(i) for i in by_id}
         self._cache: dict[str, tuple[int, ...]] = {}
         self._older: dict[str, tuple[int, ...]] = {}
 
+    def forget(self) -> None:
+        """Drop the pre-tokens met so far; the tables stay."""
+        self._cache, self._older = {}, {}
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether no merge crosses the border of ``left`` and ``right`` before both are whole."""
         size, pair, lefts, rights = self.size, self.pair, self.left, self.right
@@ -200,6 +206,12 @@ class Bpe:
         return b"".join([buffer[offset[i]:offset[i + 1]] for i in ids]).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=1)
+def loaded(path: str) -> Bpe:
+    """The vocabulary of ``path``, read once per worker."""
+    return Bpe(path)
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -216,16 +228,18 @@ def encode_documents(docs: DataFrame, path: str | None = None, keep_ids: bool =
         schema = schema.add("ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = Bpe(path)  # freed with the task: workers live on into later stages
+        bpe = loaded(path)
+        names = bpe.names
         for batch in batches:
             rows = []
             for text in batch["text"]:
                 ids = bpe.encode(text or "")
-                row = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                row = (len(ids), hashlib.sha256(",".join([names[i] for i in ids]).encode()).hexdigest(),
                        hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
                 rows.append(row + (ids,) if keep_ids else row)
             out = pd.DataFrame(rows, columns=[f.name for f in schema.fields[1:]])
             out.insert(0, "doc_id", batch["doc_id"].values)
             yield out
+        bpe.forget()  # workers live on into later stages
 
     return docs.select("doc_id", "text").mapInPandas(run, schema)
