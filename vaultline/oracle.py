@@ -148,6 +148,10 @@ def _with(*parts: str) -> str:
 
 FIRST = vault_sql("b1", "stg", BATCH_1.load_dt, None)
 SECOND = vault_sql("e2", "stg", BATCH_2.load_dt, "early")
+# both batches together, under the names the audits read
+BOTH = ",\n".join([vault_sql("e1", "early", BATCH_1.load_dt, None), SECOND, *(
+    f"b1_{t} AS (SELECT * FROM e1_{t} UNION ALL SELECT * FROM e2_{t})"
+    for t in (*(t for t, *_ in PER_ID), *LINK_COLUMNS, "s_admins", "s_auth_history"))])
 SECOND_REFERENCE = vault_sql("r2", "stg", BATCH_2.load_dt, "early", reference=True)
 
 OLDEST_SQL = f"""oldest AS (
@@ -293,6 +297,19 @@ def _nulls() -> str:
         for t, cs in columns for c in cs)
 
 
+def _findings() -> str:
+    """Every vault key that breaks a key or a reference, from the tables the audits read."""
+    rows = [f"SELECT '{t}' AS table_name, 'primary_key' AS constraint_name, '{k}' AS column_name, {k} AS key_value, "
+            f"1 AS n_violations FROM b1_{t} WHERE {k} IS NOT NULL GROUP BY {k} HAVING count(*) > 1" for t, k in KEY_OF.items()]
+    rows += [f"SELECT '{t}', 'hash_collision', '{k}', {k}, 1 FROM b1_{t} GROUP BY {k} HAVING count(DISTINCT {name}) > 1"
+             for t, k, name in HUB_KEYS]
+    references = [(t, parent) for t, _, *parents in LINK_KEYS for parent in parents] + list(SATELLITE_PARENTS)
+    rows += [f"SELECT '{t}', 'foreign_key:{p}', '{KEY_OF[p]}', c.{KEY_OF[p]}, count(*) FROM b1_{t} c "
+             f"ANTI JOIN b1_{p} p ON p.{KEY_OF[p]} = c.{KEY_OF[p]} WHERE c.{KEY_OF[p]} IS NOT NULL GROUP BY c.{KEY_OF[p]}"
+             for t, p in references]
+    return "\nUNION ALL\n".join(rows)
+
+
 def _planted(statement: str) -> str:
     """An audit over the tables with planted faults."""
     for name in FAULTY:
@@ -354,4 +371,9 @@ def oracle_sql() -> dict[str, str]:
                        ("not_null", _nulls())):
         q[f"audit_{name}"] = first + body
         q[f"audit_{name}_planted"] = faulty + _planted(body)
+    both = _with(STAGING_SQL, EARLY_STAGING_SQL, BOTH, FAULTS_SQL)
+    bodies = "\nUNION ALL\n".join((_duplicates(), _orphans(), _ages(), _nulls()))
+    q["audit_batches_planted"] = (
+        f"{both}SELECT * FROM ({_planted(bodies)}) WHERE table_name NOT LIKE 'stg%'")
+    q["audit_batch_findings_planted"] = both + _planted(_findings())
     return q

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.functions.keys import NARROW, KeyKind
+from vaultline.operators.audit_log import AuditLog
 from vaultline.operators.segments import SegmentedVault
 from vaultline.operators.store import Batch, ParquetVault
 from vaultline.plans import model
@@ -74,11 +75,13 @@ def run_batch(
     tables: tuple[str, ...] = model.LOAD_ORDER,
     segments: int | None = None,
     keys: KeyKind = NARROW,
+    audit: bool = False,
 ) -> RunReport:
     """Stage the four inputs (landed CSV files, or typed frames) and load the vault.
 
     ``segments``: the vault is a ``SegmentedVault`` with so many hash segments.
     ``keys``: the vault's surrogate keys, ``NARROW`` (60 bits) or ``WIDE`` (128 bits).
+    ``audit``: check the batch's rows after the load and keep what is found in ``audit_log``.
     """
     if (csv_paths is None) == (frames is None):
         raise ValueError("give exactly one of csv_paths or frames")
@@ -99,9 +102,16 @@ def run_batch(
              else ParquetVault(spark, vault_root, cache_reads=True, keys=keys))
     report.vault = load_vault(staging, store, batch, mode=mode, strict=strict, tables=tables)
     write_report(spark, report, vault_root)
+    if audit:
+        audit_log(spark, vault_root, keys).audit(batch, lambda name: store.batch_rows(name, batch))
     return report
 
 
+def audit_log(spark: SparkSession, vault_root: str, keys: KeyKind = NARROW) -> AuditLog:
+    """What the audits of a vault's batches found."""
+    return AuditLog(spark, f"{vault_root.rstrip('/')}/_audit", keys=keys)
+
+
 REPORT_SCHEMA = "table_name STRING, metric STRING, n_rows BIGINT, load_dt STRING"
 
 

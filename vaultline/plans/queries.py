@@ -37,6 +37,7 @@ from vaultline.functions.calendar import calendar_bucket
 from vaultline.functions.keys import WIDE
 from vaultline.functions.text import truncate_utf8_bytes
 from vaultline.operators import audits
+from vaultline.operators.audit_log import AuditLog
 from vaultline.operators.segments import SegmentedVault
 from vaultline.operators.store import Batch, MemoryVault, ParquetVault
 from vaultline.plans import marts, model
@@ -334,6 +335,23 @@ def _planted_audit(fn) -> Query:
     return run
 
 
+_AUDITED: dict[tuple[str, str], AuditLog] = {}
+_AUDIT_LOCK = threading.Lock()
+
+
+def audited(spark: SparkSession, sf_dir: str) -> AuditLog:
+    """Both batches of the second load, with planted faults, each audited alone; done once per session."""
+    run, key = loaded(spark, sf_dir, "second"), (_app_id(spark), sf_dir.rstrip("/"))
+    with _AUDIT_LOCK:
+        if key not in _AUDITED:
+            log = AuditLog(spark, f"{run.vault_root}/_audit-{uuid.uuid4().hex}", segments=SEGMENTS)
+            for batch in (BATCH_1, BATCH_2):
+                _, rows = with_faults(run.staging(), lambda name, b=batch: run.vault.batch_rows(name, b))
+                log.audit(batch, rows)
+            _AUDITED[key] = log
+        return _AUDITED[key]
+
+
 # Tables whose second load is also registered over the segmented vault.
 SEGMENTED = ("h_users", "h_groups", "h_dialogs", "l_user_group_activity", "s_dialog_info", "s_auth_history")
 
@@ -415,6 +433,8 @@ def all_queries() -> dict[str, Query]:
                      ("check_age", audits.check_age), ("not_null", audits.not_null)):
         q[f"audit_{name}"] = _audit(fn)
         q[f"audit_{name}_planted"] = _planted_audit(fn)
+    q["audit_batches_planted"] = lambda spark, sf_dir: audited(spark, sf_dir).totals()
+    q["audit_batch_findings_planted"] = lambda spark, sf_dir: audited(spark, sf_dir).violations()
     q["stg_rejects"] = rejects
     for table in SEGMENTED:
         q[f"{QUERY_NAMES[table]}_segmented_second_load"] = _segmented_query(table)
