@@ -34,9 +34,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.functions.keys import NARROW, KeyKind
-from vaultline.operators.audits import VAULT_FOREIGN_KEYS, VAULT_KEYS, not_null
+from vaultline.operators.audits import VAULT_FOREIGN_KEYS, VAULT_KEYS
 from vaultline.operators.store import BATCH_ID, Batch, path_exists
 from vaultline.plans.model import HUBS
+from vaultline.schemas import VAULT_NOT_NULL
 
 CHECK = ["table_name", "constraint_name", "column_name"]
 COUNTS = "table_name STRING, constraint_name STRING, column_name STRING, n_checked BIGINT, n_violations BIGINT"
@@ -180,6 +181,21 @@ class AuditLog:
         return (per_key.select(*_KEY, F.inline(found)).where("n_violations <> 0 OR n_repeats <> 0")
                 .select(*CHECK, *reversed(_KEY), "n_violations", "n_repeats"))
 
+    @staticmethod
+    def _row_counts(table: str, df: DataFrame) -> DataFrame:
+        """What rows alone tell: NULLs, ages, and how many references there are; one scan of the table."""
+        def count(constraint: str, column: str, checked, violations=F.lit(0)):
+            return F.struct(F.lit(table).alias("table_name"), F.lit(constraint).alias("constraint_name"),
+                            F.lit(column).alias("column_name"), checked.cast("long").alias("n_checked"),
+                            violations.cast("long").alias("n_violations"))
+
+        counts = [count("not_null", c, F.count(F.lit(1)), F.count_if(F.col(c).isNull())) for c in VAULT_NOT_NULL[table]]
+        counts += [count(f"foreign_key:{parent}", fk, F.count(fk))
+                   for child, fk, parent, _ in VAULT_FOREIGN_KEYS if child == table]
+        if table == "s_user_socdem":
+            counts.append(count("check:age>=0", "age", F.count("age"), F.count_if(F.col("age") < 0)))
+        return df.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
+
     def _write_counts(self, own: DataFrame, found: DataFrame, rows: Callable[[str], DataFrame], batch: Batch) -> None:
         def named(df: DataFrame, table, constraint: str, column) -> DataFrame:
             return df.select(table.alias("table_name"), F.lit(constraint).alias("constraint_name"),
@@ -192,14 +208,10 @@ class AuditLog:
         repeats = found.where(F.col("table_name").isin(list(HUBS)) & (F.col("constraint_name") == "primary_key")).groupBy(
             F.col("table_name").alias("owner")).agg((-F.sum("n_repeats")).alias("n_checked")).withColumn("n_violations", none)
         of_hubs = F.col("owner").isin(list(HUBS))
-        age = rows("s_user_socdem").agg(F.count("age").alias("n_checked"),
-                                        F.count_if(F.col("age") < 0).alias("n_violations"))
         parts = [named(keys, F.col("owner"), "primary_key", column),
                  *(named(df.where(of_hubs), F.col("owner"), "hash_collision", column) for df in (keys, repeats)),
-                 found.select(*CHECK, F.lit(0).cast("long").alias("n_checked"), "n_violations"),
-                 named(age, F.lit("s_user_socdem"), "check:age>=0", F.lit("age")), not_null({}, rows)]
-        parts += [named(rows(child).agg(F.count(fk).alias("n_checked")).withColumn("n_violations", none),
-                        F.lit(child), f"foreign_key:{parent}", F.lit(fk)) for child, fk, parent, _ in VAULT_FOREIGN_KEYS]
+                 found.select(*CHECK, F.lit(0).cast("long").alias("n_checked"), "n_violations")]
+        parts += [self._row_counts(table, rows(table)) for table in VAULT_NOT_NULL]
         every = [(t, "primary_key", k, 0, 0) for t, k in VAULT_KEYS.items()]
         every += [(t, "hash_collision", spec.key, 0, 0) for t, spec in HUBS.items()]
         parts.append(self.spark.createDataFrame(every, COUNTS))
