@@ -1,20 +1,23 @@
 """URL filter: exact host and path rules first, then gradient-boosted trees on lexical features.
 
 Features: lengths, path depth, label counts, ratios of digits and hyphens,
-entropy, parameter counts, whether a word of the host names an unwanted kind,
-and whether most URLs of the host's suffix, or of one of its words, are known
-as blocked.
+entropy, parameter counts, and three shares of known blocked: whether most URLs
+under the host's suffix are, and in tenths that of the hosts with its last label
+and of the hosts that share one of its words (the largest).  No feature looks at the words that label.
 
 Statistics count every URL of the table: URLs and known blocked ones are added
-up per host, then per suffix and per word (whole words of the host but its last
-label), and joined back by host.  A URL's own label is left out of its shares.
+up per host, then URLs and hosts per suffix, last label and word (whole words
+of the host but its last label), and joined back by host.  A host is left out
+of its own shares, in fitting and in judging, so that its label tells nothing.
+
 Labels: blocked where a word of the host names an unwanted kind and no rule
 allows the URL; clean where a rule allows it and there is no such word; all
 others are of unknown kind, have none and fit no tree (a rule that blocks tells
-of the URLs it covers, which the trees do not judge).  With fewer than
-``_LEAST_LABELLED`` rows of either label the score is the kind alone.  The
-trees alone are fitted on a sample, at most ``label_rows`` labelled rows by hash
-of the id.
+of the URLs it covers, which the trees do not judge).  As a table may hold few
+of them, or none, ``labelled_urls`` adds ``made_rows`` by rule from a seed: half
+of their hosts go into the shares, the trees see the other half.  The trees
+alone are fitted on a sample, at most ``label_rows`` labelled rows of the table
+by hash of the id.
 
 Defined results: a null url, or one without ``://``, has empty host and path
 and no rule; the method judges it as it does any other.  Rules of one length
@@ -25,7 +28,7 @@ table gives an empty result; columns other than those named are not read.
 from __future__ import annotations
 
 import math
-import re
+import random
 from collections import Counter
 from collections.abc import Iterator
 
@@ -54,8 +57,14 @@ UNWANTED_KINDS = {
                          "keygen keygens crack cracks warez",
 }
 UNWANTED = r"(?<![a-z])(?:" + "|".join(w for words in UNWANTED_KINDS.values() for w in words.split()) + r")(?![a-z])"
-UNWANTED_END = r"\.(?:adult|bet|bingo|casino|loan|poker|porn|sex|sexy|xxx|webcam)(?::[0-9]*)?$"
-_LEAST_LABELLED = 10
+UNWANTED_LABELS = "adult bet bingo casino loan poker porn sex sexy xxx webcam".split()
+UNWANTED_END = r"\.(?:" + "|".join(UNWANTED_LABELS) + r")(?::[0-9]*)?$"
+# Words and last labels of hosts of either kind, of which the made labelled URLs are composed.
+PLAIN_WORDS = ("best win free cheap farm track top my the online shop club city news page site bank login home life world "
+               "web net info live video videos photo blog m www en mail store house group team tech data cloud art x king "
+               "go example pro direct express center daily").split()
+LAST_LABELS = "com net org info de fr es eu io co".split()
+_SYLLABLES = [c + v for c in "bcdfghklmnprstvw" for v in "aeiou"]
 Rules = tuple[tuple[str, str, str], ...]
 
 
@@ -96,63 +105,124 @@ def label_of(host: Column, path: Column, rules: Rules = RULES) -> Column:
 
 
 def _labelled(pages: DataFrame, rules: Rules) -> DataFrame:
-    """``pages`` with host, path, label and whether the host's kind is unwanted."""
+    """``pages`` with host, path and label."""
     rows = pages.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
-    return rows.withColumns({"label": F.when(F.col("url").isNotNull(), label_of(F.col("host"), F.col("path"), rules)),
-                             "kind": unwanted(F.col("host"))})
+    return rows.withColumn("label", F.when(F.col("url").isNotNull(), label_of(F.col("host"), F.col("path"), rules)))
+
 
+def labelled_urls(rows: int = 4000, seed: int = 17) -> list[tuple[str, str, int]]:
+    """(url, host, label): blocked (1) and clean (0) URLs by rule, in overlapping shapes.
 
-def statistics(pages: DataFrame, rules: Rules = RULES) -> DataFrame:
-    """host, n and blocked of the host, of its suffix, and (as arrays) of its words, over all URLs."""
+    Blocked hosts hold a word of an unwanted kind, or end in such a label, or (a tenth) disguise the word and
+    have only their shape to tell them; clean ones hold invented words.  Both have plain words among them.
+    """
+    rng = random.Random(seed)
+    kinds = [w for words in UNWANTED_KINDS.values() for w in words.split()]
+
+    def invented() -> str:
+        return "".join(rng.choices(_SYLLABLES, k=rng.randint(2, 4))) + rng.choice(["", "n", "s", "r"])
+
+    def digits(most: int) -> str:
+        return "".join(rng.choices("0123456789", k=rng.randint(1, most)))
+
+    out = []
+    for i in range(rows):
+        label, disguised = i % 2, i % 20 == 1
+        words = rng.sample(PLAIN_WORDS, rng.randint(0, 2))
+        last = rng.choice(LAST_LABELS)
+        if disguised:
+            words.append(rng.choice(kinds) + digits(3) + invented() + digits(2))
+            words[-1] = words[-1].translate(str.maketrans("aeio", "4310"))
+        elif label and rng.random() < 0.15:
+            words, last = [*words, invented()], rng.choice(UNWANTED_LABELS)
+        else:
+            words.append(rng.choice(kinds) if label else invented())
+            if rng.random() < (0.3 if label else 0.15):
+                words.append(invented())
+        rng.shuffle(words)
+        if rng.random() < (0.3 if label else 0.1):
+            words[-1] += digits(3)
+        name = "".join(w + rng.choices("-.", (3, 2) if label else (1, 1))[0] for w in words)[:-1]
+        host = rng.choice(["", "", "www.", "m.", "blog."]) + name + rng.choice(["", ".example"]) + "." + last
+        path = "".join("/" + rng.choice([invented(), rng.choice(LAST_LABELS[4:]), digits(4)])
+                       for _ in range(rng.randint(0, 5))) + rng.choice(["", "/", ".html", "#top"])
+        parameters = rng.randint(3, 6) if disguised else rng.randint(0, 4) if label else max(0, rng.randint(-2, 3))
+        query = "&".join(f"{invented()}={digits(5)}" for _ in range(parameters))
+        scheme = "https" if rng.random() < (0.4 if label else 0.6) else "http"
+        out.append((f"{scheme}://{host}{path.partition('#')[0]}" + (f"?{query}" if query else ""), host, label))
+    return out
+
+
+def _folds(made: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """Made URLs whose hosts are counted, and those the trees see; blocked and clean ones alternate in both."""
+    return [r for i, r in enumerate(made) if i // 2 % 2 == 0], [r for i, r in enumerate(made) if i // 2 % 2]
+
+
+def statistics(pages: DataFrame, rules: Rules = RULES, made: list[tuple] = ()) -> DataFrame:
+    """Per host: URLs, known blocked ones and whether the host counts; the same of its suffix, its last label and its words.
+
+    ``n`` and ``blocked`` count URLs of ``pages``; ``hosts`` and ``bad`` count hosts, those of half of ``made`` included.
+    """
     blocked = F.coalesce(F.col("label"), F.lit(0)).cast("long")
-    hosts = stored(_labelled(pages.select("url"), rules).groupBy("host").agg(
-        F.count("*").alias("n"), F.sum(blocked).alias("blocked")))
-    sums = (F.sum("n").alias("n"), F.sum("blocked").alias("blocked"))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    rows = _labelled(pages.select("url"), rules).select("host", one.alias("n"), blocked.alias("blocked"),
+                                                        one.alias("hosts"), blocked.alias("bad"))
+    if made:
+        counted, seen = _folds(made)
+        more = [(h, y, 1) for _, h, y in counted] + [(h, 0, 0) for _, h, _ in seen]
+        rows = rows.unionAll(pages.sparkSession.createDataFrame(more, "host string, label long, hosts long").select(
+            "host", none.alias("n"), none.alias("blocked"), "hosts", F.col("label").alias("bad")))
+    hosts = stored(rows.groupBy("host").agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked"),
+                                            F.max("hosts").alias("hosts"), F.max("bad").alias("bad")))
+    sums = [F.sum(c).alias(c) for c in _SUMS]
     suffix = F.substring_index("host", ".", -2).alias("suffix")
+    last = F.substring_index("host", ".", -1).alias("last")
     named = F.when(F.contains("host", F.lit(".")), F.regexp_replace("host", r"\.[^.]*$", "")).otherwise(F.col("host"))
-    words = hosts.select("host", "n", "blocked", F.explode(F.array_distinct(
+    words = hosts.select("host", *_SUMS, F.explode(F.array_distinct(
         F.regexp_extract_all(named, F.lit("[a-z]+"), F.lit(0)))).alias("word"))
-    suffixes = hosts.select("n", "blocked", suffix).groupBy("suffix").agg(*sums)
-    per_word = words.groupBy("word").agg(*sums)
-    of_words = words.select("host", "word").join(per_word, "word").groupBy("host").agg(
-        F.collect_list(F.struct("n", "blocked")).alias("words"))
-    return stored(hosts.select("host", "n", "blocked", suffix)
-                  .join(suffixes.withColumnsRenamed({"n": "suffix_n", "blocked": "suffix_blocked"}), "suffix")
-                  .join(of_words, "host", "left")
-                  .select("host", "n", "blocked", "suffix_n", "suffix_blocked",
-                          F.col("words.n").alias("words_n"), F.col("words.blocked").alias("words_blocked")))
 
+    def of(name: str, column) -> DataFrame:
+        return hosts.select(*_SUMS, column).groupBy(name).agg(*sums).withColumnsRenamed({c: f"{name}_{c}" for c in _SUMS})
 
-_COUNTS = ["suffix_n", "suffix_blocked", "words_n", "words_blocked"]
+    of_words = words.select("host", "word").join(words.groupBy("word").agg(*sums), "word").groupBy("host").agg(
+        F.collect_list(F.struct(*_SUMS)).alias("words"))
+    return stored(hosts.select("host", *_SUMS, suffix, last).join(of("suffix", suffix), "suffix")
+                  .join(of("last", last), "last").join(of_words, "host", "left")
+                  .select("host", *_SUMS, "suffix_n", "suffix_blocked", "last_hosts", "last_bad",
+                          *[F.col(f"words.{c}").alias(f"words_{c}") for c in _SUMS]))
 
 
-class UrlModel:
-    """Trees and the overall share of known blocked URLs.
+_SUMS = ["n", "blocked", "hosts", "bad"]
+_NUMBERS = [*_SUMS, "suffix_n", "suffix_blocked", "last_hosts", "last_bad"]
+_COUNTS = [*_NUMBERS, "words_hosts", "words_bad"]
+FEATURES = ["suffix_mostly_blocked", "last_label_share", "word_share", "url_length", "host_length", "path_length", "depth", "labels",
+            "longest_label", "digit_ratio", "host_digit_ratio", "host_hyphens", "host_entropy", "path_entropy", "parameters",
+            "https", "escapes"]
 
-    Rows: url, host, path, label or none, whether the host's kind is unwanted, and the counts.
-    """
 
-    def __init__(self, rows: list[tuple], prior: float, seed: int = 11):
+class UrlModel:
+    """Trees and the overall share of known blocked URLs.  Rows: url, host, path and the counts; labels beside them."""
+
+    def __init__(self, rows: list[tuple], labels: list[int], prior: float, seed: int = 11):
         self.prior = prior
-        x = np.array([self.features(*r) for r in rows]) if rows else np.zeros((1, 17))
-        y = np.array([r[3] for r in rows], dtype=float) if rows else np.zeros(1)
-        enough = min((y == 0).sum(), (y == 1).sum()) >= _LEAST_LABELLED
-        self.trees = BoostedTrees(x, y, seed=seed) if enough else None
+        x = np.array([self.features(*r) for r in rows])
+        self.trees = BoostedTrees(x, np.array(labels, dtype=float), seed=seed)
 
-    def _share(self, n: int, blocked: int, own: int) -> float:
+    def _share(self, n: int, blocked: int, own: int, own_n: int = 1) -> float:
         """Share of the others, drawn towards the overall one."""
-        return (blocked - own + 2 * self.prior) / (max(0, n - 1) + 2)
+        return (blocked - own + 2 * self.prior) / (max(0, n - own_n) + 2)
 
-    def features(self, url: str, host: str, path: str, label, kind, suffix_n, suffix_blocked, words_n,
-                 words_blocked) -> list[float]:
+    def features(self, url: str, host: str, path: str, own_n, own_blocked, own_hosts, own_bad, suffix_n, suffix_blocked,
+                 last_hosts, last_bad, words_hosts, words_bad) -> list[float]:
+        """In the order of ``FEATURES``."""
         query = url.partition("#")[0].partition("?")[2]
         n = max(1, len(url))
         labels = host.split(".")
-        own = int(label == 1)
-        word = max((self._share(a, b, own) for a, b in zip(words_n, words_blocked)), default=self.prior)
-        # Most or not: the exact share without the own label would tell that label.  First, as equal splits go to the first.
+        words = max((self._share(a, b, own_bad, own_hosts) for a, b in zip(words_hosts, words_bad)), default=self.prior)
+        # Coarse: an exact share would tell the few labelled hosts of the table, by their suffix or their own absence.
         return [
-            float(kind), float(self._share(suffix_n, suffix_blocked, own) > 0.5), float(word > 0.5),
+            float(self._share(suffix_n, suffix_blocked, own_blocked, own_n) > 0.5),
+            round(self._share(last_hosts, last_bad, own_bad, own_hosts), 1), round(words, 1),
             len(url), len(host), len(path), path.count("/"), len(labels), max(map(len, labels)),
             sum(c.isdigit() for c in url) / n, sum(c.isdigit() for c in host) / max(1, len(host)),
             host.count("-"), _entropy(host), _entropy(path), query.count("=") + query.count("&"),
@@ -160,47 +230,55 @@ class UrlModel:
         ]
 
     def probability(self, rows: list[tuple]) -> np.ndarray:
-        if not rows:
-            return np.zeros(0)
-        x = np.array([self.features(*r) for r in rows])
-        return self.trees.probability(x) if self.trees else x[:, 0]
+        return self.trees.probability(np.array([self.features(*r) for r in rows])) if rows else np.zeros(0)
+
+    def splits(self) -> dict[str, int]:
+        """How often the trees split by each feature."""
+        used = Counter(f for tree in self.trees.trees for f in tree.feature if f >= 0)
+        return {name: used[i] for i, name in enumerate(FEATURES)}
 
 
 def _with_counts(rows: DataFrame, counts: DataFrame) -> DataFrame:
     none = F.array().cast("array<long>")
-    return rows.join(counts.select("host", *_COUNTS), "host", "left").withColumns({
-        "suffix_n": F.coalesce("suffix_n", F.lit(0)), "suffix_blocked": F.coalesce("suffix_blocked", F.lit(0)),
-        "words_n": F.coalesce("words_n", none), "words_blocked": F.coalesce("words_blocked", none)})
+    return rows.join(counts.select("host", *_COUNTS), "host", "left").withColumns(
+        {c: F.coalesce(c, F.lit(0).cast("long") if c in _NUMBERS else none) for c in _COUNTS})
 
 
-def fit(pages: DataFrame, rules: Rules = RULES, label_rows: int = 20_000, counts: DataFrame | None = None) -> UrlModel:
-    """A model whose trees see at most ``label_rows`` labelled URLs, chosen by hash of the id."""
-    counts = counts if counts is not None else statistics(pages, rules)
+def fit(pages: DataFrame, rules: Rules = RULES, label_rows: int = 20_000, counts: DataFrame | None = None,
+        made: list[tuple] | None = None) -> UrlModel:
+    """A model whose trees see half of ``made`` and at most ``label_rows`` labelled URLs, chosen by hash of the id."""
+    made = labelled_urls() if made is None else made
+    counts = counts if counts is not None else statistics(pages, rules, made)
     total = counts.agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked")).first()
     rows = _labelled(pages.select("page_id", "url"), rules).where("label is not null")
     step = max(1, -(-rows.count() // label_rows))
     digest = F.xxhash64("page_id", "url")
     known = _with_counts(rows.where(F.pmod(digest, F.lit(step)) == 0).withColumn("digest", digest), counts).select(
-        "digest", "url", "host", "path", "label", "kind", *_COUNTS).collect()
-    known = sorted(map(tuple, known))[:label_rows]
-    return UrlModel([r[1:] for r in known], ((total["blocked"] or 0) + 1) / ((total["n"] or 0) + 2))
+        "digest", "label", "url", "host", "path", *_COUNTS).collect()
+    seen = pages.sparkSession.createDataFrame(_folds(made)[1], "url string, host string, label int").withColumn(
+        "path", path_of(F.col("url")))
+    more = _with_counts(seen, counts).select(F.lit(0), "label", "url", "host", "path", *_COUNTS).collect()
+    known = sorted(map(tuple, known))[:label_rows] + sorted(map(tuple, more))
+    return UrlModel([r[2:] for r in known], [r[1] for r in known],
+                    ((total["blocked"] or 0) + 1) / ((total["n"] or 0) + 2))
 
 
 def judge(pages: DataFrame, model: UrlModel | None = None, rules: Rules = RULES,
           threshold: float = 0.5) -> DataFrame:
     """page_id, host, path, rule, verdict and the model's score of every row."""
-    counts = statistics(pages, rules)
-    model = model or fit(pages, rules, counts=counts)
+    made = labelled_urls()
+    counts = statistics(pages, rules, made)
+    model = model or fit(pages, rules, counts=counts, made=made)
     rows = _labelled(pages.select("page_id", F.col("url")), rules).withColumn("url", F.coalesce("url", F.lit("")))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    rows = rows.select("page_id", "url", "host", "path", "label", "kind", rule.alias("rule"), verdict.alias("verdict"))
-    schema = rows.drop("url", "label", "kind").schema.add("score", "double")
+    rows = rows.select("page_id", "url", "host", "path", rule.alias("rule"), verdict.alias("verdict"))
+    schema = rows.drop("url").schema.add("score", "double")
     names = schema.fieldNames()[:-1]
     rows = _with_counts(rows, counts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            score = model.probability(list(zip(*(batch[c] for c in ("url", "host", "path", "label", "kind", *_COUNTS)))))
+            score = model.probability(list(zip(*(batch[c] for c in ("url", "host", "path", *_COUNTS)))))
             method = pd.Series(np.where(score >= threshold, "block", "allow"), index=batch.index)
             yield batch[names].assign(verdict=batch["verdict"].where(batch["verdict"].notna(), method),
                                                     score=np.round(score, 6))
