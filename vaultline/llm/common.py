@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,14 +27,39 @@ def work_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/vaultline-llm/{uuid.uuid4().hex}"
 
 
+_written: ContextVar[list[str] | None] = ContextVar("_written", default=None)  # by ``stored``, inside ``settled``
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: lineage ends there."""
     spark = df.sparkSession
     path = work_dir(spark)
+    if (written := _written.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()`` stored; the tables that ``stored`` wrote while it was built are deleted then, or if it fails.
+
+    Nothing else may read those tables later.  The result itself belongs to the enclosing ``settled``, if any.
+    """
+    temporary: list[str] = []
+    outer = _written.set(temporary)
+    try:
+        result = build()
+        _written.reset(outer)
+        outer = None
+        return stored(result)
+    finally:
+        if outer is not None:
+            _written.reset(outer)
+        for path in temporary:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def fresh(name: str, columns: list[str]) -> str:
     """``name``, lengthened until no column has it."""
     taken = {c.lower() for c in columns}

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import WORD, fresh, stored
+from vaultline.llm.common import WORD, fresh, settled, stored
 
 BITS = 64
 SEED = 42
@@ -218,24 +219,28 @@ def links(distinct: DataFrame, max_bits: int = 3, hot_rows: int = HOT_ROWS) -> D
             .mapInPandas(_bucket_links(max_bits), "a long, b long"))
 
 
+def _stars(edges: DataFrame) -> DataFrame:
+    """The edges after one large and one small star."""
+    both = edges.union(edges.select("b", "a"))
+    low = stored(both.groupBy("a").agg(F.min("b").alias("b")).select(
+        F.col("a").alias("u"), F.least("a", "b").alias("m")))
+    # large star: every larger neighbour points at the smallest one
+    large = stored(both.join(low, both["a"] == low["u"]).where(F.col("b") > F.col("a"))
+                   .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+    # small star: smaller neighbours, and the value itself, point at the smallest
+    low = stored(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u"))
+    return (large.join(low, large["a"] == low["u"])
+            .select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+            .where("a <> b").distinct())
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``fp`` and ``root`` (smallest value reachable) of every value that has a link."""
+    spark = edges.sparkSession
     edges = stored(edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     for _ in range(max_rounds):
-        both = edges.union(edges.select("b", "a"))
-        low = stored(both.groupBy("a").agg(F.min("b").alias("b")).select(
-            F.col("a").alias("u"), F.least("a", "b").alias("m")))
-        # large star: every larger neighbour points at the smallest one
-        large = (both.join(low, both["a"] == low["u"]).where(F.col("b") > F.col("a"))
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-        large = stored(large)
-        # small star: smaller neighbours, and the value itself, point at the smallest
-        low = stored(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u"))
-        small = (large.join(low, large["a"] == low["u"])
-                 .select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-                 .where("a <> b").distinct())
-        small = stored(small)
+        small = settled(spark, partial(_stars, edges))
         changed = small.exceptAll(edges).limit(1).count() + edges.exceptAll(small).limit(1).count()
         edges = small
         if not changed:
@@ -243,13 +248,17 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def _labels(fps: DataFrame, max_bits: int) -> DataFrame:
-    """fp, group, component_id of every distinct fingerprint of ``fps``."""
+def _named(fps: DataFrame, max_bits: int) -> DataFrame:
     classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(classes.select("fp"), max_bits))
     named = classes.join(roots, "fp", "left").withColumn("group", F.coalesce("root", "fp"))
     least = stored(named.groupBy("group").agg(F.min("least").alias("component_id")))
-    return stored(named.join(least, "group").select("fp", "group", "component_id"))
+    return named.join(least, "group").select("fp", "group", "component_id")
+
+
+def _labels(fps: DataFrame, max_bits: int) -> DataFrame:
+    """fp, group, component_id of every distinct fingerprint of ``fps``."""
+    return settled(fps.sparkSession, partial(_named, fps, max_bits))
 
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 3) -> DataFrame:
