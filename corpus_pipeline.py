@@ -6,11 +6,13 @@ written as Parquet and read again as the next stage's ``docs``.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.llm import bpe, langid, mixing, secret_scan, simhash
-from vaultline.llm.common import fresh, stored, table
+from vaultline.llm.common import fresh, settled, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +50,7 @@ STAGES = [("language_id", language), ("simhash_near_dedup", near_duplicates), ("
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir))
+        docs = settled(spark, partial(stage, spark, docs, sf_dir))
     return docs
 
 
