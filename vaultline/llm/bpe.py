@@ -1,4 +1,4 @@
-"""Byte-level BPE encoding by backtracking over Aho-Corasick matches, and decoding by an offset table.
+"""Byte-level BPE encoding by backtracking over the longest matches of a trie, and decoding by a table of bytes.
 
 The vocabulary file's merges give each token a rank and the two tokens it is
 merged from.  Two adjacent tokens are compatible when merging their joined
@@ -8,8 +8,9 @@ walks each pre-token once, takes the longest match, shortens it or steps back
 where a pair is incompatible, and never tries a position again once it has
 failed there, so work is linear in the text.
 
-Pre-tokens repeat, so a task keeps the ids of recent ones.  Decoding copies
-byte ranges of one concatenated buffer.
+Pre-tokens repeat, so a task keeps the ids of recent ones.  Texts of ASCII alone
+are cut by the same pattern in its ASCII form, which is faster.  Decoding joins
+the bytes of each token.
 
 Defined results: a null text is encoded as the empty one; ties do not arise
 (the encoding is unique); repeated rows give repeated results; an empty table
@@ -20,12 +21,12 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
-import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -34,6 +35,8 @@ from pyspark.sql.types import ArrayType, IntegerType
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies (white space by Unicode property).
 PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
             r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+ASCII_PRETOKEN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\x09-\x0D A-Za-z0-9]+"
+                  r"|[\x09-\x0D ]+(?![^\x09-\x0D ])|[\x09-\x0D ]+")  # the same for texts of ASCII alone
 _CACHE = 150_000  # pre-tokens whose ids a task keeps, in each of two generations
 _FITS_SLOTS = 1 << 17  # answers about pairs that a task keeps
 _CACHED_CHARS = 64
@@ -61,7 +64,8 @@ class Bpe:
             return bytes(alphabet[c] for c in token)
 
         # tokens are numbered by rank: single bytes first, then one per merge; arrays keep a worker small
-        self.left, self.right, self.ids = array("i"), array("i"), array("i")
+        self.left, self.right = array("i"), array("i")
+        self.ids: list[int] = []  # one object an id: what a task keeps refers to them
         number: dict[str, int] = {}
         for char in alphabet:
             if char in vocab:
@@ -83,12 +87,12 @@ class Bpe:
         self.size = len(self.ids)
         self.pair = {a * self.size + b: joined for a, b, joined in pairs}
         self.length = array("i")
-        self.automaton = ahocorasick.Automaton()
+        self.trie = ahocorasick.Automaton()
         for token, n in number.items():
             data = raw(token)
             self.length.append(len(data))
-            self.automaton.add_word(data.decode("latin-1"), n)
-        self.automaton.make_automaton()
+            self.trie.add_word(data.decode("latin-1"), n)
+        self.longest = max(self.length, default=0)
         # the longest token that a token starts with, itself apart; -1: none
         self.shorter = array("i", (max((number[t[:k]] for k in range(1, len(t)) if t[:k] in number),
                                        key=self.length.__getitem__, default=-1) for t in number))
@@ -98,19 +102,16 @@ class Bpe:
         longest_first = sorted(added, key=len, reverse=True)
         self.added_pattern = regex.compile("|".join(map(regex.escape, longest_first))) if added else None
         self.pattern = regex.compile(PRETOKEN)
+        self.ascii_pattern = re.compile(ASCII_PRETOKEN)
 
-        # decoding: bytes of id i are buffer[offset[i]:offset[i + 1]]
         by_id = {i: raw(t) for t, i in vocab.items() if t not in added}
         by_id.update({i: t.encode() for t, i in added.items()})
-        self.offset = np.zeros(max(by_id) + 2, dtype=np.int64)
-        for i, data in by_id.items():
-            self.offset[i + 1] = len(data)
-        self.offset = array("q", np.cumsum(self.offset).tolist())
-        self.buffer = b"".join(by_id.get(i, b"") for i in range(max(by_id) + 1))
+        # by id: its bytes, its digits
+        self.bytes = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
+        self.names = [str(i) for i in range(max(by_id) + 1)]
         # one answer per slot, the latest: key of the pair, and whether it is compatible
         self._asked = array("q", [-1]) * _FITS_SLOTS
         self._fits = bytearray(_FITS_SLOTS)
-        self.names = {i: str(i) for i in by_id}
         self._cache: dict[str, tuple[int, ...]] = {}
         self._older: dict[str, tuple[int, ...]] = {}
 
@@ -150,34 +151,48 @@ class Bpe:
     def _encode_bytes(self, data: str) -> tuple[int, ...]:
         """Ids of ``data``, a string with one character per byte."""
         length, shorter, compatible = self.length, self.shorter, self.compatible
+        asked, fits, vocabulary = self._asked, self._fits, self.size
+        prefix, token, longest = self.trie.longest_prefix, self.trie.get, self.longest
         size = len(data)
-        longest = [-1] * size  # longest match by start: of one start, it ends last
-        for end, n in self.automaton.iter(data):
-            longest[end - length[n] + 1] = n
         dead = bytearray(size + 1)
         tokens: list[int] = []
-        pos = 0
-        n = longest[0]
+        pos, last = 0, -1
+        fresh = True  # no token was tried at this position since it was reached
         while pos < size:
-            while n >= 0 and (dead[pos + length[n]] or (tokens and not compatible(tokens[-1], n))):
+            if fresh:
+                rest = data[pos:pos + longest]
+                end = prefix(rest)  # no token reaches further
+                n = token(rest[:end], -1)
+                while n < 0 and end > 1:
+                    end -= 1
+                    n = token(rest[:end], -1)
+            while n >= 0:
+                if not dead[pos + length[n]]:
+                    if last < 0:
+                        break
+                    slot = (last * 31 + n) % _FITS_SLOTS
+                    if fits[slot] if asked[slot] == last * vocabulary + n else compatible(last, n):
+                        break
                 n = shorter[n]
-            if n >= 0:
+            fresh = n >= 0
+            if fresh:
                 tokens.append(n)
                 pos += length[n]
-                n = longest[pos] if pos < size else -1
+                last = n
             else:
                 if not tokens:
                     raise ValueError("bytes outside the vocabulary")
                 dead[pos] = 1
                 n = tokens.pop()
                 pos -= length[n]
+                last = tokens[-1] if tokens else -1
                 n = shorter[n]
         ids = self.ids
         return tuple([ids[n] for n in tokens])
 
     def _ordinary(self, text: str, out: list[int]) -> None:
         cache = self._cache
-        for word in self.pattern.findall(text):
+        for word in (self.ascii_pattern if text.isascii() else self.pattern).findall(text):
             ids = cache.get(word)
             if ids is None:
                 ids = self._older.get(word)
@@ -202,8 +217,7 @@ class Bpe:
         return out
 
     def decode(self, ids: list[int]) -> str:
-        buffer, offset = self.buffer, self.offset
-        return b"".join([buffer[offset[i]:offset[i + 1]] for i in ids]).decode("utf-8", "replace")
+        return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=1)
@@ -229,12 +243,12 @@ def encode_documents(docs: DataFrame, path: str | None = None, keep_ids: bool =
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = loaded(path)
-        names = bpe.names
+        name = bpe.names.__getitem__
         for batch in batches:
             rows = []
             for text in batch["text"]:
                 ids = bpe.encode(text or "")
-                row = (len(ids), hashlib.sha256(",".join([names[i] for i in ids]).encode()).hexdigest(),
+                row = (len(ids), hashlib.sha256(",".join(map(name, ids)).encode()).hexdigest(),
                        hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
                 rows.append(row + (ids,) if keep_ids else row)
             out = pd.DataFrame(rows, columns=[f.name for f in schema.fields[1:]])
